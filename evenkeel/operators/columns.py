@@ -94,15 +94,9 @@ def with_digest(
     return df.withColumn(DIGEST, hashed)
 
 
-def prepare(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    key_mode: str = "concat",
-    digest: str = "text",
-    only: Sequence[str] | None = None,
-) -> DataFrame:
-    """Normalise one side and add key and digest: narrow work, no shuffle."""
+def keyed(df: DataFrame, keys: str | Sequence[str], key_mode: str = "concat") -> DataFrame:
+    """Normalise one side and add its key: narrow work, no shuffle."""
     taken = [name for name in df.columns if name.lower() in (KEY, DIGEST)]
     if taken:
         raise ValueError(f"column names {taken} are reserved")
-    return with_digest(with_key(normalize(df), keys, key_mode), keys, digest, only)
+    return with_key(normalize(df), keys, key_mode)

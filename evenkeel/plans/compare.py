@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.rows import DIGEST, KEY, is_text
 from evenkeel.operators import differences, ledger, schemas, spread
-from evenkeel.operators.columns import fold_names, name_list, prepare, quoted
+from evenkeel.operators.columns import fold_names, keyed, name_list, quoted, with_digest
 from evenkeel.workspace import shared_folder, written
 
 
@@ -62,12 +62,15 @@ class Comparison:
             only = self.columns.common
         if self.options.key_mode == "typed":
             _check_key_types(fold_names(source), fold_names(target), self.keys)
-        how = (self.options.key_mode, self.options.digest, only)
-        self.source = prepare(source, self.keys, *how)
-        self.target = prepare(target, self.keys, *how)
+        self._only = only
+        self.source = keyed(source, self.keys, self.options.key_mode)
+        self.target = keyed(target, self.keys, self.options.key_mode)
         self.spark = source.sparkSession
         self._changed: DataFrame | None = None
 
+    def _digested(self, rows: DataFrame) -> DataFrame:
+        return with_digest(rows, self.keys, self.options.digest, self._only)
+
     # first step: key and digest only
 
     @cached_property
@@ -77,8 +80,7 @@ class Comparison:
     @cached_property
     def records(self) -> DataFrame:
         """The ledger, written to the shared folder."""
-        counts = ledger.key_counts(self.source, self.target)
-        return written(ledger.ledger(counts), self.folder, "ledger")
+        return written(ledger.ledger(self.key_counts()), self.folder, "ledger")
 
     @cached_property
     def totals(self) -> ledger.Totals:
@@ -86,7 +88,7 @@ class Comparison:
 
     def key_counts(self) -> DataFrame:
         """Rows per key on each side, pairs, and pairs with equal digests."""
-        return ledger.key_counts(self.source, self.target)
+        return ledger.key_counts(self._digested(self.source), self._digested(self.target))
 
     def counts(self) -> DataFrame:
         """One row of counts, in a single pass over both sides."""
@@ -124,7 +126,8 @@ class Comparison:
     def _filtered(self, side: str, where: Column, size: int, how: str = "left_semi") -> DataFrame:
         rows = self.source if side == "source" else self.target
         keys = self.records.where(~F.col("plain") & where)
-        return spread.filter_by_keys(rows, keys, how, side, size <= self.options.broadcast_bytes, self._hot)
+        small = size <= self.options.broadcast_bytes
+        return self._digested(spread.filter_by_keys(rows, keys, how, side, small, self._hot))
 
     @property
     def _many(self) -> Column:
@@ -144,7 +147,7 @@ class Comparison:
         elif self.totals.many_keys:
             rows = self._filtered(side, self._many, self.totals.many_bytes, "left_anti")
         else:
-            rows = self.source if side == "source" else self.target
+            rows = self._digested(self.source if side == "source" else self.target)
         if self._hot is not None:
             rows = spread.sliced_for_pairs(rows, side, self._hot)
         place = [spread.SLICE] if self._hot is not None else []
@@ -157,7 +160,7 @@ class Comparison:
         on = [KEY, spread.SLICE] if self._hot is not None else [KEY]
         joined = self._side_of_pairs("source", changed).join(self._side_of_pairs("target", changed), on)
         if changed:
-            joined = joined.where(F.col("source_digest") != F.col("target_digest"))
+            joined = joined.where(~F.col("source_digest").eqNullSafe(F.col("target_digest")))
         return joined
 
     def _rows_of_many(self, where: Column) -> DataFrame | None:
@@ -233,6 +236,11 @@ class Comparison:
             parts.append(differences.counted_by_value(*rows, names, self.totals.many_changed))
         return differences.summed(*parts)
 
+    @cached_property
+    def differing(self) -> dict[str, int]:
+        """The same counts on the driver: at most one number per column."""
+        return {row["column_name"]: int(row["differences"]) for row in self.column_differences().collect()}
+
     def metrics(self) -> DataFrame:
         """One row: all counts, the number of differing columns and the verdict."""
         known = [F.lit(getattr(self.totals, name)) for name in ledger.COUNTS]
@@ -250,7 +258,7 @@ class Comparison:
 
     def schema_diff(self) -> DataFrame:
         """Column names per side."""
-        return schemas.schema_diff(self.source.drop(KEY, DIGEST), self.target.drop(KEY, DIGEST))
+        return schemas.schema_diff(self.source.drop(KEY), self.target.drop(KEY))
 
 
 def is_match() -> Column:
