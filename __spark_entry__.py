@@ -813,7 +813,7 @@ def oracle_sql() -> dict[str, str]:
         "row_digest_key_only": """
             select cast(o_orderkey as varchar) as _composite_key, sha256('') as _row_hash from orders""",
         "schema_diff": """
-            with s as (select column_name from duckdb_columns() where table_name = 'customer'),
+            with s as (select column_name from (describe customer)),
                  t as (select column_name from s where column_name <> 'c_acctbal' union all select 'channel')
             select distinct * from (
                 select coalesce(s.column_name, t.column_name) as column_name,

@@ -1,13 +1,20 @@
-"""Joins by key that stay balanced when single keys hold a large share of the rows."""
+"""Joins by key that stay balanced when single keys hold a large share of the rows.
+
+Rows of hot keys are never shuffled by key: they meet a broadcast list instead. Nothing
+depends on row order or random numbers, so a task repeated after a lost executor gives
+the same rows again.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rows import KEY
+from evenkeel.operators.columns import quoted
 
-SLICE = "_slice"
 # A key is hot when it holds more than one part in HOT_SHARE of all rows,
 # so there are never more than HOT_SHARE hot keys and their list can be broadcast.
 HOT_SHARE = 20_000
@@ -17,56 +24,69 @@ def hot_threshold(all_rows: int, least_rows: int) -> int:
     return max(least_rows, -(-all_rows // HOT_SHARE))
 
 
-def hot_keys(records: DataFrame, threshold: int) -> DataFrame:
-    """Hot keys with the number of slices each side's rows are cut into."""
-
-    def slices(column: str) -> Column:
-        return F.greatest(F.ceil(F.col(column) / F.lit(threshold)), F.lit(1)).cast("int")
-
-    heavy = ~F.col("plain") & (F.greatest("source_rows", "target_rows") > threshold)
-    return records.where(heavy).select(
-        KEY, slices("source_rows").alias("_source_slices"), slices("target_rows").alias("_target_slices")
-    )
-
-
-def _row_slice(count: Column) -> Column:
-    # by row position, not by content: equal copies must not land in the same slice
-    return F.pmod(F.monotonically_increasing_id(), count).cast("int")
+def is_hot(threshold: int) -> Column:
+    return F.greatest("source_rows", "target_rows") > threshold
 
 
 def filter_by_keys(
-    rows: DataFrame, keys: DataFrame, how: str, side: str, small: bool, hot: DataFrame | None
+    rows: DataFrame, records: DataFrame, listed: Column, how: str, small: bool, hot: Column | None
 ) -> DataFrame:
-    """Keep (``left_semi``) or drop (``left_anti``) the rows whose key is listed.
+    """Keep (``left_semi``) or drop (``left_anti``) the rows whose key is ``listed``.
 
-    ``keys`` lists each key once. It is broadcast when its measured size allows that
-    (``small``), and the rows are not shuffled at all. Otherwise rows of hot keys are
-    sliced and the listed key is repeated for each slice.
+    ``records`` holds one record per key. The listed keys are broadcast when their measured
+    size allows it (``small``), and the rows are not shuffled at all. Otherwise rows and
+    keys are shuffled, except for hot keys, which are few and always broadcast.
     """
+    keys = records.where(listed).select(KEY)
     if small:
-        return rows.join(F.broadcast(keys.select(KEY)), KEY, how)
+        return rows.join(F.broadcast(keys), KEY, how)
     if hot is None:
-        return rows.join(keys.select(KEY), KEY, how)
-    own = f"_{side}_slices"
-    slices = F.broadcast(hot.select(KEY, own))
-    sliced = rows.join(slices, KEY, "left").withColumn(SLICE, _row_slice(F.coalesce(own, F.lit(1)))).drop(own)
-    repeated = keys.select(KEY).join(slices, KEY, "left").select(
-        KEY, F.explode(F.sequence(F.lit(0), F.coalesce(own, F.lit(1)) - 1)).alias(SLICE)
-    )
-    return sliced.join(repeated, [KEY, SLICE], how).drop(SLICE)
+        return rows.join(keys, KEY, how)
+    cold = without(rows, records, hot).join(keys, KEY, how)
+    kept = hot & listed if how == "left_semi" else hot & ~listed
+    return cold.unionByName(only(rows, records, kept))
+
 
+def only(rows: DataFrame, records: DataFrame, hot: Column) -> DataFrame:
+    """Rows of the given hot keys."""
+    return rows.join(F.broadcast(records.where(hot).select(KEY)), KEY, "left_semi")
 
-def sliced_for_pairs(rows: DataFrame, side: str, hot: DataFrame) -> DataFrame:
-    """Cut the hot side's rows of a key into slices and repeat the other side's for each.
 
-    Used where at most one side of a key is hot, so what is repeated is a few rows.
+def without(rows: DataFrame, records: DataFrame, hot: Column) -> DataFrame:
+    """Rows of all keys but the given hot ones."""
+    return rows.join(F.broadcast(records.where(hot).select(KEY)), KEY, "left_anti")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of all rows as text; run on small written tables only."""
+    size = F.octet_length(F.to_json(F.struct(*[quoted(name).cast("string") for name in df.columns])))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def join_sides(
+    source: DataFrame,
+    target: DataFrame,
+    records: DataFrame,
+    hot: Column | None,
+    store: Callable[[DataFrame, str], DataFrame],
+    broadcast_bytes: int,
+) -> DataFrame:
+    """Inner join of both sides by key, for keys with few rows on one side at least.
+
+    For hot keys that few-rows side is written out (``store``), measured, and broadcast to
+    the many rows of the other side. Should it be too large for that, the join is left to
+    adaptive execution, which splits the oversized partitions of an inner join.
     """
-    other = "target" if side == "source" else "source"
-    own, across = F.coalesce(f"_{side}_slices", F.lit(1)), F.coalesce(f"_{other}_slices", F.lit(1))
-    placed = (
-        F.when(own > 1, F.array(_row_slice(own)))
-        .when(across > 1, F.sequence(F.lit(0), across - 1))
-        .otherwise(F.array(F.lit(0)))
-    )
-    with_slices = rows.join(F.broadcast(hot), KEY, "left").withColumn("_slices", placed)
-    return with_slices.withColumn(SLICE, F.explode("_slices")).drop("_slices", "_source_slices", "_target_slices")
+    if hot is None:
+        return source.join(target, KEY)
+    joined = without(source, records, hot).join(without(target, records, hot), KEY)
+    source_is_big = F.col("source_rows") >= F.col("target_rows")
+    for side, big, few, mine in (
+        ("source", source, target, source_is_big),
+        ("target", target, source, ~source_is_big),
+    ):
+        partner = store(only(few, records, hot & mine), f"partners_of_{side}")
+        if measured_bytes(partner) <= broadcast_bytes:
+            partner = F.broadcast(partner)
+        joined = joined.unionByName(only(big, records, hot & mine).join(partner, KEY))
+    return joined

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.rows import DIGEST, KEY, is_text
 from evenkeel.operators import differences, ledger, schemas, spread
 from evenkeel.operators.columns import fold_names, keyed, name_list, quoted, with_digest
-from evenkeel.workspace import shared_folder, written
+from evenkeel.workspace import remove, shared_folder, written
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,7 @@ class Options:
     ``digest_columns``: "all" non-key columns of each side, or the "common" ones only.
     ``pair_fanout``: keys with more rows than this on both sides are listed row by row
     instead of pair by pair; their counts are exact all the same.
-    ``hot_rows``: rows of one key handled by one task before the key is sliced.
+    ``hot_rows``: rows of one key that may go to one task; keys with more are joined apart.
     ``broadcast_bytes``: largest key list, by measured size, that is sent to all executors.
     """
 
@@ -67,20 +67,28 @@ class Comparison:
         self.target = keyed(target, self.keys, self.options.key_mode)
         self.spark = source.sparkSession
         self._changed: DataFrame | None = None
+        self._folders: list[str] = []
+
+    def on(self, source: DataFrame, target: DataFrame) -> Comparison:
+        """The same comparison over other copies of the two sides."""
+        other = Comparison(source, target, self.keys, self.options)
+        other._folders = self._folders
+        return other
 
     def _digested(self, rows: DataFrame) -> DataFrame:
         return with_digest(rows, self.keys, self.options.digest, self._only)
 
     # first step: key and digest only
 
-    @cached_property
-    def folder(self) -> str:
-        return shared_folder(self.spark)
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate table to the shared folder and go on from it."""
+        self._folders.append(shared_folder(self.spark))
+        return written(df, self._folders[-1], name)
 
     @cached_property
     def records(self) -> DataFrame:
         """The ledger, written to the shared folder."""
-        return written(ledger.ledger(self.key_counts()), self.folder, "ledger")
+        return self.store(ledger.ledger(self.key_counts()), "ledger")
 
     @cached_property
     def totals(self) -> ledger.Totals:
@@ -118,16 +126,16 @@ class Comparison:
         return spread.hot_threshold(rows, self.options.hot_rows)
 
     @property
-    def _hot(self) -> DataFrame | None:
+    def _hot(self) -> Column | None:
         if self.totals.heaviest <= self._threshold:
             return None
-        return spread.hot_keys(self.records, self._threshold)
+        return spread.is_hot(self._threshold) & ~F.col("plain")
 
     def _filtered(self, side: str, where: Column, size: int, how: str = "left_semi") -> DataFrame:
         rows = self.source if side == "source" else self.target
-        keys = self.records.where(~F.col("plain") & where)
         small = size <= self.options.broadcast_bytes
-        return self._digested(spread.filter_by_keys(rows, keys, how, side, small, self._hot))
+        listed = where & ~F.col("plain")
+        return self._digested(spread.filter_by_keys(rows, self.records, listed, how, small, self._hot))
 
     @property
     def _many(self) -> Column:
@@ -148,17 +156,19 @@ class Comparison:
             rows = self._filtered(side, self._many, self.totals.many_bytes, "left_anti")
         else:
             rows = self._digested(self.source if side == "source" else self.target)
-        if self._hot is not None:
-            rows = spread.sliced_for_pairs(rows, side, self._hot)
-        place = [spread.SLICE] if self._hot is not None else []
-        return rows.select(
-            KEY, *place, F.col(DIGEST).alias(f"{side}_digest"), F.struct(*_data_columns(rows)).alias(side)
-        )
+        return rows.select(KEY, F.col(DIGEST).alias(f"{side}_digest"), F.struct(*_data_columns(rows)).alias(side))
 
     def _pairs(self, changed: bool) -> DataFrame:
         """Rows of both sides with the same key, for keys with few rows on one side."""
-        on = [KEY, spread.SLICE] if self._hot is not None else [KEY]
-        joined = self._side_of_pairs("source", changed).join(self._side_of_pairs("target", changed), on)
+        hot = None if self._hot is None else self._hot & ~self._many
+        joined = spread.join_sides(
+            self._side_of_pairs("source", changed),
+            self._side_of_pairs("target", changed),
+            self.records,
+            hot,
+            self.store,
+            self.options.broadcast_bytes,
+        )
         if changed:
             joined = joined.where(~F.col("source_digest").eqNullSafe(F.col("target_digest")))
         return joined
@@ -198,8 +208,8 @@ class Comparison:
     def classified(self) -> DataFrame:
         """The full outer join by key: every row or pair with its status and both sides.
 
-        Built from the two one-sided sets and the pairs, which slice hot keys; an outer
-        join cannot. Keys listed row by row have the status ``many_to_many``.
+        Built from the two one-sided sets and the pairs, which treat hot keys apart; an
+        outer join cannot. Keys listed row by row have the status ``many_to_many``.
         """
         pairs = self._pairs(changed=False).select(
             F.when(F.col("source_digest") != F.col("target_digest"), "changed").otherwise("equal").alias("status"),
@@ -256,6 +266,12 @@ class Comparison:
         """One row, ``is_match``: no one-sided rows and no differing column."""
         return self.metrics().select("is_match")
 
+    def close(self) -> None:
+        """Remove the tables written for this comparison; its results must not be read after."""
+        for folder in self._folders:
+            remove(self.spark, folder)
+        self._folders.clear()
+
     def schema_diff(self) -> DataFrame:
         """Column names per side."""
         return schemas.schema_diff(self.source.drop(KEY), self.target.drop(KEY))
@@ -273,7 +289,7 @@ def compare(
 
 
 def _data_columns(df: DataFrame) -> list[Column]:
-    return [quoted(name) for name in df.columns if name not in (KEY, spread.SLICE)]
+    return [quoted(name) for name in df.columns if name != KEY]
 
 
 def _check_key_types(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> None:

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.dates import relative_day
 from evenkeel.operators.columns import name_list
+from evenkeel.operators.ledger import COUNTS
 from evenkeel.plans.compare import Comparison, Options
 from evenkeel.sinks.differences import Labels, save_differences
 from evenkeel.sinks.reports import report_rows, write_report
 from evenkeel.sources.scan import SideSpec, scan
-from evenkeel.workspace import written
 
 OUTCOME_SCHEMA = """
     name string, day string, is_match boolean, error string,
@@ -70,14 +70,14 @@ def open_comparison(spark: SparkSession, spec: ReconcileSpec, day: str | dt.date
     there, so later steps neither load it again nor see rows that changed meanwhile.
     """
     sides = [scan(spark, side, day) for side in (spec.source, spec.target)]
-    comparison = Comparison(sides[0], sides[1], spec.keys, spec.options)
+    plan = Comparison(sides[0], sides[1], spec.keys, spec.options)
     if spec.source.jdbc is None and spec.target.jdbc is None:
-        return comparison
+        return plan
     kept = [
-        written(df, comparison.folder, part) if side.jdbc is not None else df
+        plan.store(df, part) if side.jdbc is not None else df
         for part, side, df in zip(("source", "target"), (spec.source, spec.target), sides)
     ]
-    return Comparison(kept[0], kept[1], spec.keys, spec.options)
+    return plan.on(kept[0], kept[1])
 
 
 def run(
@@ -94,6 +94,13 @@ def run(
     if day is None and spec.is_daily:
         day = relative_day(spec.offset_days, as_of)
     comparison = open_comparison(spark, spec, day)
+    try:
+        return _outcome(comparison, spec, day)
+    finally:
+        comparison.close()
+
+
+def _outcome(comparison: Comparison, spec: ReconcileSpec, day: str | dt.date | None) -> Outcome:
     paths = {}
     if spec.output_path:
         paths = save_differences(comparison, spec.output_path, spec.name, day or dt.date.today(), spec.labels)
@@ -101,22 +108,18 @@ def run(
     if spec.report_path:
         rows = report_rows(comparison, spec.source.name, spec.target.name, day, paths)
         write_report(rows, spec.report_path, spec.name, day)
-    counts = {
-        name: getattr(totals, name)
-        for name in ("source_rows", "target_rows", "source_only", "target_only", "matched", "changed")
-    }
+    counts = {name: getattr(totals, name) for name in COUNTS}
     same = not (totals.source_only or totals.target_only or differing)
     return Outcome(spec.name, None if day is None else str(day), same, None, counts, differing, paths)
 
 
 def outcome_rows(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
     """Outcomes as a DataFrame, one row per pair."""
-    columns = ("source_rows", "target_rows", "source_only", "target_only", "matched", "changed")
     return spark.createDataFrame(
         [
             (
                 o.name, o.day, o.is_match, o.error,
-                *[_pairs(o.counts.get(c)) if c in ("matched", "changed") else o.counts.get(c) for c in columns],
+                *[_pairs(o.counts.get(c)) if c in ("matched", "changed") else o.counts.get(c) for c in COUNTS],
                 None if o.error else len(o.differing),
             )
             for o in outcomes

@@ -27,3 +27,9 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder made by ``shared_folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

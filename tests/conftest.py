@@ -12,7 +12,8 @@ def build_session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("evenkeel-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.showConsoleProgress", "false")

@@ -1,0 +1,134 @@
+from unittest.mock import MagicMock
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from evenkeel import SideSpec, scan
+from evenkeel.operators.columns import fold_names, keyed, project, with_key
+from evenkeel.sources import jdbc
+
+SF = "/root/testdata/sf0.01"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_window_and_projection_reach_the_file_scan(spark):
+    side = SideSpec(path=f"{SF}/orders.parquet", date_column="o_orderdate", columns="o_orderkey")
+    df = scan(spark, side, "1995-01-16")
+    plan = plan_of(df)
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    assert df.count() == 5
+
+
+def test_extra_predicate_stays_inside_the_window(spark):
+    frame = spark.createDataFrame([(1, "2024-01-15", "a"), (2, "2024-01-15", "c"), (3, "2023-01-01", "b")],
+                                  "id int, d string, x string")
+    side = SideSpec(frame=frame, date_column="d", where="x = 'a' OR x = 'b'")
+    assert [r.id for r in scan(spark, side, "2024-01-15").collect()] == [1]
+
+
+def test_january_fixture(spark):
+    january = [
+        scan(spark, SideSpec(path=f"{SF}/orders.parquet", date_column="o_orderdate",
+                             where="o_orderstatus = 'F' OR o_orderpriority LIKE '1%'"), f"1995-01-{d:02d}")
+        for d in range(1, 32)
+    ]
+    whole = january[0]
+    for day in january[1:]:
+        whole = whole.union(day)
+    assert whole.count() == 91
+
+
+def test_partition_column_prunes(spark, tmp_path):
+    df = spark.read.parquet(f"{SF}/events.parquet").withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
+    df.write.partitionBy("dt").parquet(str(tmp_path / "events"))
+    read = scan(spark, SideSpec(path=str(tmp_path / "events"), date_column="dt", exclude=["DT"]), "2024-01-15")
+    assert "PartitionFilters: [isnotnull(dt" in plan_of(read)
+    assert read.count() == 317 and "dt" not in read.columns
+
+
+def test_catalog_table_with_namespace(spark):
+    spark.read.parquet(f"{SF}/nation.parquet").createOrReplaceTempView("nation_view")
+    assert scan(spark, SideSpec(table="nation_view")).count() == 25
+    assert SideSpec(table="t", namespace="db").qualified_table == "db.t"
+
+
+def test_projection_ignores_case(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "Id int, Name int, extra int")
+    assert project(df, ["ID", "NAME"], "name").columns == ["Id"]
+    assert project(df, "*", ["EXTRA"]).columns == ["Id", "Name"]
+    with pytest.raises(ValueError, match="every column is excluded"):
+        project(df, exclude="id,name,extra")
+    with pytest.raises(ValueError, match="not found"):
+        project(df, "nope")
+
+
+def test_name_folding(spark):
+    df = spark.createDataFrame([(1, "a")], "ID int, NAME string")
+    assert fold_names(df).columns == ["id", "name"]
+    with pytest.raises(ValueError, match="more than once"):
+        fold_names(spark.sql("select 1 as Id, 2 as ID"))
+
+
+def test_key_errors_come_early(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    with pytest.raises(ValueError, match="not found"):
+        with_key(df, "id2")
+    with pytest.raises(ValueError, match="at least one"):
+        with_key(df, " , ")
+    with pytest.raises(ValueError, match="reserved"):
+        keyed(df.withColumn("_row_hash", F.lit(1)), "id")
+
+
+def test_side_needs_one_place():
+    with pytest.raises(ValueError, match="exactly one"):
+        SideSpec(table="a", path="b")
+    with pytest.raises(ValueError, match="exactly one"):
+        SideSpec()
+    with pytest.raises(ValueError, match="unsupported date format"):
+        SideSpec(table="a", date_format="mm/dd")
+
+
+# No database is started: what is sent to one is checked up to the reader's options.
+
+JDBC = {"url": "jdbc:example://host/db", "user": "u", "password": "p", "driver": "example.Driver"}
+
+
+def test_jdbc_relation_and_options():
+    side = SideSpec(table="t", namespace="s", jdbc=JDBC)
+    assert jdbc.relation(side) == "s.t"
+    options = jdbc.base_options(side)
+    assert options["dbtable"] == "s.t" and options["fetchsize"] == "10000" and options["user"] == "u"
+    narrowed = SideSpec(table="t", jdbc=JDBC, where="a = 1 OR b = 2")
+    assert jdbc.relation(narrowed) == "(SELECT * FROM t WHERE (a = 1 OR b = 2)) side_rows"
+
+
+def test_jdbc_slices():
+    schema = T.StructType([T.StructField("CREATED", T.TimestampType()), T.StructField("ID", T.LongType())])
+    by_time = jdbc.slice_options(SideSpec(table="t", jdbc=JDBC, date_column="created"), schema, "2024-01-15")
+    assert by_time == {
+        "partitionColumn": "CREATED", "lowerBound": "2024-01-15 00:00:00", "upperBound": "2024-01-16 00:00:00",
+        "numPartitions": "10",
+    }
+    by_id = SideSpec(table="t", jdbc=JDBC, partition_column="ID", partition_bounds=(1, 900), num_partitions=64)
+    assert jdbc.slice_options(by_id, schema, None)["numPartitions"] == "64"
+    assert jdbc.slice_options(SideSpec(table="t", jdbc=JDBC), schema, None) == {}
+    with pytest.raises(ValueError, match="partition_bounds"):
+        jdbc.slice_options(SideSpec(table="t", jdbc=JDBC, partition_column="ID"), schema, None)
+
+
+def test_jdbc_read_adds_window_and_projection(spark):
+    stored = spark.sql(
+        "select id, timestamp '2024-01-14 12:00:00' + make_interval(0,0,0,0,id) as CREATED, 'x' as NOTE from range(48)"
+    )
+    session = MagicMock()
+    loaded = session.read.format.return_value.options
+    loaded.return_value.load.return_value = stored
+    side = SideSpec(table="t", jdbc=JDBC, date_column="created", exclude="note")
+    df = scan(session, side, "2024-01-15")
+    assert df.columns == ["id", "CREATED"] and df.count() == 24
+    assert loaded.call_args_list[-1].kwargs["partitionColumn"] == "CREATED"
