@@ -22,46 +22,49 @@ def is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, TEXT_TYPES)
 
 
-def is_nan_text(text: Column) -> Column:
-    """Would this text cast to NaN?
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    Same answer as ``isnan(try_cast(text AS DOUBLE))``, which parses every value and
-    raises an exception inside the JVM for every ordinary word. Here the first byte
-    rules out nearly all values before the pattern is tried.
-    """
-    candidate = text < F.lit("!")
-    for first in ("N", "n", "+", "-"):
-        candidate = candidate | text.startswith(first)
-    return candidate & text.rlike(NAN_TEXT)
 
+def is_nan_text(name: str) -> Column:
+    """Would this text cast to NaN?"""
+    return F.expr(_nan_sql(quote(name)))
 
-def blank_missing(text: Column) -> Column:
+
+def _nan_sql(text: str) -> str:
+    # Same answer as isnan(try_cast(text AS DOUBLE)), which parses every value and raises
+    # an exception inside the JVM for every ordinary word. Here the first byte rules out
+    # nearly all values before the pattern is tried.
+    first = " OR ".join([f"{text} < '!'", *[f"startswith({text}, '{c}')" for c in "Nn+-"]])
+    return f"(({first}) AND {text} RLIKE r'{NAN_TEXT}')"
+
+
+def blank_missing(name: str) -> Column:
     """Text with NULL and NaN spellings folded to the empty string."""
-    return F.when(text.isNull() | is_nan_text(text), F.lit("")).otherwise(text)
+    text = quote(name)
+    return F.expr(f"CASE WHEN {text} IS NULL OR {_nan_sql(text)} THEN '' ELSE {text} END").alias(name)
 
 
-def joined_key(keys: Sequence[Column]) -> Column:
+def joined_key(names: Sequence[str]) -> Column:
     """Key parts joined to one text; NULL parts are left out, so it is never NULL."""
-    return F.concat_ws(SEPARATOR, *keys)
+    return F.concat_ws(SEPARATOR, *[quote(name) for name in names])
 
 
-def typed_key(keys: Sequence[Column], names: Sequence[str]) -> Column:
+def typed_key(names: Sequence[str]) -> Column:
     """Key parts kept apart with their types; equal when every part is, NULL included."""
-    return F.struct(*[key.alias(name) for key, name in zip(keys, names)])
+    return F.struct(*[quote(name) for name in names])
 
 
-def text_digest(values: Sequence[Column]) -> Column:
+def text_digest(names: Sequence[str]) -> Column:
     """SHA-256 (hex) of all values as text; NULL reads as the empty string."""
-    if not values:
-        return F.sha2(F.lit(""), 256)
-    texts = [F.coalesce(value.cast("string"), F.lit("")) for value in values]
-    return F.sha2(F.concat_ws(SEPARATOR, *texts), 256)
+    texts = "".join(f", coalesce(CAST({quote(name)} AS STRING), '')" for name in names)
+    return F.expr(f"sha2(concat_ws('{SEPARATOR}'{texts}), 256)")
 
 
-def safe_digest(values: Sequence[Column], names: Sequence[str]) -> Column:
+def safe_digest(names: Sequence[str]) -> Column:
     """SHA-256 (hex) of a JSON object of the values: tells NULL from ``''`` and keeps
     values apart that contain the separator."""
-    if not values:
-        return F.sha2(F.lit(""), 256)
-    texts = [value.cast("string").alias(name) for value, name in zip(values, names)]
-    return F.sha2(F.to_json(F.struct(*texts)), 256)
+    if not names:
+        return text_digest(names)
+    texts = ", ".join(f"CAST({quote(name)} AS STRING) AS {quote(name)}" for name in names)
+    return F.expr(f"sha2(to_json(struct({texts})), 256)")

@@ -115,6 +115,8 @@ def misfit(value: Column, own: T.DataType, other: T.DataType) -> Column:
 
 def differs(left: Column, left_type: T.DataType, right: Column, right_type: T.DataType) -> Column:
     """NULL-safe inequality of two column values, TRUE or FALSE and never NULL."""
+    if left_type == right_type and not _holds(left_type, (T.MapType,)):
+        return ~left.eqNullSafe(right)
     unequal = ~comparable(left, left_type, right_type).eqNullSafe(comparable(right, right_type, left_type))
     if is_text(left_type) == is_text(right_type):
         return unequal

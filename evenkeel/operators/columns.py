@@ -24,7 +24,7 @@ def name_list(names: str | Sequence[str] | None) -> list[str]:
 
 
 def quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(rows.quote(name))
 
 
 def project(df: DataFrame, columns: str | Sequence[str] = "*", exclude: str | Sequence[str] = ()) -> DataFrame:
@@ -42,7 +42,7 @@ def project(df: DataFrame, columns: str | Sequence[str] = "*", exclude: str | Se
     kept = [name for name in kept if name.lower() not in dropped]
     if not kept:
         raise ValueError("every column is excluded, nothing is left to select")
-    return df.select(*[quoted(name) for name in kept])
+    return df.select(*[rows.quote(name) for name in kept])
 
 
 def fold_names(df: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def normalize(df: DataFrame) -> DataFrame:
     """Lower-case names; NULL and NaN texts become the empty string."""
     df = fold_names(df)
     return df.select(*[
-        rows.blank_missing(quoted(f.name)).alias(f.name) if rows.is_text(f.dataType) else quoted(f.name)
+        rows.blank_missing(f.name) if rows.is_text(f.dataType) else rows.quote(f.name)
         for f in df.schema.fields
     ])
 
@@ -73,9 +73,7 @@ def with_key(df: DataFrame, keys: str | Sequence[str], key_mode: str = "concat")
     missing = [name for name in names if name not in df.columns]
     if missing:
         raise ValueError(f"key columns {missing} not found among {df.columns}")
-    parts = [quoted(name) for name in names]
-    key = rows.joined_key(parts) if key_mode == "concat" else rows.typed_key(parts, names)
-    return df.withColumn(KEY, key)
+    return df.withColumn(KEY, rows.joined_key(names) if key_mode == "concat" else rows.typed_key(names))
 
 
 def with_digest(
@@ -89,9 +87,7 @@ def with_digest(
         raise ValueError(f"digest must be one of {DIGESTS}, not {digest!r}")
     left_out = {name.lower() for name in name_list(keys)} | {KEY}
     names = sorted(n for n in df.columns if n.lower() not in left_out and (only is None or n in only))
-    values = [quoted(name) for name in names]
-    hashed = rows.text_digest(values) if digest == "text" else rows.safe_digest(values, names)
-    return df.withColumn(DIGEST, hashed)
+    return df.withColumn(DIGEST, rows.text_digest(names) if digest == "text" else rows.safe_digest(names))
 
 
 def keyed(df: DataFrame, keys: str | Sequence[str], key_mode: str = "concat") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.rows import KEY
+from evenkeel.functions.rows import KEY, quote
 from evenkeel.functions.values import differs, value_text
 from evenkeel.operators.columns import quoted
 from evenkeel.operators.ledger import PAIRS, product, stacked
@@ -33,15 +33,17 @@ def counted_in_pairs(
     """
     counts = pairs.agg(*[
         F.count_if(
-            differs(F.col("source")[name], source_types[name], F.col("target")[name], target_types[name])
+            differs(
+                F.col(f"source.{quote(name)}"), source_types[name], F.col(f"target.{quote(name)}"), target_types[name]
+            )
         ).alias(f"n{i}")
         for i, name in enumerate(columns)
     ])
-    listed = [
-        F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").cast(PAIRS).alias("differences"))
-        for i, name in enumerate(columns)
-    ]
-    return counts.select(F.inline(F.array(*listed)))
+    names = F.array(*[F.lit(name) for name in columns])
+    numbers = F.array(*[f"n{i}" for i in range(len(columns))])
+    return counts.select(F.inline(F.arrays_zip(names.alias("column_name"), numbers.alias("differences")))).select(
+        "column_name", F.col("differences").cast(PAIRS).alias("differences")
+    )
 
 
 def counted_by_value(source: DataFrame, target: DataFrame, columns: Sequence[str], changed: Decimal) -> DataFrame:
@@ -62,7 +64,7 @@ def counted_by_value(source: DataFrame, target: DataFrame, columns: Sequence[str
     )
     cells = both.select(KEY, "digest", F.posexplode("_values").alias("place", "value"), "source_rows", "target_rows")
     sums = [F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows")]
-    pairs = product(F.col("source_rows"), F.col("target_rows"))
+    pairs = product("source_rows", "target_rows")
     per_digest = cells.groupBy(KEY, "place", "value", "digest").agg(*sums)
     per_value = per_digest.groupBy(KEY, "place", "value").agg(*sums, F.sum(pairs).cast(PAIRS).alias("same_digest"))
     agreeing = per_value.groupBy("place").agg(F.sum(pairs - F.col("same_digest")).cast(PAIRS).alias("agreeing"))

@@ -21,21 +21,16 @@ from evenkeel.functions.rows import DIGEST, KEY
 PAIRS = "decimal(38,0)"
 
 
-def product(left: Column, right: Column) -> Column:
-    return (left.cast("decimal(19,0)") * right.cast("decimal(19,0)")).cast(PAIRS)
+def product(left: str, right: str) -> Column:
+    return F.expr(f"CAST(CAST({left} AS DECIMAL(19,0)) * CAST({right} AS DECIMAL(19,0)) AS {PAIRS})")
 
 
 def stacked(source: DataFrame, target: DataFrame, *extra: str) -> DataFrame:
     """Both sides below each other with a 1/0 marker per side; digests as 32 bytes, not 64 characters."""
 
     def marked(df: DataFrame, in_source: int, in_target: int) -> DataFrame:
-        return df.select(
-            KEY,
-            F.unhex(DIGEST).alias("digest"),
-            *extra,
-            F.lit(in_source).cast("bigint").alias("source_rows"),
-            F.lit(in_target).cast("bigint").alias("target_rows"),
-        )
+        markers = f"{in_source}L AS source_rows", f"{in_target}L AS target_rows"
+        return df.selectExpr(KEY, f"unhex({DIGEST}) AS digest", *extra, *markers)
 
     return marked(source, 1, 0).unionByName(marked(target, 0, 1))
 
@@ -48,9 +43,9 @@ def key_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     per_key = per_digest.groupBy(KEY).agg(
         F.sum("source_rows").alias("source_rows"),
         F.sum("target_rows").alias("target_rows"),
-        F.sum(product(F.col("source_rows"), F.col("target_rows"))).cast(PAIRS).alias("same_pairs"),
+        F.sum(product("source_rows", "target_rows")).cast(PAIRS).alias("same_pairs"),
     )
-    return per_key.withColumn("pairs", product(F.col("source_rows"), F.col("target_rows")))
+    return per_key.withColumn("pairs", product("source_rows", "target_rows"))
 
 
 def ledger(counts: DataFrame) -> DataFrame:
@@ -84,21 +79,21 @@ def many_to_many(fanout: int) -> Column:
     return F.least("source_rows", "target_rows") > fanout
 
 
-def _total(value: Column, where: Column | None = None) -> Column:
-    return F.coalesce(F.sum(value if where is None else F.when(where, value)), F.lit(0))
+def _total(value: str, where: str = "true") -> str:
+    return f"coalesce(sum({value}) FILTER (WHERE {where}), 0)"
 
 
 def count_columns() -> list[Column]:
     """The aggregates that turn key counts (or a ledger) into one row of counts."""
-    rows_source, rows_target = F.col("source_rows"), F.col("target_rows")
-    return [
-        _total(rows_source).alias("source_rows"),
-        _total(rows_target).alias("target_rows"),
-        _total(rows_source, in_source_only()).alias("source_only"),
-        _total(rows_target, in_target_only()).alias("target_only"),
-        _total(F.col("pairs")).cast(PAIRS).alias("matched"),
-        _total(F.col("pairs") - F.col("same_pairs")).cast(PAIRS).alias("changed"),
-    ]
+    sums = {
+        "source_rows": _total("source_rows"),
+        "target_rows": _total("target_rows"),
+        "source_only": _total("source_rows", "target_rows = 0"),
+        "target_only": _total("target_rows", "source_rows = 0"),
+        "matched": f"CAST({_total('pairs')} AS {PAIRS})",
+        "changed": f"CAST({_total('pairs - same_pairs')} AS {PAIRS})",
+    }
+    return [F.expr(value).alias(name) for name, value in sums.items()]
 
 
 COUNTS = ("source_rows", "target_rows", "source_only", "target_only", "matched", "changed")
@@ -130,18 +125,18 @@ class Totals:
 
 def totals(records: DataFrame, fanout: int) -> Totals:
     """Sum up a ledger, with the exact size of each key list that may be broadcast."""
-    many = many_to_many(fanout) & ~F.col("plain")
-    size = (F.octet_length(F.col(KEY).cast("string")) + 24).cast("bigint")
-    row = records.agg(
-        *count_columns(),
-        F.count_if(many).alias("many_keys"),
-        _total(F.col("pairs") - F.col("same_pairs"), many).cast(PAIRS).alias("many_changed"),
-        F.coalesce(F.max(F.when(~F.col("plain"), F.greatest("source_rows", "target_rows"))), F.lit(0)).alias("heaviest"),
-        _total(size, in_source_only()).alias("source_only_bytes"),
-        _total(size, in_target_only()).alias("target_only_bytes"),
-        _total(size, is_changed()).alias("changed_bytes"),
-        _total(size, many).alias("many_bytes"),
-    ).first()
+    many = f"NOT plain AND least(source_rows, target_rows) > {fanout}"
+    size = f"octet_length(CAST({KEY} AS STRING)) + 24L"
+    sums = {
+        "many_keys": f"count_if({many})",
+        "many_changed": f"CAST({_total('pairs - same_pairs', many)} AS {PAIRS})",
+        "heaviest": "coalesce(max(greatest(source_rows, target_rows)) FILTER (WHERE NOT plain), 0)",
+        "source_only_bytes": _total(size, "target_rows = 0"),
+        "target_only_bytes": _total(size, "source_rows = 0"),
+        "changed_bytes": _total(size, "pairs > same_pairs"),
+        "many_bytes": _total(size, many),
+    }
+    row = records.agg(*count_columns(), *[F.expr(value).alias(name) for name, value in sums.items()]).first()
     values = row.asDict()
     values["matched"], values["changed"] = int(values["matched"]), int(values["changed"])
     return Totals(**values)

@@ -106,17 +106,13 @@ class Comparison:
 
     def status_counts(self) -> DataFrame:
         """Rows (pairs where both sides have the key) per status."""
-        statuses = {
-            "source_only": F.col("source_only"),
-            "target_only": F.col("target_only"),
-            "changed": F.col("changed"),
-            "equal": F.col("matched") - F.col("changed"),
-        }
-        listed = [
-            F.struct(F.lit(name).alias("status"), value.cast(ledger.PAIRS).alias("row_count"))
-            for name, value in statuses.items()
-        ]
-        return self.counts().select(F.inline(F.array(*listed))).where("row_count > 0")
+        return self.counts().selectExpr(
+            f"""inline(array(
+                struct('source_only' AS status, CAST(source_only AS {ledger.PAIRS}) AS row_count),
+                struct('target_only' AS status, CAST(target_only AS {ledger.PAIRS}) AS row_count),
+                struct('changed' AS status, changed AS row_count),
+                struct('equal' AS status, CAST(matched - changed AS {ledger.PAIRS}) AS row_count)))"""
+        ).where("row_count > 0")
 
     # second step: full rows of the keys that matter
 

@@ -62,7 +62,7 @@ def test_window_rejects_unfit_columns(spark):
 def assert_nan_test_agrees(spark, texts):
     df = spark.createDataFrame([(text,) for text in texts], "x string")
     parsed = F.coalesce(F.isnan(F.col("x").try_cast("double")), F.lit(False))
-    wrong = df.where(parsed != rows.is_nan_text(F.col("x"))).collect()
+    wrong = df.where(parsed != rows.is_nan_text("x")).collect()
     assert not wrong
 
 
@@ -81,31 +81,30 @@ def test_nan_test_agrees_with_the_cast(spark, texts):
 def test_missing_texts_become_empty(spark):
     given_texts = ["Alice", "NaN", "nan", " NaN ", "+NaN", None, "1.5", ""]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(given_texts)], "i int, x string")
-    got = [r.x for r in df.select("i", rows.blank_missing(F.col("x")).alias("x")).orderBy("i").collect()]
+    got = [r.x for r in df.select("i", rows.blank_missing("x")).orderBy("i").collect()]
     assert got == ["Alice", "", "", "", "", "", "1.5", ""]
 
 
 def test_keys(spark):
     df = spark.createDataFrame([(1, "A"), (2, None), (None, "B"), (None, None)], "id int, code string")
-    keys = df.select(rows.joined_key([F.col("id"), F.col("code")]).alias("k")).collect()
+    keys = df.select(rows.joined_key(["id", "code"]).alias("k")).collect()
     assert [r.k for r in keys] == ["1||A", "2", "B", ""]
 
 
 def test_text_digest(spark):
     df = spark.sql("select 1 as a, cast(null as string) as b, cast(100 as decimal(10,2)) as c, true as d")
-    got = df.select(rows.text_digest([F.col(c) for c in "abcd"]).alias("h")).first().h
+    got = df.select(rows.text_digest(list("abcd")).alias("h")).first().h
     assert got == hashlib.sha256(b"1||||100.00||true").hexdigest()
-    empty = df.select(rows.text_digest([]).alias("h"), rows.safe_digest([], []).alias("s")).first()
+    empty = df.select(rows.text_digest([]).alias("h"), rows.safe_digest([]).alias("s")).first()
     assert empty.h == empty.s == hashlib.sha256(b"").hexdigest()
 
 
 def test_safe_digest_separates_what_text_joins(spark):
     df = spark.createDataFrame([("p||q", "r"), ("p", "q||r")], "a string, b string")
-    columns = [F.col("a"), F.col("b")]
-    hashes = df.select(rows.text_digest(columns).alias("t"), rows.safe_digest(columns, ["a", "b"]).alias("s")).collect()
+    hashes = df.select(rows.text_digest(["a", "b"]).alias("t"), rows.safe_digest(["a", "b"]).alias("s")).collect()
     assert len({r.t for r in hashes}) == 1 and len({r.s for r in hashes}) == 2
     missing = spark.sql("select cast(null as int) as a union all select 0")
-    assert missing.select(rows.safe_digest([F.col("a")], ["a"])).distinct().count() == 2
+    assert missing.select(rows.safe_digest(["a"])).distinct().count() == 2
 
 
 # left type, left value, right type, right value, do they differ?
