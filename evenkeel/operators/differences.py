@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -46,12 +46,19 @@ def counted_in_pairs(
     )
 
 
-def counted_by_value(source: DataFrame, target: DataFrame, columns: Sequence[str], changed: Decimal) -> DataFrame:
+def counted_by_value(
+    source: DataFrame,
+    target: DataFrame,
+    columns: Sequence[str],
+    pairs: Decimal,
+    store: Callable[[DataFrame, str], DataFrame],
+) -> DataFrame:
     """The same counts for keys with many rows on both sides, without forming their pairs.
 
-    For one column, of the ``changed`` pairs (equal key, unequal digest) those agree in the
-    column that share the value, less those that share value and digest. Both numbers are
-    sums of products of row counts per (key, value) and (key, value, digest).
+    Of all ``pairs`` with the same key, those that agree in a column are the sum, over key
+    and value, of the product of both sides' row counts. The others differ; they count
+    unless their digests are equal all the same (as with values that contain the
+    separator), which is looked into only for digests that stand for unequal rows.
     """
     source_types, target_types = types_by_name(source), types_by_name(target)
 
@@ -59,20 +66,33 @@ def counted_by_value(source: DataFrame, target: DataFrame, columns: Sequence[str
         values = [value_text(quoted(name), own[name], other[name]) for name in columns]
         return df.withColumn("_values", F.array(*values))
 
+    sums = [F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows")]
     both = stacked(
         texts(source, source_types, target_types), texts(target, target_types, source_types), "_values"
     )
-    cells = both.select(KEY, "digest", F.posexplode("_values").alias("place", "value"), "source_rows", "target_rows")
-    sums = [F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows")]
-    pairs = product("source_rows", "target_rows")
-    per_digest = cells.groupBy(KEY, "place", "value", "digest").agg(*sums)
-    per_value = per_digest.groupBy(KEY, "place", "value").agg(*sums, F.sum(pairs).cast(PAIRS).alias("same_digest"))
-    agreeing = per_value.groupBy("place").agg(F.sum(pairs - F.col("same_digest")).cast(PAIRS).alias("agreeing"))
-    names = F.element_at(F.array(*[F.lit(name) for name in columns]), F.col("place") + 1)
-    return agreeing.select(
-        names.alias("column_name"),
-        (F.lit(changed).cast(PAIRS) - F.col("agreeing")).cast(PAIRS).alias("differences"),
+    rows = store(both.groupBy(KEY, "digest", "_values").agg(*sums), "distinct_rows")
+
+    def agreeing(rows: DataFrame, *by: str) -> DataFrame:
+        cells = rows.select(*by, F.posexplode("_values").alias("place", "value"), "source_rows", "target_rows")
+        per_value = cells.groupBy(*by, "place", "value").agg(*sums)
+        return per_value.groupBy("place").agg(F.sum(product("source_rows", "target_rows")).cast(PAIRS).alias("same"))
+
+    uncounted = agreeing(rows, KEY)
+    ambiguous = (
+        rows.groupBy(KEY, "digest")
+        .agg(F.count("*").alias("kinds"), *sums)
+        .where("kinds > 1 AND source_rows > 0 AND target_rows > 0")
     )
+    ambiguous = store(ambiguous.withColumn("pairs", product("source_rows", "target_rows")), "ambiguous_digests")
+    hidden = ambiguous.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast(PAIRS)).first()[0]
+    if hidden:
+        # pairs with equal digests that agree in the column were subtracted twice: add them again
+        inside = agreeing(rows.join(ambiguous, [KEY, "digest"], "left_semi"), KEY, "digest")
+        uncounted = uncounted.unionByName(inside.withColumn("same", (-F.col("same")).cast(PAIRS)))
+        uncounted = uncounted.groupBy("place").agg(F.sum("same").cast(PAIRS).alias("same"))
+    names = F.element_at(F.array(*[F.lit(name) for name in columns]), F.col("place") + 1)
+    counted = (F.lit(pairs - hidden).cast(PAIRS) - F.col("same")).cast(PAIRS)
+    return uncounted.select(names.alias("column_name"), counted.alias("differences"))
 
 
 def summed(*parts: DataFrame) -> DataFrame:

@@ -115,7 +115,7 @@ class Totals:
     matched: int
     changed: int
     many_keys: int
-    many_changed: Decimal
+    many_pairs: Decimal
     heaviest: int
     source_only_bytes: int
     target_only_bytes: int
@@ -129,7 +129,7 @@ def totals(records: DataFrame, fanout: int) -> Totals:
     size = f"octet_length(CAST({KEY} AS STRING)) + 24L"
     sums = {
         "many_keys": f"count_if({many})",
-        "many_changed": f"CAST({_total('pairs - same_pairs', many)} AS {PAIRS})",
+        "many_pairs": f"CAST({_total('pairs', f'{many} AND pairs > same_pairs')} AS {PAIRS})",
         "heaviest": "coalesce(max(greatest(source_rows, target_rows)) FILTER (WHERE NOT plain), 0)",
         "source_only_bytes": _total(size, "target_rows = 0"),
         "target_only_bytes": _total(size, "source_rows = 0"),

@@ -236,10 +236,10 @@ class Comparison:
                 pairs, names, differences.types_by_name(self.source), differences.types_by_name(self.target)
             )
         ]
-        if self.totals.many_changed:
+        if self.totals.many_pairs:
             wanted = self._many & ledger.is_changed()
             rows = [self._filtered(side, wanted, self.totals.many_bytes) for side in ("source", "target")]
-            parts.append(differences.counted_by_value(*rows, names, self.totals.many_changed))
+            parts.append(differences.counted_by_value(*rows, names, self.totals.many_pairs, self.store))
         return differences.summed(*parts)
 
     @cached_property
