@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -45,6 +45,38 @@ class ReconcileSpec:
         if not name_list(self.keys):
             raise ValueError("at least one key column is needed")
 
+    @classmethod
+    def for_tables(
+        cls,
+        source_table: str,
+        keys: str | Sequence[str],
+        target_table: str | None = None,
+        *,
+        jdbc: Mapping[str, str] | None = None,
+        source_namespace: str | None = None,
+        target_namespace: str | None = "default",
+        date_column: str | None = None,
+        date_format: str = "yyyy-mm-dd",
+        columns: str | Sequence[str] = "*",
+        exclude: str | Sequence[str] = (),
+        source_where: str | None = None,
+        target_where: str | None = None,
+        **rest,
+    ) -> ReconcileSpec:
+        """A database table (``jdbc``) or catalog table against a catalog table.
+
+        The target has the source's table name unless another is given; the window,
+        ``columns`` and ``exclude`` hold for both sides.
+        """
+        shared = {"date_column": date_column, "date_format": date_format, "columns": columns, "exclude": exclude}
+        source = SideSpec(
+            table=source_table, namespace=source_namespace, jdbc=jdbc, where=source_where, **shared
+        )
+        target = SideSpec(
+            table=target_table or source_table, namespace=target_namespace, where=target_where, **shared
+        )
+        return cls(source_table, source, target, keys, **rest)
+
     @property
     def is_daily(self) -> bool:
         return bool(self.source.date_column or self.target.date_column)

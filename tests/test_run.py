@@ -168,6 +168,19 @@ def test_outcome_of_a_failure(spark):
     assert row.is_match is None and row.error == "boom" and row.differing_columns is None
 
 
+def test_spec_for_tables(spark):
+    spec = ReconcileSpec.for_tables("t", "id, code", source_namespace="app", jdbc={"url": "jdbc:x"}, date_column="d",
+                                    exclude="a,b", target_where="x > 1", offset_days=3)
+    assert (spec.name, spec.source.qualified_table, spec.target.qualified_table) == ("t", "app.t", "default.t")
+    assert spec.source.jdbc and spec.target.jdbc is None and spec.is_daily and spec.offset_days == 3
+    assert (spec.source.where, spec.target.where) == (None, "x > 1")
+    frames(spark)[0].createOrReplaceTempView("plain_source")
+    frames(spark)[1].createOrReplaceTempView("plain_target")
+    plain = ReconcileSpec.for_tables("plain_source", "id", "plain_target", target_namespace=None, columns="ID,name")
+    outcome = run(spark, plain)
+    assert outcome.counts["changed"] == 0 and outcome.counts["source_only"] == 1 and outcome.day is None
+
+
 def test_spec_needs_keys():
     with pytest.raises(ValueError, match="key column"):
         ReconcileSpec("t", SideSpec(table="a"), SideSpec(table="b"), [])
