@@ -115,6 +115,7 @@ class Totals:
     matched: int
     changed: int
     many_keys: int
+    many_changed: int
     many_pairs: Decimal
     heaviest: int
     source_only_bytes: int
@@ -129,6 +130,7 @@ def totals(records: DataFrame, fanout: int) -> Totals:
     size = f"octet_length(CAST({KEY} AS STRING)) + 24L"
     sums = {
         "many_keys": f"count_if({many})",
+        "many_changed": f"CAST({_total('pairs - same_pairs', many)} AS {PAIRS})",
         "many_pairs": f"CAST({_total('pairs', f'{many} AND pairs > same_pairs')} AS {PAIRS})",
         "heaviest": "coalesce(max(greatest(source_rows, target_rows)) FILTER (WHERE NOT plain), 0)",
         "source_only_bytes": _total(size, "target_rows = 0"),
@@ -138,5 +140,6 @@ def totals(records: DataFrame, fanout: int) -> Totals:
     }
     row = records.agg(*count_columns(), *[F.expr(value).alias(name) for name, value in sums.items()]).first()
     values = row.asDict()
-    values["matched"], values["changed"] = int(values["matched"]), int(values["changed"])
+    for name in ("matched", "changed", "many_changed"):
+        values[name] = int(values[name])
     return Totals(**values)

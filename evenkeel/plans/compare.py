@@ -228,15 +228,15 @@ class Comparison:
         names = [name for name in self.columns.common if name not in self.keys]
         if not names or not self.totals.changed:
             return self.spark.createDataFrame([], differences.SCHEMA)
-        pairs = self._pairs(changed=True)
-        if self._changed is not None:
-            pairs = self._changed.where(F.col("pairing") == "pair")
-        parts = [
-            differences.counted_in_pairs(
-                pairs, names, differences.types_by_name(self.source), differences.types_by_name(self.target)
-            )
-        ]
-        if self.totals.many_pairs:
+        kinds = differences.types_by_name(self.source), differences.types_by_name(self.target)
+        parts = []
+        if self.totals.changed > self.totals.many_changed:
+            if self._changed is None:
+                pairs = self._pairs(changed=True)
+            else:
+                pairs = self._changed.where(F.col("pairing") == "pair")
+            parts.append(differences.counted_in_pairs(pairs, names, *kinds))
+        if self.totals.many_changed:
             wanted = self._many & ledger.is_changed()
             rows = [self._filtered(side, wanted, self.totals.many_bytes) for side in ("source", "target")]
             parts.append(differences.counted_by_value(*rows, names, self.totals.many_pairs, self.store))
