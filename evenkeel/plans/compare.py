@@ -68,6 +68,7 @@ class Comparison:
         self.spark = source.sparkSession
         self._changed: DataFrame | None = None
         self._folders: list[str] = []
+        self._kept: dict[str, DataFrame] = {}
 
     def on(self, source: DataFrame, target: DataFrame) -> Comparison:
         """The same comparison over other copies of the two sides."""
@@ -127,12 +128,33 @@ class Comparison:
             return None
         return spread.is_hot(self._threshold) & ~F.col("plain")
 
-    def _filtered(self, side: str, where: Column, size: int, how: str = "left_semi") -> DataFrame:
-        rows = self.source if side == "source" else self.target
+    def _filtered(
+        self, side: str, where: Column, size: int, how: str = "left_semi", kept: bool = True
+    ) -> DataFrame:
+        """One side's rows by key; from the kept rows if there are any and they suffice."""
         small = size <= self.options.broadcast_bytes
         listed = where & ~F.col("plain")
+        if kept and side in self._kept:
+            return spread.filter_by_keys(self._kept[side], self.records, listed, how, small, self._hot)
+        rows = self.source if side == "source" else self.target
         return self._digested(spread.filter_by_keys(rows, self.records, listed, how, small, self._hot))
 
+    def keep_differing_rows(self) -> None:
+        """Store the rows of one-sided and changed keys, if those keys can be broadcast.
+
+        One more scan per side then serves all difference sets. With more keys than that,
+        a second copy of the tables would cost more than it saves, and nothing is stored.
+        """
+        one_sided = {
+            "source": (ledger.in_source_only(), self.totals.source_only_bytes),
+            "target": (ledger.in_target_only(), self.totals.target_only_bytes),
+        }
+        for side, (alone, size) in one_sided.items():
+            size += self.totals.changed_bytes
+            if side not in self._kept and size <= self.options.broadcast_bytes:
+                rows = self._filtered(side, alone | ledger.is_changed(), size)
+                self._kept[side] = self.store(rows, f"{side}_rows")
+
     @property
     def _many(self) -> Column:
         return ledger.many_to_many(self.options.pair_fanout)
@@ -149,7 +171,7 @@ class Comparison:
         if changed:
             rows = self._filtered(side, ledger.is_changed() & ~self._many, self.totals.changed_bytes)
         elif self.totals.many_keys:
-            rows = self._filtered(side, self._many, self.totals.many_bytes, "left_anti")
+            rows = self._filtered(side, self._many, self.totals.many_bytes, "left_anti", kept=False)
         else:
             rows = self._digested(self.source if side == "source" else self.target)
         return rows.select(KEY, F.col(DIGEST).alias(f"{side}_digest"), F.struct(*_data_columns(rows)).alias(side))
@@ -169,13 +191,14 @@ class Comparison:
             joined = joined.where(~F.col("source_digest").eqNullSafe(F.col("target_digest")))
         return joined
 
-    def _rows_of_many(self, where: Column) -> DataFrame | None:
+    def _rows_of_many(self, changed: bool) -> DataFrame | None:
         """Rows of keys with many rows on both sides, each once, the other side left NULL."""
-        if not self.totals.many_keys:
+        if not (self.totals.many_changed if changed else self.totals.many_keys):
             return None
         parts = []
+        where = self._many & ledger.is_changed() if changed else self._many
         for side in ("source", "target"):
-            rows = self._filtered(side, self._many & where, self.totals.many_bytes)
+            rows = self._filtered(side, where, self.totals.many_bytes, kept=changed)
             parts.append(rows.select(KEY, F.struct(*_data_columns(rows)).alias(side)))
         return parts[0].unionByName(parts[1], allowMissingColumns=True).withColumn("pairing", F.lit("rows"))
 
@@ -189,13 +212,13 @@ class Comparison:
         A key with more than ``pair_fanout`` rows on both sides is not multiplied out:
         its rows appear once each, marked ``pairing = 'rows'``, the other side NULL.
         """
-        return self._paired(self._pairs(changed=False), self._rows_of_many(F.lit(True)))
+        return self._paired(self._pairs(changed=False), self._rows_of_many(changed=False))
 
     def changed(self) -> DataFrame:
         """Pairs with unequal digests, laid out as in ``matched``."""
         if self._changed is not None:
             return self._changed
-        return self._paired(self._pairs(changed=True), self._rows_of_many(ledger.is_changed()))
+        return self._paired(self._pairs(changed=True), self._rows_of_many(changed=True))
 
     def use_changed(self, stored: DataFrame) -> None:
         """Go on from a written copy of ``changed`` instead of computing it again."""
@@ -215,7 +238,7 @@ class Comparison:
         for side, rows in (("source", self.source_only()), ("target", self.target_only())):
             data = F.struct(*_data_columns(rows)).alias(side)
             parts.append(rows.select(F.lit(f"{side}_only").alias("status"), KEY, data))
-        many = self._rows_of_many(F.lit(True))
+        many = self._rows_of_many(changed=False)
         if many is not None:
             parts.append(many.select(F.lit("many_to_many").alias("status"), KEY, "source", "target"))
         whole = parts[0]

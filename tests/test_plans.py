@@ -58,3 +58,16 @@ def test_only_compared_columns_are_read(spark):
                            Options(digest_columns="common")).counts())
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         assert "o_orderpriority" not in schema and "o_orderstatus" not in schema
+
+
+def test_kept_rows_serve_all_sets(spark):
+    comparison = compare(*pair(spark), "o_orderkey")
+    before = [comparison.source_only().count(), comparison.changed().count()]
+    comparison.keep_differing_rows()
+    for rows in (comparison.source_only(), comparison.target_only(), comparison.changed()):
+        assert "orders.parquet" not in plan_of(rows)
+    assert [comparison.source_only().count(), comparison.changed().count()] == before
+    assert comparison.matched().count() == comparison.totals.matched
+    shuffled = compare(*pair(spark), "o_orderkey", Options(broadcast_bytes=0))
+    shuffled.keep_differing_rows()
+    assert "orders.parquet" in plan_of(shuffled.source_only())
