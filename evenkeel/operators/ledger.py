@@ -62,6 +62,15 @@ def ledger(counts: DataFrame) -> DataFrame:
     )
 
 
+# size of one listed key, for lists that may be broadcast
+KEY_BYTES = f"octet_length(CAST({KEY} AS STRING)) + 24L"
+
+
+def key_bytes(records: DataFrame, listed: Column) -> int:
+    """Measured size of the listed keys."""
+    return records.where(listed).agg(F.expr(f"CAST({_total(KEY_BYTES)} AS BIGINT)")).first()[0]
+
+
 def in_source_only() -> Column:
     return F.col("target_rows") == 0
 
@@ -127,16 +136,15 @@ class Totals:
 def totals(records: DataFrame, fanout: int) -> Totals:
     """Sum up a ledger, with the exact size of each key list that may be broadcast."""
     many = f"NOT plain AND least(source_rows, target_rows) > {fanout}"
-    size = f"octet_length(CAST({KEY} AS STRING)) + 24L"
     sums = {
         "many_keys": f"count_if({many})",
         "many_changed": f"CAST({_total('pairs - same_pairs', many)} AS {PAIRS})",
         "many_pairs": f"CAST({_total('pairs', f'{many} AND pairs > same_pairs')} AS {PAIRS})",
         "heaviest": "coalesce(max(greatest(source_rows, target_rows)) FILTER (WHERE NOT plain), 0)",
-        "source_only_bytes": _total(size, "target_rows = 0"),
-        "target_only_bytes": _total(size, "source_rows = 0"),
-        "changed_bytes": _total(size, "pairs > same_pairs"),
-        "many_bytes": _total(size, many),
+        "source_only_bytes": _total(KEY_BYTES, "target_rows = 0"),
+        "target_only_bytes": _total(KEY_BYTES, "source_rows = 0"),
+        "changed_bytes": _total(KEY_BYTES, "pairs > same_pairs"),
+        "many_bytes": _total(KEY_BYTES, many),
     }
     row = records.agg(*count_columns(), *[F.expr(value).alias(name) for name, value in sums.items()]).first()
     values = row.asDict()

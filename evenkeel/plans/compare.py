@@ -122,11 +122,16 @@ class Comparison:
         rows = self.totals.source_rows + self.totals.target_rows
         return spread.hot_threshold(rows, self.options.hot_rows)
 
-    @property
+    @cached_property
     def _hot(self) -> Column | None:
+        """The condition for hot keys; None without any, or with keys too long to broadcast.
+
+        Then only adaptive execution splits what such keys make too large.
+        """
         if self.totals.heaviest <= self._threshold:
             return None
-        return spread.is_hot(self._threshold) & ~F.col("plain")
+        hot = spread.is_hot(self._threshold) & ~F.col("plain")
+        return hot if ledger.key_bytes(self.records, hot) <= max(self.options.broadcast_bytes, 1 << 20) else None
 
     def _filtered(
         self, side: str, where: Column, size: int, how: str = "left_semi", kept: bool = True

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,6 +187,13 @@ def test_spec_needs_keys():
         ReconcileSpec("t", SideSpec(table="a"), SideSpec(table="b"), [])
 
 
+def test_shared_folder_must_be_named_on_a_cluster():
+    cluster = MagicMock()
+    cluster.conf.get.side_effect = lambda name, default=None: {"spark.master": "yarn"}.get(name, default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)
+
+
 def test_shared_folder_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

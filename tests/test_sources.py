@@ -24,6 +24,16 @@ def test_window_and_projection_reach_the_file_scan(spark):
     assert df.count() == 5
 
 
+@pytest.mark.parametrize("sf, events, orders", [("sf0.001", 26, 1), ("sf0.01", 317, 5), ("sf0.1", 3295, 62)])
+def test_window_fixture(spark, sf, events, orders):
+    folder = f"/root/testdata/{sf}"
+    assert scan(spark, SideSpec(path=f"{folder}/events.parquet", date_column="ts"), "2024-01-15").count() == events
+    typed = SideSpec(path=f"{folder}/orders.parquet", date_column="o_orderdate")
+    assert scan(spark, typed, "1995-01-16").count() == orders
+    texts = spark.read.parquet(typed.path).withColumn("day", F.date_format("o_orderdate", "yyyyMMdd"))
+    assert scan(spark, SideSpec(frame=texts, date_column="day", date_format="yyyymmdd"), "1995-01-16").count() == orders
+
+
 def test_extra_predicate_stays_inside_the_window(spark):
     frame = spark.createDataFrame([(1, "2024-01-15", "a"), (2, "2024-01-15", "c"), (3, "2023-01-01", "b")],
                                   "id int, d string, x string")
