@@ -601,7 +601,7 @@ def sql_side(sql: str, pair: Pair, columns: list[str], safe: bool = False) -> st
     key = ", ".join(value[name] for name in pair.keys)
     blank = "'<null>'" if safe else "''"
     parts = ", ".join(f"coalesce(cast({value[name]} as varchar), {blank})" for name in sorted(columns))
-    listed = ", ".join(f"{value[name]} as {name}" for name in (*columns, *pair.keys) if name in columns + list(pair.keys))
+    listed = ", ".join(f"{value[name]} as {name}" for name in (*columns, *pair.keys))
     digest = f"sha256(concat_ws('||', {parts}))" if parts else "sha256('')"
     return f"select concat_ws('||', {key}) as k, {digest} as h, {listed} from ({sql})"
 
@@ -657,7 +657,10 @@ def sql_metrics(pair: Pair, common: int, **sides_of) -> str:
 
 def sql_one_sided(side: str, pair: Pair) -> str:
     own, other = ("s", "t") if side == "source" else ("t", "s")
-    return f"{joined(pair)} select * exclude (h, k), k as _composite_key from {own} where k not in (select k from {other})"
+    return f"""
+    {joined(pair)}
+    select * exclude (h, k), k as _composite_key from {own} where k not in (select k from {other})
+    """
 
 
 def sql_pairs(pair: Pair, where: str, lead: str = "") -> str:
@@ -665,10 +668,15 @@ def sql_pairs(pair: Pair, where: str, lead: str = "") -> str:
     return f"{joined(pair)} select {lead} coalesce(sk, tk) as _composite_key, {listed} from j where {where}"
 
 
+def hot_sides() -> str:
+    """Both sides of the hot pair without their join."""
+    return joined(HOT).rsplit("j as (", 1)[0].rstrip().rstrip(",")
+
+
 def sql_hot_counts() -> str:
     # 10^8 pairs and more: counted from group sizes, as no engine lists them
     return f"""
-    {joined(HOT).split(", j as")[0].rsplit("j as", 1)[0].rstrip().rstrip(",")},
+    {hot_sides()},
          g as (select k, h, sum(a) as a, sum(b) as b from (
                    select k, h, 1 as a, 0 as b from s union all select k, h, 0, 1 from t) group by k, h),
          p as (select k, sum(a) as a, sum(b) as b, sum(a * b) as same from g group by k)
@@ -681,7 +689,6 @@ def sql_hot_counts() -> str:
 
 
 def sql_hot_differences() -> str:
-    base = joined(HOT).rsplit("j as (", 1)[0].rstrip().rstrip(",")
     parts = []
     for n in HOT.columns:
         cells = f"(select k, h, {n} as v, 1 as a, 0 as b from s union all select k, h, {n}, 0, 1 from t)"
@@ -691,17 +698,16 @@ def sql_hot_differences() -> str:
 
         value = f"{pairs('k')} - {pairs('k', 'h')} - {pairs('k', 'v')} + {pairs('k', 'v', 'h')}"
         parts.append(f"select '{n}' as column_name, cast({value} as bigint) as differences")
-    return f"{base} select * from ({' union all '.join(parts)}) where differences > 0"
+    return f"{hot_sides()} select * from ({' union all '.join(parts)}) where differences > 0"
 
 
 def sql_hot_rows() -> str:
-    base = joined(HOT).rsplit("j as (", 1)[0].rstrip().rstrip(",")
     def listed(own: str) -> str:
         return ", ".join(
             f"{n if side[0] == own else f'null'} as {side}_{n}" for side in ("source", "target") for n in HOT.columns
         )
     return f"""
-    {base}
+    {hot_sides()}
     select 'rows' as pairing, k as _composite_key, {listed('s')} from s
     union all
     select 'rows', k, {listed('t')} from t
@@ -762,7 +768,7 @@ def sql_report() -> str:
         ("columns", "target_only_columns", "''"),
         ("verdict", "status", "'different'"),
     ]
-    parts = [f"select '{section}' as section, '{metric}' as metric, {value} as value" for section, metric, value in lines]
+    parts = [f"select '{part}' as section, '{metric}' as metric, {value} as value" for part, metric, value in lines]
     parts.append("select 'column_differences', column_name, cast(differences as varchar) from d")
     return f"""
     {joined(ORDERS)}, d as ({sql_differences(ORDERS)}), c as (select {COUNT_COLUMNS} from j)

@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from evenkeel.plans.compare import Comparison
 
@@ -48,13 +47,12 @@ def summary_rows(summary: DataFrame) -> DataFrame:
     """The multi-table summary as report rows."""
     plain = ("total_tables", "success_count", "failure_count", "success_percent", "failure_percent")
     entries = [
-        F.struct(F.lit("summary").alias("section"), F.lit(name).alias("metric"), F.col(name).cast("string").alias("value"))
-        for name in plain
+        f"struct('summary' AS section, '{name}' AS metric, CAST({name} AS STRING) AS value)" for name in plain
     ] + [
-        F.struct(F.lit("tables").alias("section"), F.lit(name).alias("metric"), F.array_join(name, ",").alias("value"))
+        f"struct('tables' AS section, '{name}' AS metric, array_join({name}, ',') AS value)"
         for name in ("success_tables", "failed_tables")
     ]
-    return summary.select(F.inline(F.array(*entries)))
+    return summary.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def write_report(rows: DataFrame, report_path: str, name: str, day: str | dt.date | None = None) -> str:

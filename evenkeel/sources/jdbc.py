@@ -60,7 +60,7 @@ def slice_options(side: SideSpec, schema: T.StructType, day: str | dt.date | Non
 
 
 def read_jdbc(spark: SparkSession, side: SideSpec, day: str | dt.date | None) -> DataFrame:
-    """Read the table's day window; the comparison and the window run in the database."""
+    """Read the table's day window in slices; the database evaluates window and predicate."""
     options = base_options(side)
     df = spark.read.format("jdbc").options(**options).load()
     sliced = slice_options(side, df.schema, day)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.dates import check_format, day_window
-from evenkeel.operators.columns import name_list, project
+from evenkeel.operators.columns import project
 from evenkeel.sources.jdbc import read_jdbc
 
 
@@ -76,5 +76,3 @@ def scan(spark: SparkSession, side: SideSpec, day: str | dt.date | None = None)
         df = df.where(F.expr(side.where))
     return project(df, side.columns, side.exclude)
 
-
-__all__ = ["SideSpec", "scan", "name_list"]
