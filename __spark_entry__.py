@@ -32,6 +32,13 @@ from evenkeel.plans.run import outcome_rows
 from evenkeel.sinks.reports import read_report, report_rows, summary_rows, write_report
 from evenkeel.workspace import shared_folder
 
+try:  # the operators on training text can be left out as a whole
+    from evenkeel.llm import registry as text_operators
+except ModuleNotFoundError as missing:
+    if missing.name not in ("evenkeel.llm", "corpus_pipeline"):
+        raise
+    text_operators = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -530,6 +537,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return table_queries() | (text_operators.queries() if text_operators else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return table_sql() | (text_operators.oracle_sql() if text_operators else {})
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_day_window_ts": scan_day_window_ts,
         "scan_day_window_date": scan_day_window_date,
@@ -780,7 +795,7 @@ def sql_digest(name: str, pair: Pair) -> str:
     return f"select k as _composite_key, h as _row_hash from ({sql_side(f'select * from {name}', pair, pair.columns)})"
 
 
-def oracle_sql() -> dict[str, str]:
+def table_sql() -> dict[str, str]:
     window = f"where {DAY_OF_TS}"
     run_metrics = sql_metrics(EVENTS, 0, where=window)
     nan_case = "case when lang = 'en' then text when n_chars < 3000 then ' NaN ' end"
