@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import language
+from evenkeel.llm import archive, language, licenses, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_language": language.predictions,
+        "op6_licenses": licenses.license_report,
+        "op8_secrets": secrets.secret_report,
+        "op10_warc": archive.archived_pages,
     }
 
 
