@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import read_table, word_array
+from evenkeel.llm.common import read_table, unused, word_array
 
 SIZE = 128
 WIDTH = 5
@@ -40,7 +40,7 @@ def shingles(text: Column, width: int = WIDTH) -> Column:
         short = F.when(F.size(hashes) > 0, F.array(F.xxhash64(hashes)))
         return F.when(F.size(hashes) >= width, parts).otherwise(F.coalesce(short, F.array().cast("array<bigint>")))
 
-    return let(F.transform(word_array(text), F.xxhash64), rolled)
+    return let(F.transform(word_array(text), lambda word: F.xxhash64(word)), rolled)
 
 
 def sketch(text: Column, size: int = SIZE, width: int = WIDTH) -> Column:
@@ -59,11 +59,12 @@ def merged(sketches: DataFrame, column: str, *keys: str, size: int = SIZE) -> Da
     Hashes are made distinct before they are ranked, and each hash value is a shuffle key of
     its own, so a large group is not held by one task before it has shrunk.
     """
-    hashes = sketches.select(*keys, F.explode(column).alias("hash")).distinct()
-    spread = hashes.withColumn("part", F.pmod(F.col("hash"), F.lit(64)))
-    order = Window.partitionBy(*keys, "part").orderBy("hash")
-    least = spread.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
-    return least.groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list("hash")), 1, size).alias(column))
+    hash_, slice_, place = unused(sketches, "hash", "slice", "place")
+    hashes = sketches.select(*keys, F.explode(column).alias(hash_)).distinct()
+    spread = hashes.withColumn(slice_, F.pmod(F.col(hash_), F.lit(64)))
+    order = Window.partitionBy(*keys, slice_).orderBy(hash_)
+    least = spread.withColumn(place, F.row_number().over(order)).where(F.col(place) <= size)
+    return least.groupBy(*keys).agg(F.slice(F.sort_array(F.collect_list(hash_)), 1, size).alias(column))
 
 
 def distinct_count(held: Column, size: int = SIZE) -> Column:
