@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import archive, language, licenses, secrets
+from evenkeel.llm import archive, contamination, duplicates, fingerprints, language, licenses, mixing, scoring, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": contamination.contamination_report,
         "op3_language": language.predictions,
+        "op4_near_duplicates": duplicates.duplicate_report,
+        "op5_lm_scores": scoring.language_model_scores,
         "op6_licenses": licenses.license_report,
+        "op7_mixing": mixing.mixture,
         "op8_secrets": secrets.secret_report,
+        "op9_fingerprints": fingerprints.document_fingerprints,
         "op10_warc": archive.archived_pages,
     }
 
