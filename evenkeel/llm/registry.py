@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenkeel.llm import archive, contamination, duplicates, fingerprints, language, licenses, mixing, scoring, secrets
+import corpus_pipeline
+from evenkeel.llm import archive, contamination, duplicates, extraction, fingerprints, language, licenses, mixing, scoring, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": contamination.contamination_report,
+        "op2_html_text": extraction.page_texts,
         "op3_language": language.predictions,
         "op4_near_duplicates": duplicates.duplicate_report,
         "op5_lm_scores": scoring.language_model_scores,
@@ -20,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": secrets.secret_report,
         "op9_fingerprints": fingerprints.document_fingerprints,
         "op10_warc": archive.archived_pages,
+        "pipeline": corpus_pipeline.run,
     }
 
 
