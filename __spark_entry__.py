@@ -7,6 +7,8 @@ the comparison row by row (full outer join, digest, column tests), not the way i
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,7 +32,7 @@ from evenkeel.functions.dates import relative_day
 from evenkeel.operators.columns import normalize, project, with_digest, with_key
 from evenkeel.plans.run import outcome_rows
 from evenkeel.sinks.reports import read_report, report_rows, summary_rows, write_report
-from evenkeel.workspace import shared_folder
+from evenkeel.workspace import remove, shared_folder
 
 try:  # the operators on training text can be left out as a whole
     from evenkeel.llm import registry as text_operators
@@ -105,26 +107,52 @@ LINEITEM = Pair(
 HOT = Pair(
     "lineitem",
     """
-    select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_shipdate,
-           case when l_quantity = 50 then l_tax + 1 else l_tax end as l_tax
+    select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+           case when l_quantity = 50 then l_tax + 1 else l_tax end as l_tax, l_returnflag, l_linestatus, l_shipdate
     from lineitem where l_shipdate < cast('2001-09-01' as timestamp)
     """,
     LINEITEM_TEXTS,
     (),
-    ("l_orderkey", "l_linenumber", "l_shipdate", "l_tax"),
-    "select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_shipdate, l_tax from lineitem",
+    ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"),
 )
 # a third of the source under each key, one row per key in the target
+ONE_TO_MANY_OTHERS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+)
 ONE_TO_MANY = Pair(
     "lineitem",
-    """
-    select l_returnflag, max(l_linestatus) as l_linestatus, max(l_shipdate) as l_shipdate, max(l_quantity) as l_quantity
+    f"""
+    select l_returnflag, max(l_linestatus) as l_linestatus, {", ".join(f"max({n}) as {n}" for n in ONE_TO_MANY_OTHERS)}
     from lineitem group by l_returnflag
     """,
     ("l_returnflag",),
     ("l_linestatus",),
-    ("l_shipdate", "l_quantity"),
-    "select l_returnflag, l_linestatus, l_shipdate, l_quantity from lineitem",
+    ONE_TO_MANY_OTHERS,
+)
+# more than 16 rows under each key on both sides (sf0.01 and up)
+CROWDED = Pair(
+    "customer",
+    """
+    select c_custkey, c_name, c_nationkey, case when c_mktsegment = 'BUILDING' then c_acctbal + 1 else c_acctbal end
+           as c_acctbal, c_mktsegment from customer where c_acctbal < 9000
+    """,
+    ("c_nationkey",),
+    ("c_name", "c_mktsegment"),
+    ("c_custkey", "c_acctbal"),
+)
+LONG_NUMBER = "'12345678901234' || cast(o_custkey as varchar(20)) || "
+# numbers that need more than 38 digits together
+DECIMALS = Pair(
+    "orders",
+    f"""
+    select o_orderkey, o_orderstatus,
+           cast({LONG_NUMBER} case when o_orderstatus = 'P' then '.2' else '.1' end as decimal(38,10)) as amount
+    from orders
+    """,
+    ("o_orderkey",),
+    ("o_orderstatus",),
+    ("amount",),
+    f"select o_orderkey, o_orderstatus, cast({LONG_NUMBER} '.1' as decimal(38,18)) as amount from orders",
 )
 CUSTOMER_DRIFT = Pair(
     "customer",
@@ -270,9 +298,35 @@ def sides(spark: SparkSession, sf_dir: str, pair: Pair) -> tuple[DataFrame, Data
     return derived(pair.source) if pair.source else given, derived(pair.target)
 
 
+OPEN: list[Comparison] = []
+FOLDERS: list[tuple[SparkSession, str]] = []
+
+
+def opened(comparison: Comparison) -> Comparison:
+    OPEN.append(comparison)
+    return comparison
+
+
+def output_folder(spark: SparkSession) -> str:
+    FOLDERS.append((spark, shared_folder(spark)))
+    return FOLDERS[-1][1]
+
+
+def close_all() -> None:
+    """Remove what the queries wrote; their results must not be read after. Runs by itself at exit."""
+    with contextlib.suppress(Exception):  # the session may be gone
+        while OPEN:
+            OPEN.pop().close()
+        while FOLDERS:
+            remove(*FOLDERS.pop())
+
+
+atexit.register(close_all)
+
+
 def comparison(spark: SparkSession, sf_dir: str, pair: Pair, **options) -> Comparison:
     source, target = sides(spark, sf_dir, pair)
-    return compare(source, target, pair.keys, Options(**options))
+    return opened(compare(source, target, pair.keys, Options(**options)))
 
 
 def plain_counts(counts: DataFrame) -> DataFrame:
@@ -334,7 +388,7 @@ def scan_where_conjunct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = sides(spark, sf_dir, EVENTS)
     windows = [scan(spark, SideSpec(frame=df, date_column="ts"), DAY) for df in (source, target)]
-    return compare(*windows, "event_id").counts().select("source_rows", "target_rows")
+    return compare(*windows, "event_id").row_counts()
 
 
 # projection, normalisation, key, digest
@@ -354,10 +408,10 @@ def lower_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalize_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = {"de": " NaN ", "es": "nan", "fr": "+NaN"}
-    text = F.when(F.col("lang") == "en", F.col("text"))
-    for lang, spelling in spelled.items():
-        text = F.when((F.col("lang") == lang) & (F.col("n_chars") < 3000), spelling).otherwise(text)
-    return normalize(table(spark, sf_dir, "documents").withColumn("TEXT", text))
+    spelling = F.lit(None)
+    for lang, text in spelled.items():
+        spelling = F.when(F.col("lang") == lang, text).otherwise(spelling)
+    return normalize(table(spark, sf_dir, "documents").withColumn("SPELLING", spelling.cast("string")))
 
 
 def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,9 +489,14 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_pairs(comparison(spark, sf_dir, ORDERS).classified(), ORDERS.columns, "status")
 
 
-def hot_key_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = comparison(spark, sf_dir, HOT).changed()
-    return flat_pairs(rows, HOT.columns, "pairing")
+def changed_rows(pair: Pair) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: flat_pairs(
+        comparison(spark, sf_dir, pair).changed("rows"), pair.columns, "side", "partners", "unequal_partners"
+    )
+
+
+def classified_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_pairs(comparison(spark, sf_dir, CROWDED).classified("rows"), CROWDED.columns, "status")
 
 
 def verdict(pair: Pair) -> Callable[[SparkSession, str], DataFrame]:
@@ -446,7 +505,7 @@ def verdict(pair: Pair) -> Callable[[SparkSession, str], DataFrame]:
 
 def duplicate_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem")
-    counts = compare(df, df, LINEITEM.keys).key_counts()
+    counts = opened(compare(df, df, LINEITEM.keys)).key_counts()
     return counts.where("source_rows > 1").select(
         "_composite_key", "source_rows", F.col("pairs").cast(BIG), F.col("same_pairs").cast(BIG)
     )
@@ -456,7 +515,7 @@ def duplicate_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readback_one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shared_folder(spark)
+    out = output_folder(spark)
     save_differences(comparison(spark, sf_dir, ORDERS), out, "orders", DAY)
     kinds = ("source_only", "target_only")
     parts = [read_differences(spark, out, "orders", kind, DAY).withColumn("kind", F.lit(kind)) for kind in kinds]
@@ -464,7 +523,7 @@ def readback_one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readback_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shared_folder(spark)
+    out = output_folder(spark)
     save_differences(comparison(spark, sf_dir, ORDERS), out, "orders", DAY)
     rows = read_differences(spark, out, "orders", "column_differences", DAY)
     return rows.select(
@@ -476,12 +535,12 @@ def readback_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = report_rows(comparison(spark, sf_dir, ORDERS), "orders", "orders_copy", DAY)
-    return read_report(spark, write_report(rows, shared_folder(spark), "orders", DAY))
+    return read_report(spark, write_report(rows, output_folder(spark), "orders", DAY))
 
 
 def day_spec(spark: SparkSession, sf_dir: str) -> ReconcileSpec:
     sides(spark, sf_dir, EVENTS)[1].createOrReplaceTempView("events_copy")
-    out = shared_folder(spark)
+    out = output_folder(spark)
     return ReconcileSpec(
         "events",
         SideSpec(path=f"{sf_dir}/events.parquet", date_column="ts"),
@@ -528,7 +587,7 @@ def multi_pair_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multi_pair_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = summary_rows(summarize(many_outcomes(spark, sf_dir)))
-    return read_report(spark, write_report(rows, shared_folder(spark), "summary"))
+    return read_report(spark, write_report(rows, output_folder(spark), "summary"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -591,7 +650,13 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "one_to_many_changed_pairs": changed_pairs(ONE_TO_MANY),
         "hot_key_counts": pair_counts(HOT),
         "hot_key_column_diffs": column_diffs(HOT),
-        "hot_key_changed_rows": hot_key_changed_rows,
+        "hot_key_changed_rows": changed_rows(HOT),
+        "crowded_changed_pairs": changed_pairs(CROWDED),
+        "crowded_changed_rows": changed_rows(CROWDED),
+        "crowded_classified_rows": classified_rows,
+        "pair_metrics_long_decimals": pair_metrics(DECIMALS),
+        "column_diffs_long_decimals": column_diffs(DECIMALS),
+        "pair_metrics_safe_arrays": pair_metrics(EMBEDDINGS, digest="safe"),
         "readback_one_sided": readback_one_sided,
         "readback_changed": readback_changed,
         "report_rows": report,
@@ -655,16 +720,25 @@ def sql_differences(pair: Pair) -> str:
 
 
 def sql_differs(pair: Pair, name: str) -> str:
+    if pair is DECIMALS and name == "amount":
+        plain = [f"rtrim(cast({side}_{name} as varchar), '0')" for side in "st"]
+        return f"{plain[0]} is distinct from {plain[1]}"
     if pair is CUSTOMER_TYPES and name == "c_nationkey":
         cast = f"try_cast(t_{name} as integer)"
         return f"(s_{name} is distinct from {cast} or (t_{name} is not null and {cast} is null))"
     return f"s_{name} is distinct from t_{name}"
 
 
-def sql_metrics(pair: Pair, common: int, **sides_of) -> str:
+def sql_common(pair: Pair) -> str:
+    """How many columns both sides have, by name in lower case."""
+    names = [f"select lower(column_name) from (describe {sql})" for sql in (pair.source_sql, pair.target)]
+    return f"(select count(*) from ({names[0]} intersect {names[1]}))"
+
+
+def sql_metrics(pair: Pair, **sides_of) -> str:
     return f"""
     {joined(pair, **sides_of)}, d as ({sql_differences(pair)}), c as (select {COUNT_COLUMNS} from j)
-    select *, cast({common} as bigint) as common_columns, (select count(*) from d) as differing_columns,
+    select *, cast({sql_common(pair)} as bigint) as common_columns, (select count(*) from d) as differing_columns,
            source_only = 0 and target_only = 0 and (select count(*) from d) = 0 as is_match
     from c
     """
@@ -716,17 +790,39 @@ def sql_hot_differences() -> str:
     return f"{hot_sides()} select * from ({' union all '.join(parts)}) where differences > 0"
 
 
-def sql_hot_rows() -> str:
-    def listed(own: str) -> str:
-        return ", ".join(
-            f"{n if side[0] == own else f'null'} as {side}_{n}" for side in ("source", "target") for n in HOT.columns
+def sql_changed_rows(pair: Pair) -> str:
+    """Every row with an unequal partner: partners by a join on the key, equal ones by key and digest."""
+
+    def part(side: str, own: str, other: str) -> str:
+        listed = ", ".join(
+            f"{f'{own}.{n}' if name[0] == own else 'null'} as {name}_{n}" for name in ("source", "target") for n in pair.columns
         )
-    return f"""
-    {hot_sides()}
-    select 'rows' as pairing, k as _composite_key, {listed('s')} from s
-    union all
-    select 'rows', k, {listed('t')} from t
-    """
+        return f"""
+        select '{side}' as side, {own}.k as _composite_key, cast(p.n as bigint) as partners,
+               cast(p.n - coalesce(e.n, 0) as bigint) as unequal_partners, {listed}
+        from {own} join (select k, count(*) as n from {other} group by k) p on {own}.k = p.k
+             left join (select k, h, count(*) as n from {other} group by k, h) e on {own}.k = e.k and {own}.h = e.h
+        where p.n > coalesce(e.n, 0)
+        """
+
+    whole = joined(pair).rsplit("j as (", 1)[0].rstrip().rstrip(",")
+    return f"{whole} {part('source', 's', 't')} union all {part('target', 't', 's')}"
+
+
+def sql_classified_rows(pair: Pair) -> str:
+    def part(side: str, own: str, other: str) -> str:
+        listed = ", ".join(
+            f"{f'{own}.{n}' if name[0] == own else 'null'} as {name}_{n}" for name in ("source", "target") for n in pair.columns
+        )
+        return f"""
+        select case when {own}.k not in (select k from {other}) then '{side}_only'
+                    when exists (select 1 from {other} x where x.k = {own}.k and x.h <> {own}.h) then 'changed'
+                    else 'equal' end as status, {own}.k as _composite_key, {listed}
+        from {own}
+        """
+
+    whole = joined(pair).rsplit("j as (", 1)[0].rstrip().rstrip(",")
+    return f"{whole} {part('source', 's', 't')} union all {part('target', 't', 's')}"
 
 
 DAY_OF_TS = f"ts >= timestamp '{DAY}' and ts < timestamp '{DAY}' + interval 1 day"
@@ -741,7 +837,7 @@ def sql_outcomes() -> str:
     for name, pair in MANY.items():
         parts.append(
             f"select '{name}' as name, is_match, source_rows, target_rows, source_only, target_only, matched, changed,"
-            f" differing_columns, false as failed from ({sql_metrics(pair, 0)})"
+            f" differing_columns, false as failed from ({sql_metrics(pair)})"
         )
     empty = ", ".join(
         f"null as {n}"
@@ -778,10 +874,10 @@ def sql_report() -> str:
         ("tables", "target", "'orders_copy'"),
         ("tables", "day", f"'{DAY}'"),
         *[("statistics", name, f"(select cast({name} as varchar) from c)") for name in statistics],
-        ("columns", "common_columns", "'6'"),
+        ("columns", "common_columns", f"cast({sql_common(ORDERS)} as varchar)"),
         ("columns", "source_only_columns", "''"),
         ("columns", "target_only_columns", "''"),
-        ("verdict", "status", "'different'"),
+        ("verdict", "status", "(select case when source_only + target_only + (select count(*) from d) = 0 then 'match' else 'different' end from c)"),
     ]
     parts = [f"select '{part}' as section, '{metric}' as metric, {value} as value" for part, metric, value in lines]
     parts.append("select 'column_differences', column_name, cast(differences as varchar) from d")
@@ -797,8 +893,7 @@ def sql_digest(name: str, pair: Pair) -> str:
 
 def table_sql() -> dict[str, str]:
     window = f"where {DAY_OF_TS}"
-    run_metrics = sql_metrics(EVENTS, 0, where=window)
-    nan_case = "case when lang = 'en' then text when n_chars < 3000 then ' NaN ' end"
+    run_metrics = sql_metrics(EVENTS, where=window)
     return {
         "scan_day_window_ts": f"select * from events {window}",
         "scan_day_window_date": f"select * exclude (props), cast(ts as date) as day from events {window}",
@@ -823,7 +918,9 @@ def table_sql() -> dict[str, str]:
         "lower_names": """
             select c_custkey, c_name, c_nationkey, c_mktsegment, 'web' as channel from customer""",
         "normalize_strings": f"""
-            select doc_id, {clean('x')} as text, lang, source, n_chars from (select *, {nan_case} as x from documents)""",
+            select doc_id, {clean('text')} as text, {clean('lang')} as lang, {clean('source')} as source, n_chars,
+                   {clean('x')} as spelling
+            from (select *, case lang when 'de' then ' NaN ' when 'es' then 'nan' when 'fr' then '+NaN' end as x from documents)""",
         "composite_key": """
             select l_orderkey, l_linenumber, l_orderkey || '||' || l_linenumber as _composite_key from lineitem""",
         "composite_key_nulls": """
@@ -848,13 +945,13 @@ def table_sql() -> dict[str, str]:
             select case when tk is null then 'source_only' when sk is null then 'target_only'
                         when sh <> th then 'changed' else 'equal' end as status, count(*) as row_count
             from j group by 1""",
-        "pair_metrics": sql_metrics(ORDERS, 6),
-        "pair_metrics_typed_keys": sql_metrics(LINEITEM, 11),
-        "pair_metrics_safe_digest": sql_metrics(DOCUMENTS, 5, safe=True),
-        "verdict_different": f"select is_match from ({sql_metrics(ORDERS, 6)})",
-        "verdict_match": f"select is_match from ({sql_metrics(NATION, 3)})",
-        "schema_drift_all": sql_metrics(CUSTOMER_DRIFT, 4, source_extra=("c_acctbal",), target_extra=("channel",)),
-        "schema_drift_common": sql_metrics(CUSTOMER_DRIFT, 4),
+        "pair_metrics": sql_metrics(ORDERS),
+        "pair_metrics_typed_keys": sql_metrics(LINEITEM),
+        "pair_metrics_safe_digest": sql_metrics(DOCUMENTS, safe=True),
+        "verdict_different": f"select is_match from ({sql_metrics(ORDERS)})",
+        "verdict_match": f"select is_match from ({sql_metrics(NATION)})",
+        "schema_drift_all": sql_metrics(CUSTOMER_DRIFT, source_extra=("c_acctbal",), target_extra=("channel",)),
+        "schema_drift_common": sql_metrics(CUSTOMER_DRIFT),
         "source_only": sql_one_sided("source", ORDERS),
         "target_only": sql_one_sided("target", ORDERS),
         "source_only_lineitem": sql_one_sided("source", LINEITEM),
@@ -879,7 +976,13 @@ def table_sql() -> dict[str, str]:
         "one_to_many_changed_pairs": sql_pairs(ONE_TO_MANY, "sh <> th"),
         "hot_key_counts": sql_hot_counts(),
         "hot_key_column_diffs": sql_hot_differences(),
-        "hot_key_changed_rows": sql_hot_rows(),
+        "hot_key_changed_rows": sql_changed_rows(HOT),
+        "crowded_changed_pairs": sql_pairs(CROWDED, "sh <> th"),
+        "crowded_changed_rows": sql_changed_rows(CROWDED),
+        "crowded_classified_rows": sql_classified_rows(CROWDED),
+        "pair_metrics_long_decimals": sql_metrics(DECIMALS),
+        "column_diffs_long_decimals": f"{joined(DECIMALS)} {sql_differences(DECIMALS)}",
+        "pair_metrics_safe_arrays": sql_metrics(EMBEDDINGS, safe=True),
         "readback_one_sided": f"""
             select *, 'source_only' as kind from ({sql_one_sided('source', ORDERS)})
             union all select *, 'target_only' from ({sql_one_sided('target', ORDERS)})""",

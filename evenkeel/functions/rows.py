@@ -61,10 +61,9 @@ def text_digest(names: Sequence[str]) -> Column:
     return F.expr(f"sha2(concat_ws('{SEPARATOR}'{texts}), 256)")
 
 
-def safe_digest(names: Sequence[str]) -> Column:
+def safe_digest(values: Sequence[tuple[str, Column]]) -> Column:
     """SHA-256 (hex) of a JSON object of the values: tells NULL from ``''`` and keeps
-    values apart that contain the separator."""
-    if not names:
-        return text_digest(names)
-    texts = ", ".join(f"CAST({quote(name)} AS STRING) AS {quote(name)}" for name in names)
-    return F.expr(f"sha2(to_json(struct({texts})), 256)")
+    values apart that contain the separator. ``values`` are names and texts."""
+    if not values:
+        return text_digest([])
+    return F.sha2(F.to_json(F.struct(*[value.alias(name) for name, value in values])), 256)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,14 @@ _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType
 
 _NESTED = (T.ArrayType, T.StructType, T.MapType)
 
+# Decimals that need more than 38 digits together are compared in two parts, both exact.
+SPLIT = T.StructType(
+    [T.StructField("whole", T.DecimalType(38, 0)), T.StructField("part", T.DecimalType(38, 38))]
+)
+
+
+_NUMERIC = (T.NumericType, T.BooleanType)
+
 
 def common_type(left: T.DataType, right: T.DataType) -> T.DataType | None:
     """The type both sides can be compared in, or None when only text is left.
@@ -25,7 +35,9 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType | None:
     if is_text(left) or is_text(right):
         typed = right if is_text(left) else left
         return None if isinstance(typed, _NESTED) else typed
-    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
+    if isinstance(left, _NUMERIC) and isinstance(right, _NUMERIC):
+        # a truth value meets a number as 1 or 0
+        left, right = [T.ByteType() if isinstance(kind, T.BooleanType) else kind for kind in (left, right)]
         if isinstance(left, T.FractionalType) and not isinstance(left, T.DecimalType):
             return T.DoubleType()
         if isinstance(right, T.FractionalType) and not isinstance(right, T.DecimalType):
@@ -41,13 +53,25 @@ def common_type(left: T.DataType, right: T.DataType) -> T.DataType | None:
 def _as_decimal(data_type: T.DataType) -> T.DecimalType:
     if isinstance(data_type, T.DecimalType):
         return data_type
+    if isinstance(data_type, T.BooleanType):
+        return T.DecimalType(1, 0)
     return T.DecimalType(_INTEGRAL_DIGITS[type(data_type)], 0)
 
 
 def _wider_decimal(left: T.DecimalType, right: T.DecimalType) -> T.DataType:
     scale = max(left.scale, right.scale)
     whole = max(left.precision - left.scale, right.precision - right.scale)
-    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else SPLIT
+
+
+def _split(value: Column, own: T.DataType) -> Column:
+    """A decimal as its floor and the rest after the point; equal numbers of any scale give equal parts."""
+    value = value.cast(_as_decimal(own))
+    parts = F.struct(
+        F.floor(value).cast(SPLIT["whole"].dataType).alias("whole"),
+        (value % F.lit(Decimal(1))).cast(SPLIT["part"].dataType).alias("part"),
+    )
+    return F.when(value.isNotNull(), parts)
 
 
 def _holds(data_type: T.DataType, kinds: tuple) -> bool:
@@ -100,6 +124,8 @@ def comparable(value: Column, own: T.DataType, other: T.DataType) -> Column:
     shared = common_type(own, other)
     if shared is None:
         return value.cast("string")
+    if shared is SPLIT:
+        return _split(value, own)
     if own != shared:
         value = value.try_cast(shared) if is_text(own) else value.cast(shared)
     return _ordered(value, shared)
@@ -123,6 +149,20 @@ def differs(left: Column, left_type: T.DataType, right: Column, right_type: T.Da
     return unequal | misfit(left, left_type, right_type) | misfit(right, right_type, left_type)
 
 
+JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def safe_text(value: Column, data_type: T.DataType) -> Column:
+    """Text that tells all values of a type apart; nested ones as JSON, maps by their sorted entries."""
+    if not isinstance(data_type, _NESTED):
+        return value.cast("string")
+    return F.when(value.isNotNull(), F.to_json(F.struct(_ordered(value, data_type).alias("v")), JSON))
+
+
 def value_text(value: Column, own: T.DataType, other: T.DataType) -> Column:
     """Text that two values share exactly when ``differs`` is FALSE for them (NULL for NULL)."""
     shared = common_type(own, other) or T.StringType()
@@ -135,12 +175,10 @@ def value_text(value: Column, own: T.DataType, other: T.DataType) -> Column:
         text = F.unix_micros(inner).cast("string")
     elif isinstance(shared, T.BinaryType):
         text = F.hex(inner)
+    elif shared is SPLIT:
+        text = F.when(inner.isNotNull(), F.concat_ws(" ", inner["whole"].cast("string"), inner["part"].cast("string")))
     elif isinstance(shared, _NESTED):
-        json = F.to_json(F.struct(inner.alias("v")), {
-            "ignoreNullFields": "false",
-            "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-        })
+        json = F.to_json(F.struct(inner.alias("v")), JSON)
         text = F.when(inner.isNotNull(), json)
     else:
         text = inner.cast("string")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import rows
 from evenkeel.functions.rows import DIGEST, KEY
+from evenkeel.functions.values import safe_text
 
 KEY_MODES = ("concat", "typed")
 DIGESTS = ("text", "safe")
@@ -87,7 +88,10 @@ def with_digest(
         raise ValueError(f"digest must be one of {DIGESTS}, not {digest!r}")
     left_out = {name.lower() for name in name_list(keys)} | {KEY}
     names = sorted(n for n in df.columns if n.lower() not in left_out and (only is None or n in only))
-    return df.withColumn(DIGEST, rows.text_digest(names) if digest == "text" else rows.safe_digest(names))
+    if digest == "text":
+        return df.withColumn(DIGEST, rows.text_digest(names))
+    texts = [(name, safe_text(quoted(name), df.schema[name].dataType)) for name in names]
+    return df.withColumn(DIGEST, rows.safe_digest(texts))
 
 
 def keyed(df: DataFrame, keys: str | Sequence[str], key_mode: str = "concat") -> DataFrame:

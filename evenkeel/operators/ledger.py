@@ -1,10 +1,10 @@
 """Row counts per business key: the base of every count and every difference set.
 
-No rows are paired up here. Both sides are stacked and counted, first per (key, digest),
-then per key, and each count has a map-side part: copies of one row shrink to one record
-before the first shuffle, the digests of one key are spread over all tasks by it, and
-they shrink to one record per task before the second. A key that holds a third of all
-rows therefore costs no more than any other. Pair counts are products of row counts.
+No rows are paired up here, and pair counts are products of row counts. Both sides are
+stacked and summed up per key in one shuffle: rows per side, and the smallest and
+largest digest per side, which settles every key with one digest on each side. Only keys with
+several digests are counted again, per (key, digest) and then per key. All sums have a map-side
+part, so a key that holds a third of all rows shrinks to one record per task before it travels.
 """
 
 from __future__ import annotations
@@ -48,17 +48,66 @@ def key_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     return per_key.withColumn("pairs", product("source_rows", "target_rows"))
 
 
-def ledger(counts: DataFrame) -> DataFrame:
-    """Key counts with all plain keys (one row per side, equal) summed into one record.
+SIDES = ("source", "target")
+HALVES = ("high", "low")
 
-    What is left is one record per key that needs attention, normally a sliver of the data.
+
+def key_sums(source: DataFrame, target: DataFrame) -> DataFrame:
+    """One row per key, in one shuffle: rows on each side, whether each side has one digest, and whether those are equal.
+
+    Digests meet as two 64-bit hashes of their halves, fixed-width words that keep this a
+    hash aggregate; SHA-256 digests that differ share both with a probability of 2^-128.
     """
-    plain = (F.col("source_rows") == 1) & (F.col("target_rows") == 1) & (F.col("same_pairs") == 1)
-    return counts.groupBy(F.when(~plain, F.col(KEY)).alias(KEY), plain.alias("plain")).agg(
-        F.sum("source_rows").alias("source_rows"),
-        F.sum("target_rows").alias("target_rows"),
-        F.sum("same_pairs").cast(PAIRS).alias("same_pairs"),
-        F.sum("pairs").cast(PAIRS).alias("pairs"),
+
+    def marked(df: DataFrame, own: str) -> DataFrame:
+        words = {half: f"xxhash64(substr({DIGEST}, {at}, 32))" for half, at in zip(HALVES, (1, 33))}
+        return df.selectExpr(
+            KEY,
+            *[f"{int(side == own)}L AS {side}_rows" for side in SIDES],
+            *[f"{words[half] if side == own else 'CAST(NULL AS BIGINT)'} AS {side}_{half}" for side in SIDES for half in HALVES],
+        )
+
+    words = [f"{side}_{half}" for side in SIDES for half in HALVES]
+    sums = marked(source, "source").unionByName(marked(target, "target")).groupBy(KEY).agg(
+        *[F.sum(f"{side}_rows").alias(f"{side}_rows") for side in SIDES],
+        *[F.min(word).alias(f"{word}_min") for word in words],
+        *[F.max(word).alias(f"{word}_max") for word in words],
+    )
+    # a side without rows has neither smallest nor largest
+    single = " AND ".join(f"{word}_min <=> {word}_max" for word in words)
+    same = " AND ".join(f"source_{half}_min <=> target_{half}_min" for half in HALVES)
+    return sums.selectExpr(KEY, "source_rows", "target_rows", f"{single} AS single", f"{same} AS same")
+
+
+IS_PLAIN = "single AND same AND source_rows = 1 AND target_rows = 1"
+
+
+def settled(sums: DataFrame) -> DataFrame:
+    """Ledger records of the keys that their sums settle and that aren't plain."""
+    return sums.where("single").withColumn("pairs", product("source_rows", "target_rows")).select(
+        KEY,
+        F.lit(False).alias("plain"),
+        "source_rows",
+        "target_rows",
+        F.when(F.col("same"), F.col("pairs")).otherwise(F.lit(0)).cast(PAIRS).alias("same_pairs"),
+        "pairs",
+    )
+
+
+def counted(counts: DataFrame) -> DataFrame:
+    """Ledger records of the keys whose digests were counted one by one."""
+    return counts.select(KEY, F.lit(False).alias("plain"), "source_rows", "target_rows", "same_pairs", "pairs")
+
+
+def plain_record(like: DataFrame, keys: int) -> DataFrame:
+    """All plain keys (one row per side, equal) as one record."""
+    number = F.lit(Decimal(keys))
+    kinds = {"source_rows": "bigint", "target_rows": "bigint", "same_pairs": PAIRS, "pairs": PAIRS}
+    one = like.sparkSession.range(1 if keys else 0)
+    return one.select(
+        F.lit(None).cast(like.schema[KEY].dataType).alias(KEY),
+        F.lit(True).alias("plain"),
+        *[number.cast(kind).alias(name) for name, kind in kinds.items()],
     )
 
 
@@ -83,9 +132,9 @@ def is_changed() -> Column:
     return F.col("pairs") > F.col("same_pairs")
 
 
-def many_to_many(fanout: int) -> Column:
-    """Keys with more than ``fanout`` rows on both sides, whose pairs are not written out."""
-    return F.least("source_rows", "target_rows") > fanout
+def is_crowded(rows: int) -> Column:
+    """Keys with more than ``rows`` rows on both sides."""
+    return F.least("source_rows", "target_rows") > rows
 
 
 def _total(value: str, where: str = "true") -> str:
@@ -123,31 +172,31 @@ class Totals:
     target_only: int
     matched: int
     changed: int
-    many_keys: int
-    many_changed: int
-    many_pairs: Decimal
+    changed_rows: int
+    crowded_changed: int
+    crowded_pairs: Decimal
     heaviest: int
     source_only_bytes: int
     target_only_bytes: int
     changed_bytes: int
-    many_bytes: int
+    crowded_bytes: int
 
 
-def totals(records: DataFrame, fanout: int) -> Totals:
+def totals(records: DataFrame, pair_rows: int) -> Totals:
     """Sum up a ledger, with the exact size of each key list that may be broadcast."""
-    many = f"NOT plain AND least(source_rows, target_rows) > {fanout}"
+    crowded = f"NOT plain AND least(source_rows, target_rows) > {pair_rows}"
     sums = {
-        "many_keys": f"count_if({many})",
-        "many_changed": f"CAST({_total('pairs - same_pairs', many)} AS {PAIRS})",
-        "many_pairs": f"CAST({_total('pairs', f'{many} AND pairs > same_pairs')} AS {PAIRS})",
+        "changed_rows": _total("source_rows + target_rows", "pairs > same_pairs"),
+        "crowded_changed": f"CAST({_total('pairs - same_pairs', crowded)} AS {PAIRS})",
+        "crowded_pairs": f"CAST({_total('pairs', f'{crowded} AND pairs > same_pairs')} AS {PAIRS})",
         "heaviest": "coalesce(max(greatest(source_rows, target_rows)) FILTER (WHERE NOT plain), 0)",
         "source_only_bytes": _total(KEY_BYTES, "target_rows = 0"),
         "target_only_bytes": _total(KEY_BYTES, "source_rows = 0"),
         "changed_bytes": _total(KEY_BYTES, "pairs > same_pairs"),
-        "many_bytes": _total(KEY_BYTES, many),
+        "crowded_bytes": _total(KEY_BYTES, crowded),
     }
     row = records.agg(*count_columns(), *[F.expr(value).alias(name) for name, value in sums.items()]).first()
     values = row.asDict()
-    for name in ("matched", "changed", "many_changed"):
+    for name in ("matched", "changed", "crowded_changed"):
         values[name] = int(values[name])
     return Totals(**values)

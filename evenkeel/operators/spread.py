@@ -1,23 +1,24 @@
 """Joins by key that stay balanced when single keys hold a large share of the rows.
 
-Rows of hot keys are never shuffled by key: they meet a broadcast list instead. Nothing
-depends on row order or random numbers, so a task repeated after a lost executor gives
-the same rows again.
+Rows of hot keys are dealt to several tasks by a salt, the number of the task that read
+them, and what they meet is repeated for every salt. So each table is read and
+shuffled once, whatever its keys. A task repeated after a lost executor reads the same split
+and gives the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rows import KEY
-from evenkeel.operators.columns import quoted
 
 # A key is hot when it holds more than one part in HOT_SHARE of all rows,
 # so there are never more than HOT_SHARE hot keys and their list can be broadcast.
-HOT_SHARE = 20_000
+HOT_SHARE = 200_000
+MOST_SALTS = 256
+
+SALT, HEAVY = "_salt", "_heavy"
 
 
 def hot_threshold(all_rows: int, least_rows: int) -> int:
@@ -28,65 +29,57 @@ def is_hot(threshold: int) -> Column:
     return F.greatest("source_rows", "target_rows") > threshold
 
 
-def filter_by_keys(
-    rows: DataFrame, records: DataFrame, listed: Column, how: str, small: bool, hot: Column | None
-) -> DataFrame:
+def salts(df: DataFrame) -> int:
+    """Tasks that the rows of a hot key are dealt to."""
+    return min(MOST_SALTS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _tagged(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows with ``HEAVY`` of their key (NULL for ordinary keys): a lookup in a broadcast list, no shuffle."""
+    return rows.join(F.broadcast(hot), KEY, "left")
+
+
+def _own_salt(count: int) -> Column:
+    return F.pmod(F.col("_part"), F.lit(count))
+
+
+def filter_by_keys(rows: DataFrame, records: DataFrame, listed: Column, how: str, small: bool, hot: Column | None) -> DataFrame:
     """Keep (``left_semi``) or drop (``left_anti``) the rows whose key is ``listed``.
 
     ``records`` holds one record per key. The listed keys are broadcast when their measured
     size allows it (``small``), and the rows are not shuffled at all. Otherwise rows and
-    keys are shuffled, except for hot keys, which are few and always broadcast.
+    keys are shuffled, hot keys together with their salt.
     """
     keys = records.where(listed).select(KEY)
     if small:
         return rows.join(F.broadcast(keys), KEY, how)
     if hot is None:
         return rows.join(keys, KEY, how)
-    cold = without(rows, records, hot).join(keys, KEY, how)
-    kept = hot & listed if how == "left_semi" else hot & ~listed
-    return cold.unionByName(only(rows, records, kept))
+    count = salts(rows)
+    heavy = records.where(hot).select(KEY, F.lit(True).alias(HEAVY))
+    dealt = _tagged(rows.withColumn("_part", F.spark_partition_id()), heavy)
+    dealt = dealt.withColumn(SALT, F.when(F.col(HEAVY), _own_salt(count)).otherwise(0))
+    repeats = F.when(F.col(HEAVY), F.sequence(F.lit(0), F.lit(count - 1))).otherwise(F.array(F.lit(0)))
+    places = _tagged(keys, heavy).select(KEY, F.explode(repeats).alias(SALT))
+    return dealt.join(places, [KEY, SALT], how).select(rows.columns)
 
 
-def only(rows: DataFrame, records: DataFrame, hot: Column) -> DataFrame:
-    """Rows of the given hot keys."""
-    return rows.join(F.broadcast(records.where(hot).select(KEY)), KEY, "left_semi")
+def join_sides(source: DataFrame, target: DataFrame, records: DataFrame, hot: Column | None) -> DataFrame:
+    """Inner join of both sides by key.
 
-
-def without(rows: DataFrame, records: DataFrame, hot: Column) -> DataFrame:
-    """Rows of all keys but the given hot ones."""
-    return rows.join(F.broadcast(records.where(hot).select(KEY)), KEY, "left_anti")
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of all rows as text; run on small written tables only."""
-    size = F.octet_length(F.to_json(F.struct(*[quoted(name).cast("string") for name in df.columns])))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-
-
-def join_sides(
-    source: DataFrame,
-    target: DataFrame,
-    records: DataFrame,
-    hot: Column | None,
-    store: Callable[[DataFrame, str], DataFrame],
-    broadcast_bytes: int,
-) -> DataFrame:
-    """Inner join of both sides by key, for keys with few rows on one side at least.
-
-    For hot keys that few-rows side is written out (``store``), measured, and broadcast to
-    the many rows of the other side. Should it be too large for that, the join is left to
-    adaptive execution, which splits the oversized partitions of an inner join.
+    Of a hot key, the side with more rows is dealt out and the other one repeated; as all its
+    pairs are wanted, the copies are never more than the result.
     """
     if hot is None:
         return source.join(target, KEY)
-    joined = without(source, records, hot).join(without(target, records, hot), KEY)
-    source_is_big = F.col("source_rows") >= F.col("target_rows")
-    for side, big, few, mine in (
-        ("source", source, target, source_is_big),
-        ("target", target, source, ~source_is_big),
-    ):
-        partner = store(only(few, records, hot & mine), f"partners_of_{side}")
-        if measured_bytes(partner) <= broadcast_bytes:
-            partner = F.broadcast(partner)
-        joined = joined.unionByName(only(big, records, hot & mine).join(partner, KEY))
-    return joined
+    count = salts(source)
+    all_salts = F.sequence(F.lit(0), F.lit(count - 1))
+    heavy = records.where(hot).select(KEY, (F.col("source_rows") >= F.col("target_rows")).alias(HEAVY))
+
+    def dealt(rows: DataFrame, is_heavy: Column) -> DataFrame:
+        tagged = _tagged(rows.withColumn("_part", F.spark_partition_id()), heavy)
+        places = F.when(F.col(HEAVY).isNull(), F.array(F.lit(0))).when(is_heavy, F.array(_own_salt(count))).otherwise(all_salts)
+        return tagged.select(*rows.columns, F.explode(places).alias(SALT))
+
+    pairs = dealt(source, F.col(HEAVY)).join(dealt(target, ~F.col(HEAVY)), [KEY, SALT])
+    return pairs.drop(SALT)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rows import DIGEST, KEY, is_text
@@ -22,24 +23,36 @@ class Options:
     ``key_mode``: "concat" joins key parts to one text, "typed" compares them one by one.
     ``digest``: "text" joins values to one text, "safe" keeps NULL and separators apart.
     ``digest_columns``: "all" non-key columns of each side, or the "common" ones only.
-    ``pair_fanout``: keys with more rows than this on both sides are listed row by row
-    instead of pair by pair; their counts are exact all the same.
-    ``hot_rows``: rows of one key that may go to one task; keys with more are joined apart.
-    ``broadcast_bytes``: largest key list, by measured size, that is sent to all executors.
+    The others choose a plan and never change a result:
+    ``pair_rows``: keys with more rows than this on both sides have their columns counted
+    by value instead of pair by pair.
+    ``hot_rows``: rows of one key that may go to one task; keys with more are dealt to several.
+    ``broadcast_bytes``: largest list of differing keys, by measured size, that is sent to all executors.
+    ``hot_list_bytes``: the same for the list of hot keys.
     """
 
     key_mode: str = "concat"
     digest: str = "text"
     digest_columns: str = "all"
-    pair_fanout: int = 16
+    pair_rows: int = 16
     hot_rows: int = 1_000_000
     broadcast_bytes: int = 32 << 20
+    hot_list_bytes: int = 32 << 20
 
     def __post_init__(self) -> None:
         if self.digest_columns not in ("all", "common"):
             raise ValueError(f"digest_columns must be 'all' or 'common', not {self.digest_columns!r}")
-        if self.pair_fanout < 1 or self.hot_rows < 1:
-            raise ValueError("pair_fanout and hot_rows must be positive")
+        if self.pair_rows < 1 or self.hot_rows < 1:
+            raise ValueError("pair_rows and hot_rows must be positive")
+
+
+#: How matched rows are listed: every pair, or every row once with its numbers of partners.
+LAYOUTS = ("pairs", "rows")
+
+
+def check_layout(layout: str) -> None:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
 
 
 class Comparison:
@@ -48,7 +61,12 @@ class Comparison:
     Two steps. The first reads key and digest of both sides only and counts rows per key
     (``operators.ledger``). The second goes back to the full rows for the few keys that the
     first found to differ, so equal rows never travel with their columns. ``counts`` needs
-    the first step alone; the others share one ledger, written once.
+    the first step alone; all share one ledger, written once.
+
+    Matched rows are listed in the layout the caller asks for, the same for every key:
+    ``pairs`` has m x n pairs for m rows against n, ``rows`` has m + n rows, each with its number
+    of partners and of partners that differ. ``totals.matched`` says beforehand how many
+    pairs there are. Used in a ``with`` statement, a comparison removes what it wrote.
     """
 
     def __init__(
@@ -88,22 +106,39 @@ class Comparison:
 
     @cached_property
     def records(self) -> DataFrame:
-        """The ledger, written to the shared folder."""
-        return self.store(ledger.ledger(self.key_counts()), "ledger")
+        """The ledger: a record per key that needs attention and one for all others, written to the shared folder."""
+        plain = Observation()
+        sums = ledger.key_sums(self._digested(self.source), self._digested(self.target))
+        sums = sums.observe(plain, F.count_if(F.expr(ledger.IS_PLAIN)).alias("keys"))
+        kept = self.store(sums.where(f"NOT ({ledger.IS_PLAIN})"), "key_sums")
+        records = ledger.plain_record(kept, plain.get["keys"]).unionByName(ledger.settled(kept))
+        several = kept.where("NOT single").select(KEY)
+        if several.isEmpty():
+            return records
+        sides = [self._digested(rows.join(several, KEY, "left_semi")) for rows in (self.source, self.target)]
+        counted = self.store(ledger.counted(ledger.key_counts(*sides)), "digest_counts")
+        return records.unionByName(counted)
 
     @cached_property
     def totals(self) -> ledger.Totals:
-        return ledger.totals(self.records, self.options.pair_fanout)
+        return ledger.totals(self.records, self.options.pair_rows)
 
     def key_counts(self) -> DataFrame:
         """Rows per key on each side, pairs, and pairs with equal digests."""
         return ledger.key_counts(self._digested(self.source), self._digested(self.target))
 
+    def row_counts(self) -> DataFrame:
+        """One row, ``source_rows`` and ``target_rows``: no digest, nothing shuffled but a number per task."""
+        sides = [
+            rows.select(*[F.lit(int(name == side)).cast("bigint").alias(f"{name}_rows") for name in ledger.SIDES])
+            for side, rows in (("source", self.source), ("target", self.target))
+        ]
+        sums = [F.coalesce(F.sum(f"{name}_rows"), F.lit(0)).alias(f"{name}_rows") for name in ledger.SIDES]
+        return sides[0].unionAll(sides[1]).agg(*sums)
+
     def counts(self) -> DataFrame:
-        """One row of counts, in a single pass over both sides."""
-        if "records" in self.__dict__:
-            return ledger.counts_of(self.records)
-        return ledger.counts_of(self.key_counts())
+        """One row of counts."""
+        return ledger.counts_of(self.records)
 
     def status_counts(self) -> DataFrame:
         """Rows (pairs where both sides have the key) per status."""
@@ -124,25 +159,25 @@ class Comparison:
 
     @cached_property
     def _hot(self) -> Column | None:
-        """The condition for hot keys; None without any, or with keys too long to broadcast.
+        """The condition for hot keys; None without any, or with a list too long to be sent out.
 
         Then only adaptive execution splits what such keys make too large.
         """
         if self.totals.heaviest <= self._threshold:
             return None
         hot = spread.is_hot(self._threshold) & ~F.col("plain")
-        return hot if ledger.key_bytes(self.records, hot) <= max(self.options.broadcast_bytes, 1 << 20) else None
+        return hot if ledger.key_bytes(self.records, hot) <= self.options.hot_list_bytes else None
 
-    def _filtered(
-        self, side: str, where: Column, size: int, how: str = "left_semi", kept: bool = True
-    ) -> DataFrame:
-        """One side's rows by key; from the kept rows if there are any and they suffice."""
+    def _filtered(self, side: str, where: Column, size: int) -> DataFrame:
+        """One side's rows of the listed keys, from the kept rows if there are any."""
         small = size <= self.options.broadcast_bytes
         listed = where & ~F.col("plain")
-        if kept and side in self._kept:
-            return spread.filter_by_keys(self._kept[side], self.records, listed, how, small, self._hot)
-        rows = self.source if side == "source" else self.target
-        return self._digested(spread.filter_by_keys(rows, self.records, listed, how, small, self._hot))
+        if side in self._kept:
+            return spread.filter_by_keys(self._kept[side], self.records, listed, "left_semi", small, self._hot)
+        return self._digested(spread.filter_by_keys(self._rows(side), self.records, listed, "left_semi", small, self._hot))
+
+    def _rows(self, side: str) -> DataFrame:
+        return self.source if side == "source" else self.target
 
     def keep_differing_rows(self) -> None:
         """Store the rows of one-sided and changed keys, if those keys can be broadcast.
@@ -161,8 +196,14 @@ class Comparison:
                 self._kept[side] = self.store(rows, f"{side}_rows")
 
     @property
-    def _many(self) -> Column:
-        return ledger.many_to_many(self.options.pair_fanout)
+    def _crowded(self) -> Column:
+        return ledger.is_crowded(self.options.pair_rows)
+
+    @property
+    def _mostly_changed(self) -> bool:
+        """Whether a filter by changed keys would keep most rows of both sides."""
+        rows = self.totals.source_rows + self.totals.target_rows
+        return not self._kept and 2 * self.totals.changed_rows > rows
 
     def source_only(self) -> DataFrame:
         """Source rows whose key the target lacks."""
@@ -172,82 +213,81 @@ class Comparison:
         """Target rows whose key the source lacks."""
         return self._filtered("target", ledger.in_target_only(), self.totals.target_only_bytes)
 
-    def _side_of_pairs(self, side: str, changed: bool) -> DataFrame:
-        if changed:
-            rows = self._filtered(side, ledger.is_changed() & ~self._many, self.totals.changed_bytes)
-        elif self.totals.many_keys:
-            rows = self._filtered(side, self._many, self.totals.many_bytes, "left_anti", kept=False)
-        else:
-            rows = self._digested(self.source if side == "source" else self.target)
+    def _side_of_pairs(self, side: str, where: Column | None) -> DataFrame:
+        rows = self._digested(self._rows(side)) if where is None else self._filtered(side, where, self.totals.changed_bytes)
         return rows.select(KEY, F.col(DIGEST).alias(f"{side}_digest"), F.struct(*_data_columns(rows)).alias(side))
 
-    def _pairs(self, changed: bool) -> DataFrame:
-        """Rows of both sides with the same key, for keys with few rows on one side."""
-        hot = None if self._hot is None else self._hot & ~self._many
-        joined = spread.join_sides(
-            self._side_of_pairs("source", changed),
-            self._side_of_pairs("target", changed),
-            self.records,
-            hot,
-            self.store,
-            self.options.broadcast_bytes,
+    def _pairs(self, where: Column | None) -> DataFrame:
+        """All pairs of rows with the same key, of all keys or those listed."""
+        sides = [self._side_of_pairs(side, where) for side in ledger.SIDES]
+        return spread.join_sides(*sides, self.records, self._hot)
+
+    def _changed_pairs(self, where: Column | None = None) -> DataFrame:
+        if where is None and not self._mostly_changed:
+            where = ledger.is_changed()
+        return self._pairs(where).where(~F.col("source_digest").eqNullSafe(F.col("target_digest")))
+
+    def _listed_rows(self, changed: bool) -> DataFrame:
+        """Rows of both sides that have partners, each once, with how many partners there are and how many differ."""
+        where = ledger.is_changed() if changed and not self._mostly_changed else None
+        both = [
+            self._digested(self._rows(side)) if where is None else self._filtered(side, where, self.totals.changed_bytes)
+            for side in ledger.SIDES
+        ]
+        per_digest = ledger.stacked(*both).groupBy(KEY, "digest").agg(
+            *[F.sum(f"{side}_rows").alias(f"same_{side}") for side in ledger.SIDES]
         )
-        if changed:
-            joined = joined.where(~F.col("source_digest").eqNullSafe(F.col("target_digest")))
-        return joined
-
-    def _rows_of_many(self, changed: bool) -> DataFrame | None:
-        """Rows of keys with many rows on both sides, each once, the other side left NULL."""
-        if not (self.totals.many_changed if changed else self.totals.many_keys):
-            return None
+        # keys left out of the ledger have one row on each side
+        per_key = self.records.where("NOT plain").select(KEY, *[f"{side}_rows" for side in ledger.SIDES])
+        numbers = per_digest.join(per_key, KEY, "left")
         parts = []
-        where = self._many & ledger.is_changed() if changed else self._many
-        for side in ("source", "target"):
-            rows = self._filtered(side, where, self.totals.many_bytes, kept=changed)
-            parts.append(rows.select(KEY, F.struct(*_data_columns(rows)).alias(side)))
-        return parts[0].unionByName(parts[1], allowMissingColumns=True).withColumn("pairing", F.lit("rows"))
-
-    def _paired(self, pairs: DataFrame, many: DataFrame | None) -> DataFrame:
-        pairs = pairs.select(KEY, "source", "target", F.lit("pair").alias("pairing"))
-        return pairs if many is None else pairs.unionByName(many)
-
-    def matched(self) -> DataFrame:
-        """All pairs: key, both full rows, and ``pairing``.
-
-        A key with more than ``pair_fanout`` rows on both sides is not multiplied out:
-        its rows appear once each, marked ``pairing = 'rows'``, the other side NULL.
+        for side, other, rows in (("source", "target", both[0]), ("target", "source", both[1])):
+            partners = F.coalesce(f"{other}_rows", F.lit(1))
+            mine = numbers.where(F.col(f"same_{side}") > 0).select(
+                KEY, "digest", partners.alias("partners"), (partners - F.col(f"same_{other}")).alias("unequal_partners")
+            )
+            listed = rows.withColumn("digest", F.unhex(DIGEST)).join(mine.where("partners > 0"), [KEY, "digest"])
+            data = F.struct(*[quoted(name) for name in rows.columns if name != KEY]).alias(side)
+            parts.append(listed.select(KEY, F.lit(side).alias("side"), data, "partners", "unequal_partners"))
+        listed = parts[0].unionByName(parts[1], allowMissingColumns=True)
+        listed = listed.select(KEY, "side", "source", "target", "partners", "unequal_partners")
+        return listed.where("unequal_partners > 0") if changed else listed
+
+    def matched(self, layout: str = "pairs") -> DataFrame:
+        """All rows whose key is on both sides.
+
+        ``pairs``: key, ``source``, ``target`` for every pair. ``rows``: key, ``side``, the row in the
+        column of its side, ``partners`` and ``unequal_partners``, for every row.
         """
-        return self._paired(self._pairs(changed=False), self._rows_of_many(changed=False))
+        check_layout(layout)
+        return self._listed_rows(False) if layout == "rows" else self._pairs(None).select(KEY, "source", "target")
 
-    def changed(self) -> DataFrame:
-        """Pairs with unequal digests, laid out as in ``matched``."""
-        if self._changed is not None:
-            return self._changed
-        return self._paired(self._pairs(changed=True), self._rows_of_many(changed=True))
+    def changed(self, layout: str = "pairs") -> DataFrame:
+        """As ``matched``, but only pairs with unequal digests, or rows with a partner that differs."""
+        check_layout(layout)
+        if layout == "rows":
+            return self._listed_rows(True)
+        return self._changed if self._changed is not None else self._changed_pairs().select(KEY, "source", "target")
 
     def use_changed(self, stored: DataFrame) -> None:
-        """Go on from a written copy of ``changed`` instead of computing it again."""
+        """Go on from a written copy of ``changed`` (as pairs) instead of computing it again."""
         self._changed = stored
 
-    def classified(self) -> DataFrame:
+    def classified(self, layout: str = "pairs") -> DataFrame:
         """The full outer join by key: every row or pair with its status and both sides.
 
-        Built from the two one-sided sets and the pairs, which treat hot keys apart; an
-        outer join cannot. Keys listed row by row have the status ``many_to_many``.
+        Built from the two one-sided sets and the matched rows, which deal hot keys out; an
+        outer join cannot. The status of a matched row or pair is ``equal`` or ``changed``.
         """
-        pairs = self._pairs(changed=False).select(
-            F.when(F.col("source_digest") != F.col("target_digest"), "changed").otherwise("equal").alias("status"),
-            KEY, "source", "target",
-        )
-        parts = [pairs]
+        check_layout(layout)
+        if layout == "rows":
+            matched, differs = self._listed_rows(False), F.col("unequal_partners") > 0
+        else:
+            matched, differs = self._pairs(None), F.col("source_digest") != F.col("target_digest")
+        whole = matched.select(F.when(differs, "changed").otherwise("equal").alias("status"), KEY, "source", "target")
         for side, rows in (("source", self.source_only()), ("target", self.target_only())):
             data = F.struct(*_data_columns(rows)).alias(side)
-            parts.append(rows.select(F.lit(f"{side}_only").alias("status"), KEY, data))
-        many = self._rows_of_many(changed=False)
-        if many is not None:
-            parts.append(many.select(F.lit("many_to_many").alias("status"), KEY, "source", "target"))
-        whole = parts[0]
-        for part in parts[1:]:
+            part = rows.select(F.lit(f"{side}_only").alias("status"), KEY, data)
             whole = whole.unionByName(part, allowMissingColumns=True)
         return whole
 
@@ -257,17 +297,16 @@ class Comparison:
         if not names or not self.totals.changed:
             return self.spark.createDataFrame([], differences.SCHEMA)
         kinds = differences.types_by_name(self.source), differences.types_by_name(self.target)
+        if self._changed is not None:
+            return differences.summed(differences.counted_in_pairs(self._changed, names, *kinds))
         parts = []
-        if self.totals.changed > self.totals.many_changed:
-            if self._changed is None:
-                pairs = self._pairs(changed=True)
-            else:
-                pairs = self._changed.where(F.col("pairing") == "pair")
-            parts.append(differences.counted_in_pairs(pairs, names, *kinds))
-        if self.totals.many_changed:
-            wanted = self._many & ledger.is_changed()
-            rows = [self._filtered(side, wanted, self.totals.many_bytes) for side in ("source", "target")]
-            parts.append(differences.counted_by_value(*rows, names, self.totals.many_pairs, self.store))
+        if self.totals.changed > self.totals.crowded_changed:
+            ordinary = ledger.is_changed() & ~self._crowded if self.totals.crowded_changed else None
+            parts.append(differences.counted_in_pairs(self._changed_pairs(ordinary), names, *kinds))
+        if self.totals.crowded_changed:
+            wanted = self._crowded & ledger.is_changed()
+            rows = [self._filtered(side, wanted, self.totals.crowded_bytes) for side in ledger.SIDES]
+            parts.append(differences.counted_by_value(*rows, names, self.totals.crowded_pairs, self.store))
         return differences.summed(*parts)
 
     @cached_property
@@ -277,7 +316,7 @@ class Comparison:
 
     def metrics(self) -> DataFrame:
         """One row: all counts, the number of differing columns and the verdict."""
-        known = [F.lit(getattr(self.totals, name)) for name in ledger.COUNTS]
+        known = [F.lit(Decimal(getattr(self.totals, name))) for name in ledger.COUNTS]
         kinds = ["bigint"] * 4 + [ledger.PAIRS] * 2
         found = self.column_differences().agg(F.count("*").alias("differing_columns"))
         return found.select(
@@ -296,6 +335,12 @@ class Comparison:
             remove(self.spark, folder)
         self._folders.clear()
 
+    def __enter__(self) -> Comparison:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
     def schema_diff(self) -> DataFrame:
         """Column names per side."""
         return schemas.schema_diff(self.source.drop(KEY), self.target.drop(KEY))

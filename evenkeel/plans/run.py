@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.dates import relative_day
 from evenkeel.operators.columns import name_list
 from evenkeel.operators.ledger import COUNTS
-from evenkeel.plans.compare import Comparison, Options
+from evenkeel.plans.compare import Comparison, Options, check_layout
 from evenkeel.sinks.differences import Labels, save_differences
 from evenkeel.sinks.reports import report_rows, write_report
 from evenkeel.sources.scan import SideSpec, scan
@@ -40,10 +41,12 @@ class ReconcileSpec:
     report_path: str | None = None
     offset_days: int = 2
     labels: Labels = field(default_factory=Labels)
+    layout: str = "pairs"
 
     def __post_init__(self) -> None:
         if not name_list(self.keys):
             raise ValueError("at least one key column is needed")
+        check_layout(self.layout)
 
     @classmethod
     def for_tables(
@@ -66,7 +69,8 @@ class ReconcileSpec:
         """A database table (``jdbc``) or catalog table against a catalog table.
 
         The target has the source's table name unless another is given; the window,
-        ``columns`` and ``exclude`` hold for both sides.
+        ``columns`` and ``exclude`` hold for both sides. The pair is named after the source
+        table with its namespace.
         """
         shared = {"date_column": date_column, "date_format": date_format, "columns": columns, "exclude": exclude}
         source = SideSpec(
@@ -75,7 +79,7 @@ class ReconcileSpec:
         target = SideSpec(
             table=target_table or source_table, namespace=target_namespace, where=target_where, **shared
         )
-        return cls(source_table, source, target, keys, **rest)
+        return cls(source.name, source, target, keys, **rest)
 
     @property
     def is_daily(self) -> bool:
@@ -101,15 +105,19 @@ def open_comparison(spark: SparkSession, spec: ReconcileSpec, day: str | dt.date
     A database is asked once: its rows are written to the shared folder and compared from
     there, so later steps neither load it again nor see rows that changed meanwhile.
     """
-    sides = [scan(spark, side, day) for side in (spec.source, spec.target)]
+    sides = [scan(spark, side, day, name_list(spec.keys)) for side in (spec.source, spec.target)]
     plan = Comparison(sides[0], sides[1], spec.keys, spec.options)
     if spec.source.jdbc is None and spec.target.jdbc is None:
         return plan
-    kept = [
-        plan.store(df, part) if side.jdbc is not None else df
-        for part, side, df in zip(("source", "target"), (spec.source, spec.target), sides)
-    ]
-    return plan.on(kept[0], kept[1])
+    try:
+        kept = [
+            plan.store(df, part) if side.jdbc is not None else df
+            for part, side, df in zip(("source", "target"), (spec.source, spec.target), sides)
+        ]
+        return plan.on(kept[0], kept[1])
+    except BaseException:
+        plan.close()
+        raise
 
 
 def run(
@@ -123,19 +131,21 @@ def run(
     The day is ``day``, else ``offset_days`` before ``as_of`` (default today); pairs without
     date columns are compared whole.
     """
-    if day is None and spec.is_daily:
-        day = relative_day(spec.offset_days, as_of)
-    comparison = open_comparison(spark, spec, day)
-    try:
+    day = day_of(spec, day, as_of)
+    with open_comparison(spark, spec, day) as comparison:
         return _outcome(comparison, spec, day)
-    finally:
-        comparison.close()
+
+
+def day_of(spec: ReconcileSpec, day: str | dt.date | None, as_of: str | dt.date | None) -> str | dt.date | None:
+    return relative_day(spec.offset_days, as_of) if day is None and spec.is_daily else day
 
 
 def _outcome(comparison: Comparison, spec: ReconcileSpec, day: str | dt.date | None) -> Outcome:
     paths = {}
     if spec.output_path:
-        paths = save_differences(comparison, spec.output_path, spec.name, day or dt.date.today(), spec.labels)
+        paths = save_differences(
+            comparison, spec.output_path, spec.name, day or dt.date.today(), spec.labels, spec.layout
+        )
     totals, differing = comparison.totals, comparison.differing
     if spec.report_path:
         rows = report_rows(comparison, spec.source.name, spec.target.name, day, paths)
@@ -173,18 +183,19 @@ def run_many(
 ) -> DataFrame:
     """Reconcile many pairs in one session, ``max_workers`` at a time (1: one after another).
 
-    The threads only submit Spark jobs, each pair under its own scheduler pool. A pair that
-    fails keeps its error and does not stop the others.
+    The threads only submit Spark jobs. A pair that fails keeps its error and does not stop
+    the others. Stored results carry the pairs' names, so these must differ.
     """
+    twice = sorted(name for name, times in Counter(spec.name for spec in specs).items() if times > 1)
+    if twice:
+        raise ValueError(f"pairs with the same name would overwrite each other's results: {twice}")
 
     def attempt(spec: ReconcileSpec) -> Outcome:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
+        today = day_of(spec, day, as_of)
         try:
-            return run(spark, spec, day, as_of)
+            return run(spark, spec, today)
         except Exception as error:  # noqa: BLE001 - kept as this pair's result
-            return Outcome(spec.name, None if day is None else str(day), None, f"{type(error).__name__}: {error}")
-        finally:
-            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            return Outcome(spec.name, None if today is None else str(today), None, f"{type(error).__name__}: {error}")
 
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
         task = inheritable_thread_target(spark)(attempt)

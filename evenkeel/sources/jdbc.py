@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.dates import as_day, day_window
@@ -33,39 +35,72 @@ def base_options(side: SideSpec) -> dict[str, str]:
     }
 
 
-def slice_options(side: SideSpec, schema: T.StructType, day: str | dt.date | None) -> dict[str, str]:
+# Types that Spark can cut a read by.
+CUT_BY = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType)
+
+
+def slice_column(side: SideSpec, schema: T.StructType, day: str | dt.date | None, keys: Sequence[str] = ()) -> str | None:
+    """The column to cut the read by: the one given, else the window's timestamp, else the first fitting key."""
+    kinds = {field.name.lower(): (field.name, field.dataType) for field in schema.fields}
+    if side.partition_column:
+        return side.partition_column
+    column, kind = kinds.get((side.date_column or "").lower(), (None, None))
+    if day is not None and isinstance(kind, T.TimestampType):
+        return column
+    return next((kinds[key.lower()][0] for key in keys if isinstance(kinds.get(key.lower(), (0, 0))[1], CUT_BY)), None)
+
+
+def slice_options(side: SideSpec, column: str, bounds: tuple) -> dict[str, str]:
     """Options that split the read into ``num_partitions`` range queries.
 
-    A given partition column comes with its bounds. Failing that, a day window on a
-    timestamp column is itself the range: the day is cut into equal stretches of time.
     Bounds only place the cuts; rows outside them are read by the outermost slices.
     """
-    if side.partition_column:
-        if side.partition_bounds is None:
-            raise ValueError("partition_column needs partition_bounds (lower, upper)")
-        column, (low, high) = side.partition_column, side.partition_bounds
-    else:
-        kinds = {f.name.lower(): (f.name, f.dataType) for f in schema.fields}
-        column, kind = kinds.get((side.date_column or "").lower(), (None, None))
-        if day is None or not isinstance(kind, T.TimestampType):
-            return {}
-        first = as_day(day)
-        low, high = f"{first} 00:00:00", f"{first + dt.timedelta(days=1)} 00:00:00"
     return {
         "partitionColumn": column,
-        "lowerBound": str(low),
-        "upperBound": str(high),
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
         "numPartitions": str(side.num_partitions),
     }
 
 
-def read_jdbc(spark: SparkSession, side: SideSpec, day: str | dt.date | None) -> DataFrame:
-    """Read the table's day window in slices; the database evaluates window and predicate."""
+def given_bounds(side: SideSpec, column: str, day: str | dt.date | None) -> tuple | None:
+    """Bounds that are known without asking: the given ones, or the day itself."""
+    if side.partition_column:
+        return side.partition_bounds
+    if day is not None and column.lower() == (side.date_column or "").lower():
+        first = as_day(day)
+        return f"{first} 00:00:00", f"{first + dt.timedelta(days=1)} 00:00:00"
+    return None
+
+
+def read_jdbc(
+    spark: SparkSession, side: SideSpec, day: str | dt.date | None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Read the table's day window in slices; the database evaluates window and predicate.
+
+    Without known bounds the database is asked for the smallest and largest value first. A
+    read that cannot be cut is one task; it must be asked for with ``num_partitions=1``.
+    """
     options = base_options(side)
-    df = spark.read.format("jdbc").options(**options).load()
-    sliced = slice_options(side, df.schema, day)
-    if sliced:
-        df = spark.read.format("jdbc").options(**options, **sliced).load()
-    if day is not None and side.date_column:
-        df = df.where(day_window(df, side.date_column, day, side.date_format))
-    return df
+
+    def load(**more: str) -> DataFrame:
+        df = spark.read.format("jdbc").options(**options, **more).load()
+        if day is not None and side.date_column:
+            df = df.where(day_window(df, side.date_column, day, side.date_format))
+        return df
+
+    whole = load()
+    if side.num_partitions == 1:
+        return whole
+    column = slice_column(side, whole.schema, day, keys)
+    if column is None:
+        raise ValueError(
+            f"nothing to cut the read of {side.qualified_table} by: give partition_column, "
+            "or num_partitions=1 to read it in one task"
+        )
+    bounds = given_bounds(side, column, day)
+    if bounds is None:
+        bounds = tuple(whole.agg(F.min(column), F.max(column)).first())
+    if None in bounds:  # no rows
+        return whole
+    return load(**slice_options(side, column, bounds))

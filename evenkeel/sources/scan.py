@@ -56,14 +56,17 @@ class SideSpec:
         return self.label or self.qualified_table or self.path or "frame"
 
 
-def scan(spark: SparkSession, side: SideSpec, day: str | dt.date | None = None) -> DataFrame:
+def scan(
+    spark: SparkSession, side: SideSpec, day: str | dt.date | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
     """Read one side: window, extra predicate, projection, all left to the scan's pushdown.
 
     Without ``day`` or a date column the whole table is read. The extra predicate is a
-    conjunct of its own, so an OR inside it cannot reach outside the window.
+    conjunct of its own, so an OR inside it cannot reach outside the window. ``keys`` are
+    columns that a database read may be cut by.
     """
     if side.jdbc is not None:
-        return project(read_jdbc(spark, side, day), side.columns, side.exclude)
+        return project(read_jdbc(spark, side, day, keys), side.columns, side.exclude)
     if side.frame is not None:
         df = side.frame
     elif side.path is not None:

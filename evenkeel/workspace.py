@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +11,11 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the session names in ``spark.checkpoint.dir``.
 
     Written tables there outlive any executor, so a lost one costs no recomputation of
-    earlier steps. Only a local session, where nothing is named, gets a temporary folder.
+    earlier steps.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="evenkeel-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{root.rstrip('/')}/evenkeel-{uuid.uuid4().hex}"
 
 

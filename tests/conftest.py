@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def build_session() -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="evenkeel-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -27,4 +29,7 @@ def build_session() -> SparkSession:
 def spark():
     session = build_session()
     yield session
+    import __spark_entry__
+
+    __spark_entry__.close_all()
     session.stop()

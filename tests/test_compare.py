@@ -1,5 +1,6 @@
 import math
 import random
+import uuid
 from collections import Counter
 from itertools import product
 
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 
 from evenkeel import Options, compare
 
-TIGHT = Options(pair_fanout=1, hot_rows=1, broadcast_bytes=0)
+TIGHT = Options(pair_rows=1, hot_rows=1, broadcast_bytes=0)
 HOT = Options(hot_rows=2, broadcast_bytes=0)
-HOT_SMALL = Options(pair_fanout=2, hot_rows=2)
+HOT_SMALL = Options(pair_rows=2, hot_rows=2)
 
 
 def numbers(comparison):
@@ -22,48 +23,49 @@ def found(comparison):
     return {r.column_name: int(r.differences) for r in comparison.column_differences().collect()}
 
 
-def test_identical(spark):
-    df = spark.createDataFrame([(1, "Alice", 100), (2, "Bob", 200)], "id bigint, name string, value bigint")
-    comparison = compare(df, df, "id")
+def test_a_table_against_itself(spark):
+    df = spark.range(40).selectExpr("id AS shelf", "concat('box ', id % 7) AS content", "id * 1.5 AS weight")
+    comparison = compare(df, df, "shelf")
     assert numbers(comparison) == {
-        "source_rows": 2, "target_rows": 2, "source_only": 0, "target_only": 0, "matched": 2, "changed": 0,
+        "source_rows": 40, "target_rows": 40, "source_only": 0, "target_only": 0, "matched": 40, "changed": 0,
         "common_columns": 3, "differing_columns": 0, "is_match": True,
     }
     assert comparison.verdict().first().is_match is True
+    assert comparison.changed().count() == comparison.changed("rows").count() == 0
 
 
-def test_missing_and_changed(spark):
-    rows = [(1, "Alice", 100), (2, "Bob", 200), (3, "Charlie", 300)]
-    source = spark.createDataFrame(rows, "ID int, NAME string, VALUE int")
-    target = spark.createDataFrame([(1, "Alice", 100), (2, "Bob", 250)], "id bigint, name string, value bigint")
-    comparison = compare(source, target, "Id")
+def test_lost_gained_and_altered_rows(spark):
+    source = spark.range(12).selectExpr("CAST(id AS INT) AS SHELF", "concat('box ', id) AS Content", "CAST(id AS INT) AS WEIGHT")
+    target = spark.range(3, 14).selectExpr(
+        "id AS shelf", "IF(id = 5, 'crate', concat('box ', id)) AS content", "IF(id IN (5, 8), -id, id) AS weight"
+    )
+    comparison = compare(source, target, "Shelf")
     got = numbers(comparison)
-    assert (got["source_rows"], got["target_rows"], got["source_only"], got["target_only"]) == (3, 2, 1, 0)
-    assert got["differing_columns"] == 1 and found(comparison) == {"value": 1} and not got["is_match"]
-    assert [r.name for r in comparison.source_only().collect()] == ["Charlie"]
-    assert comparison.target_only().count() == 0
-    pair = comparison.changed().first()
-    assert (pair.source.value, pair.target.value, pair.pairing) == (200, 250, "pair")
-    assert {r.status: r["count"] for r in comparison.classified().groupBy("status").count().collect()} == {
-        "equal": 1, "changed": 1, "source_only": 1,
-    }
-
-
-def test_schema_drift(spark):
-    source = spark.createDataFrame([(1, "Alice", "e")], "id int, name string, email string")
-    target = spark.createDataFrame([(1, "Alice", "d")], "id int, name string, dt string")
-    comparison = compare(source, target, "id")
-    assert comparison.columns.common == ("id", "name")
-    assert comparison.columns.source_only == ("email",) and comparison.columns.target_only == ("dt",)
+    assert (got["source_rows"], got["target_rows"], got["source_only"], got["target_only"]) == (12, 11, 3, 2)
+    assert got["differing_columns"] == 2 and found(comparison) == {"content": 1, "weight": 2} and not got["is_match"]
+    assert sorted(r.shelf for r in comparison.source_only().collect()) == [0, 1, 2]
+    assert sorted(r.shelf for r in comparison.target_only().collect()) == [12, 13]
+    pairs = {r.source.shelf: (r.source.weight, r.target.weight) for r in comparison.changed().collect()}
+    assert pairs == {5: (5, -5), 8: (8, -8)}
+    statuses = {r.status: r["count"] for r in comparison.classified().groupBy("status").count().collect()}
+    assert statuses == {"equal": 7, "changed": 2, "source_only": 3, "target_only": 2}
+
+
+def test_columns_of_one_side_only(spark):
+    source = spark.range(4).selectExpr("id AS shelf", "'a' AS content", "id AS weight")
+    target = spark.range(4).selectExpr("id AS shelf", "'a' AS content", "'north' AS hall")
+    comparison = compare(source, target, "shelf")
+    assert comparison.columns.common == ("content", "shelf")
+    assert comparison.columns.source_only == ("weight",) and comparison.columns.target_only == ("hall",)
     got = numbers(comparison)
-    assert got["changed"] == 1 and got["differing_columns"] == 0 and got["is_match"]
-    assert numbers(compare(source, target, "id", Options(digest_columns="common")))["changed"] == 0
+    assert got["changed"] == 4 and got["differing_columns"] == 0 and got["is_match"]
+    assert numbers(compare(source, target, "shelf", Options(digest_columns="common")))["changed"] == 0
 
 
-def test_null_against_value(spark):
-    source = spark.createDataFrame([(1, "Alice"), (2, None)], "id int, name string")
-    target = spark.createDataFrame([(1, "Alice"), (2, "Bob")], "id bigint, name string")
-    assert found(compare(source, target, "id")) == {"name": 1}
+def test_missing_value_against_a_value(spark):
+    source = spark.range(3).selectExpr("CAST(id AS INT) AS shelf", "IF(id = 1, NULL, 'lid') AS cover")
+    target = spark.range(3).selectExpr("id AS shelf", "'lid' AS cover")
+    assert found(compare(source, target, "shelf")) == {"cover": 1}
 
 
 def test_null_and_empty_text_are_equal(spark):
@@ -131,11 +133,37 @@ def test_duplicate_keys_multiply(spark):
     got = numbers(comparison)
     assert (got["matched"], got["changed"]) == (6, 4) and found(comparison) == {"v": 4}
     assert comparison.matched().count() == 6 and comparison.changed().count() == 4
-    listed = compare(source, target, "id", TIGHT)
-    assert numbers(listed)["matched"] == 6 and found(listed) == {"v": 4}
-    rows = listed.changed().collect()
-    assert len(rows) == 5 and {r.pairing for r in rows} == {"rows"}
-    assert all((r.source is None) != (r.target is None) for r in rows)
+    for options in (Options(), TIGHT, HOT):
+        listed = compare(source, target, "id", options)
+        assert numbers(listed)["matched"] == 6 and found(listed) == {"v": 4}
+        assert listed.matched().count() == 6 and listed.changed().count() == 4
+        rows = Counter(
+            (r.side, (r.source or r.target).v, r.partners, r.unequal_partners) for r in listed.changed("rows").collect()
+        )
+        assert rows == {("source", "a", 3, 1): 1, ("source", "b", 3, 3): 1, ("target", "a", 2, 1): 2, ("target", "c", 2, 2): 1}
+    with pytest.raises(ValueError, match="layout"):
+        comparison.matched("columns")
+
+
+@pytest.mark.parametrize("rows", [16, 17, 300])
+def test_layouts_are_the_same_for_any_number_of_rows(spark, rows):
+    source = spark.range(rows).selectExpr("1 AS id", "id % 4 AS v")
+    target = spark.range(rows).selectExpr("1 AS id", "IF(id = 0, 9, id % 4) AS v")
+    comparison = compare(source, target, "id")
+    per_value = Counter(n % 4 for n in range(rows))
+    other = per_value + Counter({9: 1})
+    other[0] -= 1
+    same = sum(n * other[v] for v, n in per_value.items())
+    pairs = comparison.changed()
+    assert pairs.columns == ["_composite_key", "source", "target"]
+    assert pairs.count() == rows * rows - same and comparison.matched().count() == rows * rows
+    statuses = {r.status: r["count"] for r in comparison.classified().groupBy("status").count().collect()}
+    assert statuses == {"equal": same, "changed": rows * rows - same}
+    listed = comparison.changed("rows").collect()
+    assert len(listed) == 2 * rows and all(r.partners == rows for r in listed)
+    assert all(r.unequal_partners == rows - (other[r.source.v] if r.side == "source" else per_value[r.target.v]) for r in listed)
+    by_row = {r.status: r["count"] for r in comparison.classified("rows").groupBy("status").count().collect()}
+    assert by_row == {"changed": 2 * rows}
 
 
 def test_equal_digests_of_unequal_rows_in_crowded_keys(spark):
@@ -251,23 +279,21 @@ def test_against_definition(spark, seed, options):
     assert comparison.target_only().count() == expected["target_only"]
     statuses = Counter(r.status for r in comparison.classified().collect())
     assert statuses["source_only"] == expected["source_only"] and statuses["target_only"] == expected["target_only"]
-    if comparison.totals.many_keys == 0:
-        assert comparison.changed().count() == expected["changed"]
-        assert comparison.matched().count() == expected["matched"]
-        assert statuses["changed"] == expected["changed"]
-    else:  # rows listed once stand for all their pairs
-        rows = comparison.changed().collect()
-        pairs = [(r.source, r.target) for r in rows if r.pairing == "pair"]
-        for key in {r._composite_key for r in rows if r.pairing == "rows"}:
-            mine = [r for r in rows if r._composite_key == key]
-            pairs += [
-                (s.source, t.target)
-                for s, t in product(mine, mine)
-                if s.source is not None and t.target is not None and s.source._row_hash != t.target._row_hash
-            ]
-        assert len(pairs) == len(changed)
-        got = Counter((text(s.a), s.b, text(t.a), t.b) for s, t in pairs)
-        assert got == Counter((text(s[2]["a"]), s[2]["b"], text(t[2]["a"]), t[2]["b"]) for s, t in changed)
+    assert comparison.changed().count() == expected["changed"]
+    assert comparison.matched().count() == expected["matched"]
+    assert statuses["changed"] == expected["changed"] and statuses["equal"] == expected["matched"] - expected["changed"]
+    pairs = [(r.source, r.target) for r in comparison.changed().collect()]
+    got = Counter((text(s.a), s.b, text(t.a), t.b) for s, t in pairs)
+    assert got == Counter((text(s[2]["a"]), s[2]["b"], text(t[2]["a"]), t[2]["b"]) for s, t in changed)
+    listed = Counter((r.side, r._composite_key, (r.source or r.target)._row_hash, r.partners, r.unequal_partners)
+                     for r in comparison.matched("rows").collect())
+    assert sum(n * unequal for (side, _, _, _, unequal), n in listed.items() if side == "source") == expected["changed"]
+    assert sum(n * partners for (side, _, _, partners, _), n in listed.items() if side == "target") == expected["matched"]
+    assert Counter({k: n for k, n in listed.items() if k[4]}) == Counter(
+        (r.side, r._composite_key, (r.source or r.target)._row_hash, r.partners, r.unequal_partners)
+        for r in comparison.changed("rows").collect()
+    )
+    comparison.close()
 
 
 # fixed pairs on the given tables
@@ -322,11 +348,57 @@ def test_part_fixture(spark):
 
 def test_duplicate_key_fixture(spark):
     lineitem = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
-    for options in (Options(), Options(pair_fanout=1, hot_rows=3, broadcast_bytes=0)):
+    for options in (Options(), Options(pair_rows=1, hot_rows=3, broadcast_bytes=0)):
         comparison = compare(lineitem, lineitem, "l_orderkey,l_linenumber", options)
         assert numbers(comparison)["matched"] == 93792
         assert comparison.key_counts().where("source_rows > 1").count() == 11785
-        many = comparison.matched().groupBy("pairing").count().collect()
-        assert {r.pairing: r["count"] for r in many} == (
-            {"pair": 93792} if options == Options() else {"pair": 34047, "rows": 51906}
-        )
+        assert comparison.matched().count() == 93792
+        assert comparison.matched("rows").count() == 2 * lineitem.count()
+
+
+def test_numbers_that_need_more_than_38_digits_together(spark):
+    source = spark.sql("select 1 as id, cast('12345678901234567.1' as decimal(38,18)) as v")
+    target = spark.sql("select 1 as id, cast('12345678901234567.2' as decimal(38,10)) as v")
+    assert not numbers(compare(source, target, "id"))["is_match"] and found(compare(source, target, "id", TIGHT)) == {"v": 1}
+    same = spark.sql("select 1 as id, cast('12345678901234567.1' as decimal(38,10)) as v")
+    got = numbers(compare(source, same, "id"))
+    assert got["changed"] == 1 and got["is_match"]
+
+
+def test_more_pairs_than_64_bits_hold(spark, monkeypatch):
+    big = 5 * 10**9
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    comparison = compare(df, df, "id")
+    records = spark.sql(f"""
+        select '1' as _composite_key, false as plain, {big}L as source_rows, {big}L as target_rows,
+               cast(0 as decimal(38,0)) as same_pairs, cast({big}L as decimal(19,0)) * {big}L as pairs""")
+    records = records.withColumn("pairs", F.col("pairs").cast("decimal(38,0)"))
+    monkeypatch.setitem(comparison.__dict__, "records", records)
+    monkeypatch.setattr(comparison, "column_differences", lambda: spark.createDataFrame([("v", 1)], "column_name string, differences int"))
+    row = comparison.metrics().first()
+    assert int(row.matched) == int(row.changed) == big * big and row.is_match is False
+    assert comparison.verdict().first().is_match is False and int(comparison.counts().first().matched) == big * big
+
+
+def test_safe_digest_tells_nested_values_apart(spark):
+    for one, other in (
+        ("array('a, b')", "array('a', 'b')"),
+        ("map('a', 'b, c -> d')", "map('a', 'b', 'c', 'd')"),
+        ("named_struct('x', 'a, b', 'y', cast(null as string))", "named_struct('x', 'a', 'y', 'b')"),
+    ):
+        source, target = spark.sql(f"select 1 as id, {one} as v"), spark.sql(f"select 1 as id, {other} as v")
+        assert numbers(compare(source, target, "id", Options(digest="safe")))["changed"] == 1
+        assert numbers(compare(source, source, "id", Options(digest="safe")))["changed"] == 0
+    maps = [spark.sql(f"select 1 as id, map({text}) as v") for text in ("'a', 1, 'b', 2", "'b', 2, 'a', 1")]
+    assert numbers(compare(*maps, "id", Options(digest="safe")))["changed"] == 0
+    nulls = [spark.sql(f"select 1 as id, cast({text} as array<string>) as v") for text in ("null", "array()")]
+    assert numbers(compare(*nulls, "id", Options(digest="safe")))["changed"] == 1
+
+
+def test_what_was_written_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("evenkeel.plans.compare.shared_folder", lambda _: f"{tmp_path}/{uuid.uuid4().hex}")
+    df = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
+    with compare(df, df, "id", TIGHT) as comparison:
+        assert comparison.changed("rows").count() == 4 and comparison.metrics().count() == 1
+        assert list(tmp_path.iterdir())
+    assert not list(tmp_path.iterdir())

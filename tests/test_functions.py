@@ -101,10 +101,11 @@ def test_text_digest(spark):
 
 def test_safe_digest_separates_what_text_joins(spark):
     df = spark.createDataFrame([("p||q", "r"), ("p", "q||r")], "a string, b string")
-    hashes = df.select(rows.text_digest(["a", "b"]).alias("t"), rows.safe_digest(["a", "b"]).alias("s")).collect()
+    safe = rows.safe_digest([(name, F.col(name)) for name in ("a", "b")])
+    hashes = df.select(rows.text_digest(["a", "b"]).alias("t"), safe.alias("s")).collect()
     assert len({r.t for r in hashes}) == 1 and len({r.s for r in hashes}) == 2
     missing = spark.sql("select cast(null as int) as a union all select 0")
-    assert missing.select(rows.safe_digest(["a"])).distinct().count() == 2
+    assert missing.select(rows.safe_digest([("a", F.col("a").cast("string"))])).distinct().count() == 2
 
 
 # left type, left value, right type, right value, do they differ?
@@ -115,6 +116,21 @@ CASES = [
     ("decimal(10,2)", "100.00", "int", "100", False),
     ("decimal(10,2)", "100.01", "int", "100", True),
     ("decimal(38,0)", "1", "decimal(38,20)", "1", False),
+    ("decimal(38,0)", "'99999999999999999999999999999999999999'", "decimal(38,10)", "'9999999999999999999999999999.1'", True),
+    ("decimal(38,0)", "'12345678901234567890123'", "decimal(38,10)", "'12345678901234567890123.0000000001'", True),
+    ("decimal(38,18)", "'12345678901234567.1'", "decimal(38,10)", "'12345678901234567.2'", True),
+    ("decimal(38,18)", "'12345678901234567.1'", "decimal(38,10)", "'12345678901234567.1'", False),
+    ("decimal(38,18)", "'-12345678901234567.100000000000000001'", "decimal(38,10)", "'-12345678901234567.1'", True),
+    ("decimal(38,18)", "'-12345678901234567.1'", "decimal(38,10)", "'-12345678901234567.1'", False),
+    ("decimal(38,18)", "'-0.5'", "decimal(38,0)", "'-1'", True),
+    ("decimal(38,37)", "'1.0000000000000000000000000000000000001'", "decimal(38,0)", "'1'", True),
+    ("decimal(38,37)", "'1'", "decimal(38,0)", "'1'", False),
+    ("decimal(38,37)", "'-1.5'", "decimal(38,10)", "'-1.5'", False),
+    ("decimal(38,38)", "'0.5'", "decimal(38,18)", "'0.5'", False),
+    ("decimal(38,30)", "'7'", "bigint", "7", False),
+    ("decimal(38,30)", "'7.000000000000000000000000000001'", "bigint", "7", True),
+    ("decimal(38,18)", "null", "decimal(38,10)", "'0'", True),
+    ("decimal(38,18)", "null", "decimal(38,10)", "null", False),
     ("double", "double('NaN')", "double", "double('NaN')", False),
     ("double", "-0.0D", "double", "0.0D", False),
     ("float", "1.5", "double", "1.5", False),
@@ -131,7 +147,12 @@ CASES = [
     ("timestamp_ntz", "timestamp_ntz'2024-01-15 00:00:00.000001'", "timestamp_ntz",
      "timestamp_ntz'2024-01-15 00:00:00'", True),
     ("timestamp", "timestamp'2024-01-15 00:00:00.000001'", "timestamp", "timestamp'2024-01-15 00:00:00'", True),
-    ("boolean", "true", "int", "1", True),
+    ("boolean", "true", "int", "1", False),
+    ("boolean", "true", "decimal(38,20)", "1", False),
+    ("boolean", "false", "double", "0", False),
+    ("boolean", "true", "int", "2", True),
+    ("boolean", "false", "int", "null", True),
+    ("boolean", "true", "string", "'1'", False),
     ("binary", "x'00ff'", "binary", "x'00ff'", False),
     ("binary", "x'00ff'", "binary", "x'00fe'", True),
     ("array<int>", "array(1,null)", "array<int>", "array(1,null)", False),

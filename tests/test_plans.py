@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from evenkeel import Options, compare
+from evenkeel.operators import ledger
 
 SF = "/root/testdata/sf0.01"
 
@@ -19,11 +20,42 @@ def pair(spark):
     return orders, target
 
 
-def test_counts_pair_up_no_rows(spark):
-    plan = plan_of(compare(*pair(spark), "o_orderkey").counts())
+def few_changed(spark):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    changed = F.when(F.col("o_totalprice") < 30000, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    return orders, orders.where("o_totalprice > 2000").withColumn("o_custkey", changed)
+
+
+def test_counts_pair_up_no_rows_and_shuffle_once(spark):
+    comparison = compare(*pair(spark), "o_orderkey")
+    sides = [comparison._digested(rows) for rows in (comparison.source, comparison.target)]
+    plan = plan_of(ledger.key_sums(*sides))
     assert "Join" not in plan and "Cartesian" not in plan and "Sort" not in plan
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
-    assert plan.count("partial_sum") >= 3
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and plan.count("partial_sum") >= 2
+    assert "orders.parquet" not in plan_of(comparison.counts())  # counted from the ledger, which is written once
+
+
+def test_row_counts_read_no_column_and_shuffle_no_row(spark):
+    plan = plan_of(compare(*pair(spark), "o_orderkey").row_counts())
+    assert "sha2" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_each_side_is_read_once_with_hot_keys(spark):
+    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
+    target = lineitem.withColumn("l_tax", F.col("l_tax") + (F.col("l_quantity") == 50).cast("int"))
+    options = Options(hot_rows=2, broadcast_bytes=0)
+    comparison = compare(lineitem, target, "l_returnflag,l_linestatus", options)
+    assert comparison._hot is not None
+    for rows in (comparison.matched(), comparison.changed()):
+        assert len(re.findall(r"Location: InMemoryFileIndex[^\n]*lineitem.parquet", plan_of(rows))) == 2
+    one = compare(lineitem, target.where("l_quantity > 1"), "l_orderkey,l_linenumber", options)
+    assert len(re.findall(r"Location: InMemoryFileIndex[^\n]*lineitem.parquet", plan_of(one.changed()))) == 2
+
+
+def test_nothing_is_filtered_by_key_where_most_rows_differ(spark):
+    orders, target = pair(spark)  # every row is changed
+    plan = plan_of(compare(orders, target, "o_orderkey").changed())
+    assert "LeftSemi" not in plan and len(re.findall(r"InMemoryFileIndex[^\n]*orders.parquet", plan)) == 2
 
 
 def test_one_sided_rows_are_not_shuffled(spark):
@@ -36,7 +68,7 @@ def test_large_key_lists_are_shuffled_not_broadcast(spark):
     try:
         plan = plan_of(compare(*pair(spark), "o_orderkey", Options(broadcast_bytes=0)).source_only())
         assert "Broadcast" not in plan and "LeftSemi" in plan
-        pairs = plan_of(compare(*pair(spark), "o_orderkey", Options(broadcast_bytes=0)).changed())
+        pairs = plan_of(compare(*few_changed(spark), "o_orderkey", Options(broadcast_bytes=0)).changed())
         assert "BroadcastNestedLoop" not in pairs and "Cartesian" not in pairs
         # rows filtered by key stay where they are for the join by the same key
         assert len(re.findall(r"Exchange hashpartitioning", pairs)) == 4
@@ -45,7 +77,7 @@ def test_large_key_lists_are_shuffled_not_broadcast(spark):
 
 
 def test_digest_is_not_computed_for_rows_that_are_dropped(spark):
-    plan = plan_of(compare(*pair(spark), "o_orderkey").changed())
+    plan = plan_of(compare(*few_changed(spark), "o_orderkey").changed())
     assert "isnotnull(sha2" not in plan
     for line in plan.splitlines():
         if "Filter" in line or "DataFilters" in line:
@@ -55,7 +87,7 @@ def test_digest_is_not_computed_for_rows_that_are_dropped(spark):
 def test_only_compared_columns_are_read(spark):
     orders, target = pair(spark)
     plan = plan_of(compare(orders, target.select("o_orderkey", "o_custkey"), "o_orderkey",
-                           Options(digest_columns="common")).counts())
+                           Options(digest_columns="common")).key_counts())
     for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
         assert "o_orderpriority" not in schema and "o_orderstatus" not in schema
 

@@ -12,10 +12,10 @@ def database():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(spark_entry.table_queries()) == set(spark_entry.table_sql())
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", spark_entry.table_queries())
 def test_query_matches_its_counterpart(spark, database, name):
     good, text = twins.check(spark, database, name, SF)
     assert good, text

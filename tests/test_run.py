@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import uuid
 from unittest.mock import MagicMock
 
 import pytest
@@ -21,8 +22,8 @@ from evenkeel.plans.run import Outcome, outcome_rows
 from evenkeel.sinks.reports import read_report, summary_rows, write_report
 from evenkeel.workspace import shared_folder
 
-SOURCE = [(1, "Alice", 100), (2, "Bob", 200), (3, "Charlie", 300)]
-TARGET = [(1, "Alice", 100), (2, "Bob", 250), (4, "Dora", 400)]
+SOURCE = [(1, "oak", 31), (2, "elm", 17), (3, "ash", 8)]
+TARGET = [(1, "oak", 31), (2, "elm", 19), (4, "fir", 52)]
 SCHEMA = "id int, name string, value int"
 
 
@@ -51,7 +52,7 @@ def test_difference_sets(spark, tmp_path):
     assert [(r.id, r.dt) for r in missing.collect()] == [(3, dt.date(2024, 1, 15))]
     changed = read_differences(spark, out, "t", "column_differences")
     row = changed.select("source.id", F.col("source.value").alias("s"), F.col("target.value").alias("t")).first()
-    assert tuple(row) == (2, 200, 250)
+    assert tuple(row) == (2, 17, 19)
 
 
 def test_rerun_without_differences_leaves_nothing_stale(spark, tmp_path):
@@ -79,12 +80,36 @@ def test_labels(spark, tmp_path):
 def test_stored_pairs_serve_the_column_counts(spark, tmp_path):
     source = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "d"), (3, "e")], "id int, v string")
     target = spark.createDataFrame([(1, "a"), (1, "x"), (2, "c"), (2, "d"), (3, "f")], "id int, v string")
-    for options in (Options(), Options(pair_fanout=1), Options(pair_fanout=1, hot_rows=1, broadcast_bytes=0)):
-        comparison = compare(source, target, "id", options)
-        before = comparison.column_differences().collect()
-        save_differences(comparison, str(tmp_path / str(options.hot_rows) / str(options.pair_fanout)), "t", "2024-01-15")
-        assert comparison.column_differences().collect() == before
-        assert comparison.differing == {"v": 6}
+    for number, options in enumerate((Options(), Options(pair_rows=1), Options(pair_rows=1, hot_rows=1, broadcast_bytes=0))):
+        for layout in ("pairs", "rows"):
+            comparison = compare(source, target, "id", options)
+            before = comparison.column_differences().collect()
+            out = str(tmp_path / str(number) / layout)
+            save_differences(comparison, out, "t", "2024-01-15", layout=layout)
+            assert comparison.column_differences().collect() == before
+            assert comparison.differing == {"v": 6}
+            assert read_differences(spark, out, "t", "column_differences").count() == (6 if layout == "pairs" else 10)
+
+
+def test_a_table_that_changes_between_the_steps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    source, target = frames(spark)
+    source.write.parquet(path)
+    comparison = compare(spark.read.parquet(path), target, "id", Options(broadcast_bytes=0))
+    assert comparison.totals.source_only == 1
+    spark.createDataFrame([(9, "yew", 1), (3, "ash", 8)], SCHEMA).write.mode("overwrite").parquet(path)
+    spark.catalog.refreshByPath(path)
+    comparison.source = compare(spark.read.parquet(path), target, "id").source.where("id <> 3")
+    with pytest.raises(RuntimeError, match="changed meanwhile"):
+        save_differences(comparison, str(tmp_path / "out"), "t", "2024-01-15")
+
+
+def test_a_set_that_never_held_rows(spark, tmp_path):
+    source, _ = frames(spark)
+    save_differences(compare(source, source, "id"), str(tmp_path), "t", "2024-01-15")
+    with pytest.raises(FileNotFoundError, match="source_only"):
+        read_differences(spark, str(tmp_path), "t", "source_only")
+    assert read_differences(spark, str(tmp_path), "t", "source_only", schema="id int").collect() == []
 
 
 def daily_spec(spark, tmp_path, **changes):
@@ -159,6 +184,31 @@ def test_many_pairs(spark, tmp_path, workers):
     assert {r.metric: r.value for r in read_report(spark, path).collect()}["failed_tables"] == "bad,broken"
 
 
+def test_pairs_need_names_of_their_own(spark):
+    specs = [ReconcileSpec.for_tables("t", "id", source_namespace=name) for name in ("a", "b", "a")]
+    assert [spec.name for spec in specs] == ["a.t", "b.t", "a.t"]
+    with pytest.raises(ValueError, match="same name"):
+        run_many(spark, specs)
+
+
+def test_a_failure_keeps_its_day(spark, tmp_path):
+    spec = ReconcileSpec("lost", SideSpec(path=str(tmp_path / "x"), date_column="d"), SideSpec(path=str(tmp_path / "y")), "id")
+    row = run_many(spark, [spec], as_of="2024-01-17").first()
+    assert row.day == "2024-01-15" and row.is_match is None and row.error
+
+
+def test_a_failed_second_read_leaves_no_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("evenkeel.plans.compare.shared_folder", lambda _: f"{tmp_path}/{uuid.uuid4().hex}")
+    good = frames(spark)[0]
+    broken = good.withColumn("value", F.raise_error(F.lit("lost connection")).cast("int"))
+    given = iter([good, broken])
+    monkeypatch.setattr("evenkeel.plans.run.scan", lambda *_: next(given))
+    side = SideSpec(table="t", jdbc={"url": "jdbc:x"})
+    with pytest.raises(Exception, match="lost connection"):
+        run(spark, ReconcileSpec("t", side, side, "id"))
+    assert not list(tmp_path.iterdir())
+
+
 def test_summary_of_nothing(spark):
     summary = summarize(outcome_rows(spark, [])).first()
     assert summary.total_tables == 0 and summary.success_percent is None
@@ -172,7 +222,7 @@ def test_outcome_of_a_failure(spark):
 def test_spec_for_tables(spark):
     spec = ReconcileSpec.for_tables("t", "id, code", source_namespace="app", jdbc={"url": "jdbc:x"}, date_column="d",
                                     exclude="a,b", target_where="x > 1", offset_days=3)
-    assert (spec.name, spec.source.qualified_table, spec.target.qualified_table) == ("t", "app.t", "default.t")
+    assert (spec.name, spec.source.qualified_table, spec.target.qualified_table) == ("app.t", "app.t", "default.t")
     assert spec.source.jdbc and spec.target.jdbc is None and spec.is_daily and spec.offset_days == 3
     assert (spec.source.where, spec.target.where) == (None, "x > 1")
     frames(spark)[0].createOrReplaceTempView("plain_source")
@@ -187,15 +237,14 @@ def test_spec_needs_keys():
         ReconcileSpec("t", SideSpec(table="a"), SideSpec(table="b"), [])
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
-    cluster = MagicMock()
-    cluster.conf.get.side_effect = lambda name, default=None: {"spark.master": "yarn"}.get(name, default)
+@pytest.mark.parametrize("master", ["yarn", "local[4]"])
+def test_shared_folder_must_be_named(master):
+    session = MagicMock()
+    session.conf.get.side_effect = lambda name, default=None: {"spark.master": master}.get(name, default)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(cluster)
+        shared_folder(session)
 
 
 def test_shared_folder_follows_the_session(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        assert shared_folder(spark).startswith(named)
-    assert shared_folder(spark) != shared_folder(spark)
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark).startswith(named) and shared_folder(spark) != shared_folder(spark)

@@ -117,28 +117,68 @@ def test_jdbc_relation_and_options():
     assert jdbc.relation(narrowed) == "(SELECT * FROM t WHERE (a = 1 OR b = 2)) side_rows"
 
 
+SCHEMA = T.StructType([
+    T.StructField("CREATED", T.TimestampType()), T.StructField("DAY", T.DateType()), T.StructField("DAY_TEXT", T.StringType()),
+    T.StructField("DAY_NUMBER", T.IntegerType()), T.StructField("ID", T.LongType()), T.StructField("CODE", T.StringType()),
+])
+
+
+@pytest.mark.parametrize(("options", "keys", "column"), [
+    ({"date_column": "created"}, [], "CREATED"),
+    ({"date_column": "day"}, ["code", "id"], "ID"),
+    ({"date_column": "day_text"}, ["id"], "ID"),
+    ({"date_column": "day_number"}, ["day"], "DAY"),
+    ({"date_column": "day_text"}, ["code"], None),
+    ({}, [], None),
+    ({"partition_column": "CODE"}, ["id"], "CODE"),
+])
+def test_column_that_a_database_read_is_cut_by(options, keys, column):
+    side = SideSpec(table="t", jdbc=JDBC, **options)
+    assert jdbc.slice_column(side, SCHEMA, "2024-01-15", keys) == column
+
+
 def test_jdbc_slices():
-    schema = T.StructType([T.StructField("CREATED", T.TimestampType()), T.StructField("ID", T.LongType())])
-    by_time = jdbc.slice_options(SideSpec(table="t", jdbc=JDBC, date_column="created"), schema, "2024-01-15")
-    assert by_time == {
+    by_time = SideSpec(table="t", jdbc=JDBC, date_column="created")
+    bounds = jdbc.given_bounds(by_time, "CREATED", "2024-01-15")
+    assert jdbc.slice_options(by_time, "CREATED", bounds) == {
         "partitionColumn": "CREATED", "lowerBound": "2024-01-15 00:00:00", "upperBound": "2024-01-16 00:00:00",
         "numPartitions": "10",
     }
     by_id = SideSpec(table="t", jdbc=JDBC, partition_column="ID", partition_bounds=(1, 900), num_partitions=64)
-    assert jdbc.slice_options(by_id, schema, None)["numPartitions"] == "64"
-    assert jdbc.slice_options(SideSpec(table="t", jdbc=JDBC), schema, None) == {}
-    with pytest.raises(ValueError, match="partition_bounds"):
-        jdbc.slice_options(SideSpec(table="t", jdbc=JDBC, partition_column="ID"), schema, None)
+    assert jdbc.given_bounds(by_id, "ID", None) == (1, 900)
+    assert jdbc.slice_options(by_id, "ID", (1, 900))["numPartitions"] == "64"
+    assert jdbc.given_bounds(SideSpec(table="t", jdbc=JDBC), "ID", None) is None
+
+
+def database(stored):
+    session = MagicMock()
+    loaded = session.read.format.return_value.options
+    loaded.return_value.load.return_value = stored
+    return session, loaded
 
 
 def test_jdbc_read_adds_window_and_projection(spark):
     stored = spark.sql(
         "select id, timestamp '2024-01-14 12:00:00' + make_interval(0,0,0,0,id) as CREATED, 'x' as NOTE from range(48)"
     )
-    session = MagicMock()
-    loaded = session.read.format.return_value.options
-    loaded.return_value.load.return_value = stored
+    session, loaded = database(stored)
     side = SideSpec(table="t", jdbc=JDBC, date_column="created", exclude="note")
     df = scan(session, side, "2024-01-15")
     assert df.columns == ["id", "CREATED"] and df.count() == 24
     assert loaded.call_args_list[-1].kwargs["partitionColumn"] == "CREATED"
+
+
+def test_jdbc_bounds_are_asked_for(spark):
+    session, loaded = database(spark.sql("select id + 7 as ID, 'x' as NOTE from range(48)"))
+    assert scan(session, SideSpec(table="t", jdbc=JDBC), None, ["id"]).count() == 48
+    assert {loaded.call_args_list[-1].kwargs[name] for name in ("lowerBound", "upperBound")} == {"7", "54"}
+    empty, loaded = database(spark.sql("select id as ID from range(0)"))
+    assert scan(empty, SideSpec(table="t", jdbc=JDBC), None, ["id"]).count() == 0
+    assert "partitionColumn" not in loaded.call_args_list[-1].kwargs
+
+
+def test_jdbc_read_in_one_task_must_be_asked_for(spark):
+    session, loaded = database(spark.sql("select 'x' as NOTE"))
+    with pytest.raises(ValueError, match="num_partitions=1"):
+        scan(session, SideSpec(table="t", jdbc=JDBC), None, ["note"])
+    assert scan(session, SideSpec(table="t", jdbc=JDBC, num_partitions=1)).count() == 1

@@ -65,7 +65,7 @@ if __name__ == "__main__":
     only = sys.argv[2:]
     session, database = build_session(), duck(folder)
     failed = 0
-    for query in spark_entry.queries():
+    for query in spark_entry.oracle_sql():
         if only and query not in only:
             continue
         try:
