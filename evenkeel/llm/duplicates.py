@@ -7,13 +7,14 @@
    per bin (optimal densification, Shrivastava 2017), so two sets agree in a bin with a
    probability equal to their similarity. ``BANDS`` bands of ``ROWS`` bins give the buckets. Two
    sets at similarity 0.8 share none with a probability of 5e-8.
-3. Each bucket is a star: its members are tested against its smallest node only. A test is exact,
-   on the full sets. Confirmed links give components (alternating large-star and small-star).
+3. Each bucket is a star around its smallest node, and a node is tested against the centre that it shares
+   most buckets with. A test is exact, on the full sets. Confirmed links give components (alternating large-star and small-star).
 4. A star can miss links between two members that aren't linked to the centre. So buckets whose
-   members still lie in different components get more centres, eight times as many in each round, until a
+   members still lie in different components get more centres, ``MORE_CENTRES`` times as many in each round, until a
    bucket has no pair left that could join two components. Every pair that shares a bucket is thus either
    tested or already connected; nothing is capped. Large groups of copies are connected after the
-   first star and cost no more pairs.
+   first star and cost no more pairs. Of the pairs of a bucket only those get out of the join whose sizes and
+   signatures (one bit of each bin) allow for a link, each in the first bucket it shares.
 
 Cases: NULL and empty texts, and those without words, have no shingle and stand alone. A text of
 fewer words than a shingle has is one shingle. Repeated rows are copies of each other. Rows with one
@@ -24,6 +25,8 @@ a component of NULL ids alone has component_id NULL, and of it one row per diffe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +34,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import hash_words, mixed, read_table, shared_folder, unused, written
+from evenkeel.llm.common import hash_words, mixed, read_table, shared_folder, ship_package, unused, written
 
-BINS = 128
+BINS = 1024
 ROWS = 4
-BANDS = BINS // ROWS
+BANDS = 32
+#: bits of two signatures that may differ: sets at similarity 0.8 differ in 102 of 1024 on average with a
+#: standard deviation of 10, so in more than this with a probability of about 1e-5
+MOST_BITS = 145
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-FIRST_CENTRES = 16
-MORE_CENTRES = 8
+FIRST_CENTRES = 64
+MORE_CENTRES = 32
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -54,36 +60,42 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(mixed(rolled + np.uint64(width)))
 
 
-def _other_bins() -> np.ndarray:
-    """For each bin, the bins to take a value from, in order of preference."""
-    return np.random.Generator(np.random.PCG64(20_240_101)).integers(0, BINS, (BINS, 4096))
+def _preferences() -> np.ndarray:
+    """For each bin, the other bins in the order in which it takes a value from them: a random order per bin."""
+    numbers = np.random.Generator(np.random.PCG64(20_240_101)).random((BINS, BINS))
+    return numbers.argsort(axis=1).astype(np.uint16)
 
 
-OTHER_BINS = _other_bins()
-EDGES = (np.arange(BINS, dtype=np.uint64) << np.uint64(57)).astype(np.uint64)
+PREFERENCES = _preferences()
+RANKS = PREFERENCES.argsort(axis=1).astype(np.uint16)
+FEW_BINS = 64
+TOP = np.uint64(64 - (BINS - 1).bit_length())
+NUMBERS = np.arange(BINS, dtype=np.uint64)
+EDGES = NUMBERS << TOP
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The densified bin values of a sorted, non-empty set."""
     first = np.searchsorted(hashes, EDGES)
     values = hashes[np.minimum(first, len(hashes) - 1)]
-    filled = (first < len(hashes)) & (values >> np.uint64(57) == np.arange(BINS, dtype=np.uint64))
-    source = np.arange(BINS)
-    empty = np.flatnonzero(~filled)
-    for attempt in range(OTHER_BINS.shape[1]):
+    filled = (first < len(hashes)) & (values >> TOP == NUMBERS)
+    empty, held = np.flatnonzero(~filled), np.flatnonzero(filled)
+    if len(held) <= FEW_BINS:
+        values[empty] = values[held[RANKS[empty[:, None], held].argmin(axis=1)]]
+        return values
+    for attempt in range(BINS):
         if not len(empty):
             break
-        other = OTHER_BINS[empty, attempt]
+        other = PREFERENCES[empty, attempt]
         found = filled[other]
-        source[empty[found]] = other[found]
+        values[empty[found]] = values[other[found]]
         empty = empty[~found]
-    source[empty] = np.flatnonzero(filled)[0]
-    return values[source]
+    return values
 
 
-def buckets(hashes: np.ndarray) -> np.ndarray:
-    """One 64-bit bucket per band."""
-    values = signature(hashes).reshape(BANDS, ROWS)
+def buckets(values: np.ndarray) -> np.ndarray:
+    """One 64-bit bucket per band of a signature; bands take bins that are spread evenly."""
+    values = values[:: BINS // (BANDS * ROWS)].reshape(BANDS, ROWS)
     held = np.arange(1, BANDS + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for place in range(ROWS):
@@ -91,24 +103,35 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
     return held.view(np.int64)
 
 
+def bits(values: np.ndarray) -> np.ndarray:
+    """One bit per bin as 64-bit words: equal where the bins agree, else by chance."""
+    with np.errstate(over="ignore"):
+        one = (mixed(values + NUMBERS * MULTIPLIER) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(one).view(np.int64)
+
+
 def sketches(documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, node, bands): node names the set, NULL where it is empty."""
+    """(doc_id, text_hash, n_shingles, node, bands, bits): node names the set, NULL where it is empty."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(one, width) for one in batch["text"].to_pylist()]
+            values = [signature(one) if len(one) else None for one in sets]
             columns = [
                 batch["doc_id"],
                 batch["text_hash"],
                 pa.array([len(one) for one in sets], pa.int64()),
                 pa.array([set_name(one) for one in sets], pa.string()),
-                pa.array([buckets(one) if len(one) else None for one in sets], pa.list_(pa.int64())),
+                pa.array([None if one is None else buckets(one) for one in values], pa.list_(pa.int64())),
+                pa.array([None if one is None else bits(one) for one in values], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands", "bits"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, text_hash long, n_shingles long, node string, bands array<long>")
+    return rows.mapInArrow(
+        work, f"doc_id {kind}, text_hash long, n_shingles long, node string, bands array<long>, bits array<long>"
+    )
 
 
 def set_name(hashes: np.ndarray) -> str | None:
@@ -148,8 +171,8 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
     for step in range(1, 200):
         both = held.unionAll(held.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-        down = large.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        down = large.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("least"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         small = small.unionAll(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
@@ -170,33 +193,50 @@ def confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return edges.join(one, "a").join(other, "b").where(common * 100 >= united * percent).select("a", "b")
 
 
+def possible(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) edges that may be links by half of each hash, which halves what such a test has to move.
+
+    Hashes that differ may have equal halves, so up to two common ones may be missing here.
+    """
+    halves = sets.select("node", F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("half"))
+    one = halves.select(F.col("node").alias("a"), F.col("half").alias("set_a"))
+    other = halves.select(F.col("node").alias("b"), F.col("half").alias("set_b"))
+    common = F.size(F.array_intersect("set_a", "set_b")) + 2
+    united = F.size("set_a") + F.size("set_b") - common
+    return edges.join(one, "a").join(other, "b").where(common * 100 >= united * percent).select("a", "b")
+
+
 def _fits(a: str, b: str, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough at all."""
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _alike(a: str, b: str) -> Column:
+    """Whether two signatures differ in few enough bits."""
+    words = BINS // 64
+    return reduce(add, (F.bit_count(F.get(a, n).bitwiseXOR(F.get(b, n))) for n in range(words))) <= MOST_BITS
+
+
 def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width: int, percent: int, folder: str) -> DataFrame:
     """(node, root) of all nodes that are linked with another one."""
-    spread = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    spread = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
     stars = spread.groupBy("bucket").agg(
         F.min("node").alias("centre"), F.min_by("size", "node").alias("centre_size"), F.count("*").alias("members")
     )
     shared = written(spread.join(stars.where("members > 1"), "bucket"), folder, "members")
-    wanted = shared.select("node").distinct().join(nodes, "node").select("doc_id", "text_hash")
-    sets = written(full_sets(documents, wanted, doc_id, text, width), folder, "sets")
+    wanted = shared.select("node").distinct().join(nodes, "node")
+    sketched = written(wanted.select("node", "doc_id", "text_hash", "bands", "bits"), folder, "shared_nodes")
+    sets = written(full_sets(documents, sketched.select("doc_id", "text_hash"), doc_id, text, width), folder, "sets")
 
     edges = shared.where("node <> centre").where(_fits("size", "centre_size", percent))
     counted = edges.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("buckets"))
-    # first each node with the centre it shares most buckets with, then the other centres it isn't connected with yet
-    counted = written(counted, folder, "edges")
+    # each node with the centre it shares most buckets with; the rounds below test what that leaves apart
     best = counted.groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
-    links = written(confirm(best, sets, percent), folder, "links_best")
-    roots = components(links, folder, "roots_best")
-    rest = _apart(counted.join(best, ["a", "b"], "left_anti"), roots)
-    links = _more(links, confirm(rest, sets, percent), folder, "star")
-    roots = components(links, folder, "roots_star")
+    links = written(confirm(best, sets, percent), folder, "links")
+    roots = components(links, folder, "roots")
 
-    centres, open_buckets = FIRST_CENTRES, shared.where("members > 2").select("bucket", "node", "size", "members")
+    centres, open_buckets = FIRST_CENTRES, shared.select("bucket", "band", "node", "size", "members")
+    names = sketched.select("node", "bits", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short"))
     while True:
         labelled = open_buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         split = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
@@ -205,12 +245,22 @@ def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width
         if most is None:
             return roots
         # a node is a centre by its hash, on average ``centres`` in a bucket; at last all members are
-        chance = F.pmod(F.xxhash64("node", "bucket"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        chosen = labelled.where(chance * F.col("members") < centres)
-        hubs = chosen.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
-        pairs = labelled.join(hubs, "bucket").where(F.col("root") != F.col("root_b")).where(_fits("size", "size_b", percent))
-        tests = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        links = _more(links, confirm(tests, sets, percent), folder, f"more_{centres}")
+        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        full = labelled.join(names, "node").withColumn("is_centre", chance * F.col("members") < centres)
+        hubs = full.where("is_centre").select(
+            "bucket", *(F.col(name).alias(f"{name}_b") for name in ("node", "root", "size", "bits", "short"))
+        )
+        # a pair is taken in its first bucket, by the low bits of the buckets before
+        earlier = F.zip_with(F.slice("short", 1, F.col("band")), F.slice("short_b", 1, F.col("band")), lambda x, y: x == y)
+        pairs = full.join(hubs, "bucket").where(
+            (F.col("root") != F.col("root_b"))
+            & (~F.col("is_centre") | (F.col("node") > F.col("node_b")))
+            & _fits("size", "size_b", percent)
+            & _alike("bits", "bits_b")
+            & ~F.exists(earlier, lambda same: same)
+        )
+        tests = pairs.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
+        links = _more(links, confirm(possible(tests, sets, percent), sets, percent), folder, f"more_{centres}")
         roots = components(links, folder, f"roots_{centres}")
         if most <= centres:
             return roots
@@ -218,14 +268,6 @@ def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width
         centres *= MORE_CENTRES
 
 
-def _apart(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """The (a, b) edges whose ends aren't connected yet."""
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    joined = edges.join(a, "a", "left").join(b, "b", "left")
-    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
 def _more(links: DataFrame, new: DataFrame, folder: str, name: str) -> DataFrame:
     return links.unionAll(written(new, folder, f"links_{name}"))
 
@@ -243,9 +285,13 @@ def near_duplicates(
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     # one row per different set; the copies of a set meet only after a partial aggregate
     nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min(order).alias("first"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")
+        F.min(order).alias("first"),
+        F.first("n_shingles").alias("size"),
+        F.first("bands").alias("bands"),
+        F.first("bits").alias("bits"),
     )
-    nodes = written(nodes.select("node", "first", "first.doc_id", "first.text_hash", "size", "bands"), folder, "nodes")
+    nodes = nodes.select("node", "first", "first.doc_id", "first.text_hash", "size", "bands", "bits")
+    nodes = written(nodes, folder, "nodes")
     roots = written(linked(nodes, documents, doc_id, text, width, percent, folder), folder, "roots")
     rooted = nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = rooted.groupBy("root").agg(F.min("first").alias("group"))
@@ -271,6 +317,7 @@ def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without any word have no copies and stay.
     """
+    ship_package(spark)
     gone_id, gone_hash = unused(docs, "gone_id", "gone_hash")
     judged = written(near_duplicates(docs), shared_folder(spark), "judged")
     names = [F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash)]
