@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,6 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import evenkeel
 from evenkeel.workspace import shared_folder, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,11 +21,25 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 __all__ = [
-    "BLANKS", "batches", "hash_words", "lower_ascii", "mixed", "read_table", "remainder", "shared_folder", "unused",
-    "word_array", "written",
+    "BLANKS", "batches", "hash_words", "lower_ascii", "mixed", "read_table", "remainder", "shared_folder",
+    "ship_package", "unused", "word_array", "written",
 ]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package also where it isn't on their path; once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_evenkeel_shipped", False):
+        return
+    root = Path(evenkeel.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="evenkeel-code-")) / "evenkeel.zip"  # Spark hands it on from the driver
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._evenkeel_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

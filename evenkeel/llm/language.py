@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import batches, read_table, remainder, unused
+from evenkeel.llm.common import batches, read_table, remainder, ship_package, unused
 
 UNDETERMINED = "und"
 BLANK = 32
@@ -158,6 +158,7 @@ def keep_identified(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     The profiles are learned from the stage's own input. Only documents without any letter
     are rejected: a low cosine may be a short or mixed text that is worth keeping.
     """
+    ship_package(spark)
     names, table = train(docs, F.col("text"), F.col("lang"))
     (found,) = unused(docs, "found")
     marked = identify(docs, F.col("text"), names, table, found)

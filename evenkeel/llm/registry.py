@@ -8,22 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from evenkeel.llm import archive, contamination, duplicates, extraction, fingerprints, language, licenses, mixing, scoring, secrets
+from evenkeel.llm.common import ship_package
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_decontamination": contamination.contamination_report,
-        "op2_html_text": extraction.page_texts,
-        "op3_language": language.predictions,
-        "op4_near_duplicates": duplicates.duplicate_report,
-        "op5_lm_scores": scoring.language_model_scores,
-        "op6_licenses": licenses.license_report,
-        "op7_mixing": mixing.mixture,
-        "op8_secrets": secrets.secret_report,
-        "op9_fingerprints": fingerprints.document_fingerprints,
-        "op10_warc": archive.archived_pages,
-        "pipeline": corpus_pipeline.run,
-    }
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def shipped(query: Query) -> Query:
+    def work(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return work
+
+
+def queries() -> dict[str, Query]:
+    return {name: shipped(query) for name, query in PLAIN.items()}
+
+
+PLAIN: dict[str, Query] = {
+    "op1_decontamination": contamination.contamination_report,
+    "op2_html_text": extraction.page_texts,
+    "op3_language": language.predictions,
+    "op4_near_duplicates": duplicates.duplicate_report,
+    "op5_lm_scores": scoring.language_model_scores,
+    "op6_licenses": licenses.license_report,
+    "op7_mixing": mixing.mixture,
+    "op8_secrets": secrets.secret_report,
+    "op9_fingerprints": fingerprints.document_fingerprints,
+    "op10_warc": archive.archived_pages,
+    "pipeline": corpus_pipeline.run,
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -46,7 +46,7 @@ def test_stages_are_the_operators():
     functions = [stage for _, stage in corpus_pipeline.STAGES]
     assert functions == [language.keep_identified, duplicates.keep_one_of_each, contamination.drop_contaminated, secrets.mask_stage, mixing.mix_stage]
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.queries() if name != "pipeline")
-    assert numbers == list(range(1, 11)) and registry.queries()["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 11)) and registry.PLAIN["pipeline"] is corpus_pipeline.run
 
 
 def test_empty_corpus(spark, tmp_path):
