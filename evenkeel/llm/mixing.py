@@ -30,7 +30,7 @@ BUDGET = 0.5
 SEED = 20_240_101
 ROUNDS = 30
 #: largest deviation of a share from its target that ends the fitting
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
 #: rounds between two writes; each writes a table of cells and ends the lineage
 ROUNDS_PER_WRITE = 2
 BROADCAST_CELLS = 200_000
