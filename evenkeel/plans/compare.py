@@ -113,9 +113,13 @@ class Comparison:
         kept = self.store(sums.where(f"NOT ({ledger.IS_PLAIN})"), "key_sums")
         records = ledger.plain_record(kept, plain.get["keys"]).unionByName(ledger.settled(kept))
         several = kept.where("NOT single").select(KEY)
-        if several.isEmpty():
+        size = ledger.key_bytes(kept, ~F.col("single"))
+        if not size:
             return records
-        sides = [self._digested(rows.join(several, KEY, "left_semi")) for rows in (self.source, self.target)]
+        if size <= self.options.broadcast_bytes:
+            several = F.broadcast(several)
+        # key and digest alone are shuffled; a broadcast list drops the other rows before they are digested
+        sides = [self._digested(self._rows(side)).select(KEY, DIGEST).join(several, KEY, "left_semi") for side in ledger.SIDES]
         counted = self.store(ledger.counted(ledger.key_counts(*sides)), "digest_counts")
         return records.unionByName(counted)
 
