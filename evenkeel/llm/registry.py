@@ -41,5 +41,39 @@ PLAIN: dict[str, Query] = {
 }
 
 
+WORDS = """
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Counterparts of the operators whose whole result SQL can express; the tests hold the others against brute force."""
+    return {
+        "op4_near_duplicates": f"""
+            with recursive w as (select doc_id, {WORDS} as w from documents),
+                 s as (select distinct doc_id, unnest(
+                           case when len(w) < 4 then [array_to_string(w, ' ')]
+                                else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g
+                       from w where len(w) > 0),
+                 n as (select doc_id, count(*) as n from s group by doc_id),
+                 c as (select a.doc_id as a, b.doc_id as b, count(*) as common
+                       from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+                 l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b
+                       where 100 * common >= 80 * (x.n + y.n - common)),
+                 e as (select a, b from l union all select b, a from l),
+                 r as (select doc_id, doc_id as reached from documents
+                       union select r.doc_id, e.b from r join e on r.reached = e.a),
+                 m as (select doc_id, min(reached) as component_id from r group by doc_id)
+            select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, m.component_id,
+                   d.doc_id = m.component_id as kept
+            from documents d join m on m.doc_id = d.doc_id left join n on n.doc_id = d.doc_id""",
+        "op10_warc": """
+            with d as (select page_id, octet_length(encode(coalesce(html, ''))) as size, sha256(coalesce(html, '')) as digest
+                       from pages),
+                 f as (select digest, min(page_id) as first from d group by digest)
+            select page_id, cast(size as bigint) as payload_bytes, digest as payload_digest,
+                   case when size >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+                   case when size >= 100 and page_id <> first then first end as refers_to
+            from d join f using (digest)""",
+    }
