@@ -47,6 +47,42 @@ WORDS = """
 """
 
 
+def sql_secrets() -> str:
+    """Spans from the lengths of pieces and matches, and standings from owners per value."""
+
+    def spans(rank: int, kind: secrets.Kind) -> str:
+        pattern = kind.pattern.replace("'", "''")
+        lengths = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+        start = f"{lengths.format('pieces[1:i]')} + {lengths.format('found[1:i - 1]')}"
+        return f"""
+        select doc_id, source, {rank} as rank, '{kind.name}' as kind, {start} as first, {start} + length(found[i]) as past,
+               secret[i] as value
+        from (select *, unnest(range(1, len(found) + 1)) as i
+              from (select doc_id, source, string_split_regex(text, '{pattern}') as pieces,
+                           regexp_extract_all(text, '{pattern}', 0) as found,
+                           regexp_extract_all(text, '{pattern}', {kind.group}) as secret
+                    from documents where regexp_matches(text, '{pattern}')))
+        where length(secret[i]) >= {kind.least}
+        """
+
+    listed = "string_agg(kind || ':' || first || ':' || past, ',' order by first, rank)"
+    return f"""
+    with s as ({" union all ".join(spans(rank, kind) for rank, kind in enumerate(secrets.KINDS))}),
+         o as (select value, count(distinct coalesce(source, '-')) as owners from s group by value),
+         v as (select value, case when owners >= {secrets.SHARED_OWNERS} then 'shared'
+                                  when len(list_distinct(string_split(value, ''))) >= {secrets.RANDOM_CHARACTERS} then 'live'
+                                  else 'weak' end as standing from o),
+         d as (select doc_id, count(*) filter (where rank = 0) as n_assign, count(*) filter (where rank = 1) as n_access,
+                      count(*) filter (where rank = 2) as n_hex, {listed} filter (where rank < 3) as base, {listed} as spans,
+                      count(distinct value) filter (where standing = 'live') as n_live,
+                      count(distinct value) filter (where standing = 'shared') as n_shared,
+                      count(distinct value) filter (where standing = 'weak') as n_weak
+               from s join v using (value) group by doc_id)
+    select documents.doc_id, {", ".join(f"coalesce({n}, 0) as {n}" for n in ("n_assign", "n_access", "n_hex", "n_live", "n_shared", "n_weak"))},
+           sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+    from documents left join d on d.doc_id = documents.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Counterparts of the operators whose whole result SQL can express; the tests hold the others against brute force."""
     return {
@@ -68,6 +104,7 @@ def oracle_sql() -> dict[str, str]:
             select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, m.component_id,
                    d.doc_id = m.component_id as kept
             from documents d join m on m.doc_id = d.doc_id left join n on n.doc_id = d.doc_id""",
+        "op8_secrets": sql_secrets(),
         "op10_warc": """
             with d as (select page_id, octet_length(encode(coalesce(html, ''))) as size, sha256(coalesce(html, '')) as digest
                        from pages),
