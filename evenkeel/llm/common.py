@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import evenkeel
-from evenkeel.workspace import shared_folder, written
+from evenkeel import workspace
+from evenkeel.workspace import shared_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: ASCII white space as a character class, the same in Java, Python and DuckDB
@@ -26,6 +27,20 @@ __all__ = [
 ]
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write a table and go on from it; what was shuffled for it isn't needed again and goes at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return workspace.written(df, folder, name)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package also where it isn't on their path; once per session."""
     context = spark.sparkContext

@@ -7,8 +7,8 @@
    per bin (optimal densification, Shrivastava 2017), so two sets agree in a bin with a
    probability equal to their similarity. ``BANDS`` bands of ``ROWS`` bins give the buckets. Two
    sets at similarity 0.8 share none with a probability of 5e-8.
-3. Each bucket is a star around its smallest node, and a node is tested against the centre that it shares
-   most buckets with. A test is exact, on the full sets. Confirmed links give components (alternating large-star and small-star).
+3. Each bucket is a star: its members are tested against its smallest node only. A test is exact,
+   on the full sets. Confirmed links give components (alternating large-star and small-star).
 4. A star can miss links between two members that aren't linked to the centre. So buckets whose
    members still lie in different components get more centres, ``MORE_CENTRES`` times as many in each round, until a
    bucket has no pair left that could join two components. Every pair that shares a bucket is thus either
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 import numpy as np
 import pyarrow as pa
@@ -230,10 +230,14 @@ def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width
 
     edges = shared.where("node <> centre").where(_fits("size", "centre_size", percent))
     counted = edges.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("buckets"))
-    # each node with the centre it shares most buckets with; the rounds below test what that leaves apart
+    # first each node with the centre it shares most buckets with, then the other centres it isn't connected with yet
+    counted = written(counted, folder, "edges")
     best = counted.groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
-    links = written(confirm(best, sets, percent), folder, "links")
-    roots = components(links, folder, "roots")
+    links = written(confirm(best, sets, percent), folder, "links_best")
+    roots = components(links, folder, "roots_best")
+    rest = _apart(counted.join(best, ["a", "b"], "left_anti"), roots)
+    links = _more(links, confirm(possible(rest, sets, percent), sets, percent), folder, "star")
+    roots = components(links, folder, "roots_star")
 
     centres, open_buckets = FIRST_CENTRES, shared.select("bucket", "band", "node", "size", "members")
     names = sketched.select("node", "bits", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short"))
@@ -251,15 +255,17 @@ def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width
             "bucket", *(F.col(name).alias(f"{name}_b") for name in ("node", "root", "size", "bits", "short"))
         )
         # a pair is taken in its first bucket, by the low bits of the buckets before
-        earlier = F.zip_with(F.slice("short", 1, F.col("band")), F.slice("short_b", 1, F.col("band")), lambda x, y: x == y)
+        earlier = reduce(
+            or_, ((F.col("band") > n) & (F.get("short", n) == F.get("short_b", n)) for n in range(BANDS - 1))
+        )
         pairs = full.join(hubs, "bucket").where(
             (F.col("root") != F.col("root_b"))
             & (~F.col("is_centre") | (F.col("node") > F.col("node_b")))
             & _fits("size", "size_b", percent)
             & _alike("bits", "bits_b")
-            & ~F.exists(earlier, lambda same: same)
+            & ~earlier
         )
-        tests = pairs.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
+        tests = pairs.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
         links = _more(links, confirm(possible(tests, sets, percent), sets, percent), folder, f"more_{centres}")
         roots = components(links, folder, f"roots_{centres}")
         if most <= centres:
@@ -268,6 +274,14 @@ def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width
         centres *= MORE_CENTRES
 
 
+def _apart(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The (a, b) edges whose ends aren't connected yet."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    joined = edges.join(a, "a", "left").join(b, "b", "left")
+    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _more(links: DataFrame, new: DataFrame, folder: str, name: str) -> DataFrame:
     return links.unionAll(written(new, folder, f"links_{name}"))
 
