@@ -6,16 +6,18 @@ A host's wrapper is a union-free regular expression over such tokens (Crescenzi,
 streams are aligned one after the other, a stretch that one of them lacks becomes optional,
 and a group that repeats in one of them is a repeated group for all.
 
-Every text slot has a place in the wrapper, its path of elements. Over all pages of the host a slot
-gets its number of pages, its letters, the share of them inside links, and whether its text is ever
-different. The main slots are those of the article; boilerplate by name is left out (menus, footers, forms, adverts,
-notices, comments and the like), and without an element that marks the article, slots that are
-mostly links or say the same on all pages, and everything outside the stretch with most of the
+Pages of a host that mark their main text differently (by an article, by main, by a name, not at all)
+are different branches with a wrapper each. Each page's stream is matched against the wrapper of its branch, which
+gives every text slot of the page its slot in the wrapper. Over all pages of the branch a slot (with its path of elements) gets
+its number of pages, its letters, the share of them inside links, and whether its text is ever
+different. The main slots are those of the branch's mark; boilerplate by name is left out (menus, footers, forms, adverts,
+notices, comments and the like). Without a mark, slots that are
+mostly links or say the same on all pages are left out, and so is everything outside the stretch with most of the
 changing text.
 
-Streams are made distinct per host before they meet, then aligned in two steps (a host's streams are first
-spread over ``PARTS`` parts), and slot statistics are sums: a host with a third of all pages is no bottleneck. A
-page needs only its host's list of main slots, which is broadcast below ``BROADCAST_HOSTS`` hosts.
+Streams are made distinct per branch before they meet, then aligned in a tree: ``FAN`` streams or wrappers
+at a time, in as many rounds as the branch with the most streams needs. Slot statistics are sums, so a host with a third of
+all pages is no bottleneck. A page needs only its host's wrappers, which are broadcast below ``BROADCAST_HOSTS`` hosts.
 
 Cases: a NULL html is empty and gives an empty text. A NULL or odd url belongs to the host "". Cut pages end
 where they end: open elements close, a tag or comment without its end is dropped. A
@@ -24,10 +26,12 @@ host's only page is judged by itself. Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 from html import unescape
 
 import pandas as pd
@@ -38,7 +42,9 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.common import read_table, shared_folder, unused, written
 
-PARTS = 16
+#: streams or wrappers that one task aligns one after the other
+FAN = 32
+JUDGED = 3
 BROADCAST_HOSTS = 50_000
 #: longest stretch of tokens that is tried as a repeated group
 LONGEST_GROUP = 24
@@ -73,6 +79,8 @@ TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|$)", re.S
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
+#: an element token or a slot within a group
+LEAF = re.compile(r"<[^>]*>|#")
 RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|$)", re.I) for name in RAW}
 
 
@@ -102,6 +110,12 @@ def element_name(tag: str, attributes: str) -> str:
 
 def parse(html: str) -> tuple[list[str], list[Block]]:
     """The token stream of a page and its blocks in page order."""
+    stream, blocks = _read(html)
+    return stream, [block for block in blocks if block.text]
+
+
+def _read(html: str) -> tuple[list[str], list[Block]]:
+    """The token stream and one block for each of its slots, also where its text is blank."""
     stream: list[str] = []
     blocks: list[Block] = []
     path: list[str] = []
@@ -182,45 +196,66 @@ def parse(html: str) -> tuple[list[str], list[Block]]:
                     path.append(name)
                     stream.append(f"<{name}>")
     close(0)
-    return stream, [block for block in blocks if block.text]
+    return stream, blocks
 
 
 def fold(stream: list[str]) -> list[str]:
     """The stream with neighbouring equal stretches as one repeated group ``(...)+``."""
+    return _folded(stream)[0]
+
+
+def _folded(stream: list[str]) -> tuple[list[str], list[list[int]]]:
+    """The folded stream and, for each of its slots, the numbers of the stream's slots that went into it."""
     out: list[str] = []
+    held: list[list[list[int]]] = []
+    slots = 0
+
+    def join(begin: int, middle: int) -> list[list[int]]:
+        """The slots from ``begin`` on, with those of the stretch from ``middle`` on added to them."""
+        places = [place for places in held[begin:middle] for place in places]
+        for place, more in zip(places, (place for places in held[middle:] for place in places), strict=True):
+            place += more
+        return places
+
     for token in stream:
         out.append(token)
+        held.append([[slots]] if token == "#" else [])
+        slots += token == "#"
         changed = True
         while changed:
             changed = False
             for size in range(1, min(LONGEST_GROUP, len(out)) + 1):
-                group = "(" + " ".join(out[-size:]) + ")+"
-                if len(out) > size and out[-size - 1] == group:
+                before = out[-size - 1] if len(out) > size else ""
+                if before.endswith(")+") and before == "(" + " ".join(out[-size:]) + ")+":
+                    held[-size - 1 :] = [join(len(out) - size - 1, len(out) - size)]
                     del out[-size:]
                     changed = True
                     break
-                if len(out) >= 2 * size and out[-size:] == out[-2 * size : -size] and not (size == 1 and out[-1].endswith(")+")):
-                    out[-2 * size :] = [group]
+                repeated = before == out[-1] and len(out) >= 2 * size and out[-size:] == out[-2 * size : -size]
+                if repeated and not (size == 1 and out[-1].endswith(")+")):
+                    held[-2 * size :] = [join(len(out) - 2 * size, len(out) - size)]
+                    out[-2 * size :] = ["(" + " ".join(out[-size:]) + ")+"]
                     changed = True
                     break
-                if size == 1 and len(out) > 1 and out[-1].endswith(")+") and out[-1] == out[-2]:
+                if size == 1 and repeated:
+                    held[-2:] = [join(len(out) - 2, len(out) - 1)]
                     out.pop()
                     changed = True
                     break
-    return out
+    return out, [place for places in held for place in places]
 
 
 Wrapper = list[tuple[str, bool]]
 
 
 def _grouped(tokens: Wrapper, groups: list[str]) -> Wrapper:
-    """Stretches that are the body of one of the groups, as that group."""
+    """Stretches that are the body of one of the groups, as that group; not where a page may lack a part of them."""
     for group in groups:
         body = group[1:-2].split(" ")
         at = 0
         while at + len(body) <= len(tokens):
-            if [token for token, _ in tokens[at : at + len(body)]] == body:
-                tokens = [*tokens[:at], (group, any(optional for _, optional in tokens[at : at + len(body)])), *tokens[at + len(body) :]]
+            if tokens[at : at + len(body)] == [(token, False) for token in body]:
+                tokens = [*tokens[:at], (group, False), *tokens[at + len(body) :]]
             at += 1
     return tokens
 
@@ -259,6 +294,41 @@ def accepts(wrapper: Wrapper, tokens: list[str]) -> bool:
     return len(tokens) in states
 
 
+@lru_cache(maxsize=65_536)
+def _slot_count(token: str) -> int:
+    return sum(leaf == "#" for leaf in LEAF.findall(token))
+
+
+def match_slots(wrapper: Wrapper, tokens: list[str]) -> list[int] | None:
+    """For each slot of a folded stream the number of its slot in the wrapper; None where the wrapper isn't the stream's."""
+    layers: list[dict[int, int]] = [{0: 0}]  # position in the stream -> position before this token of the wrapper
+    for token, optional in wrapper:
+        following: dict[int, int] = {}
+        body = token[1:-2].split(" ") if token.endswith(")+") else None
+        for at in layers[-1]:
+            if at < len(tokens) and tokens[at] == token:
+                following[at + 1] = at
+            if body and tokens[at : at + len(body)] == body:
+                following[at + len(body)] = at
+        if optional:
+            for at in layers[-1]:
+                following.setdefault(at, at)
+        if not following:
+            return None
+        layers.append(following)
+    at = len(tokens)
+    if at not in layers[-1]:
+        return None
+    found: list[int] = []
+    number = sum(_slot_count(token) for token, _ in wrapper)
+    for (token, _), layer in zip(reversed(wrapper), reversed(layers), strict=False):
+        number -= _slot_count(token)
+        if layer[at] != at:
+            found[:0] = range(number, number + _slot_count(token))
+        at = layer[at]
+    return found
+
+
 def to_regex(wrapper: Wrapper) -> str:
     """The wrapper as text: neighbouring optional tokens form a group ``(...)?``."""
     out, held = [], []
@@ -292,35 +362,83 @@ def is_boilerplate(path: list[str]) -> bool:
     return False
 
 
-def main_slots(slots: list[dict]) -> list[str]:
-    """The paths of a host's main text, from its slots: path, pages, letters, linked, changes, of all pages together."""
-    plain = [slot for slot in slots if not is_boilerplate(slot["path"].split(">"))]
-    for marks in (lambda tag, names: tag == "article", lambda tag, names: tag == "main" or "main" in names, lambda tag, names: names & MAIN_NAMES):
-        marked = [slot for slot in plain if any(marks(*_names(element)) for element in slot["path"].split(">"))]
-        if marked:
-            return sorted(slot["path"] for slot in marked)
+MARKS = (lambda tag, names: tag == "article", lambda tag, names: tag == "main" or "main" in names, lambda tag, names: names & MAIN_NAMES)
+#: the branch of pages without a mark
+UNMARKED = len(MARKS)
+
+
+@lru_cache(maxsize=65_536)
+def mark_of(path: str) -> int | None:
+    """The number of the first mark on a path, ``UNMARKED`` without one, None for boilerplate."""
+    elements = path.split(">")
+    if is_boilerplate(elements):
+        return None
+    named = [_names(element) for element in elements]
+    return next((number for number, marks in enumerate(MARKS) if any(marks(*one) for one in named)), UNMARKED)
+
+
+def branch_of(paths: list[str]) -> int:
+    """The first mark that a page's slots have."""
+    return min((mark for mark in map(mark_of, paths) if mark is not None), default=UNMARKED)
+
+
+def main_slots(branch: int, slots: list[dict]) -> list[list[str]]:
+    """The main slots of a branch, from its slots: slot, path, pages, letters, linked, changes, of all pages together.
+
+    Lists of names; a page takes the slots of the first list it has any of.
+    """
+    plain = [slot for slot in slots if mark_of(slot["path"]) is not None]
+    if branch != UNMARKED:
+        # the page's first mark decides, and an article's slots count whatever else stands around them
+        marks = MARKS[branch]
+        return [_named(slot for slot in plain if any(marks(*_names(element)) for element in slot["path"].split(">")))]
     most = max((slot["pages"] for slot in plain), default=0)
-    plain = [slot for slot in plain if slot["linked"] <= 0.6 * slot["letters"] and (slot["changes"] or most < 3)]
+    unlinked = [slot for slot in plain if slot["linked"] <= 0.6 * slot["letters"]]
+    changing = [slot for slot in unlinked if slot["changes"] or most < JUDGED]
     weight: dict[tuple[str, ...], int] = defaultdict(int)
-    for slot in plain:
+    for slot in changing:
         steps = slot["path"].split(">")
         for depth in range(len(steps)):
             weight[tuple(steps[:depth])] += slot["letters"]
     total = weight.get((), 0)
     inner = max((steps for steps, letters in weight.items() if letters >= 0.6 * total), key=len, default=())
-    return sorted(slot["path"] for slot in plain if tuple(slot["path"].split(">")[: len(inner)]) == inner)
+    stretch = [slot for slot in changing if tuple(slot["path"].split(">")[: len(inner)]) == inner]
+    return [_named(stretch)]
+
+
+def slot_name(number: int, path: str) -> str:
+    return f"{number} {path}"
 
 
-def page_slots(blocks: list[Block]) -> list[tuple[str, int, int, int]]:
-    """(path, letters, linked letters, hash of the texts) of each slot of one page."""
-    held: dict[str, list] = {}
-    for block in blocks:
-        text = block.text
-        slot = held.setdefault(">".join(block.path), [0, 0, xxhash.xxh3_64()])
-        slot[0] += len(text)
-        slot[1] += min(block.linked, len(text))
-        slot[2].update(text)
-    return [(path, letters, linked, hashed.intdigest() >> 1) for path, (letters, linked, hashed) in held.items()]
+def _named(slots) -> list[str]:
+    return sorted(slot_name(slot["slot"], slot["path"]) for slot in slots)
+
+
+class Page:
+    """A page's blocks with text, its folded stream, its branch, and the folded slot of every block."""
+
+    __slots__ = ("blocks", "places", "paths", "stream", "branch")
+
+    def __init__(self, html: str | None):
+        stream, blocks = _read(html or "")
+        folded, slots = _folded(stream)
+        place_of = {number: place for place, numbers in enumerate(slots) for number in numbers}
+        texts = [(block.text, block, place_of[number]) for number, block in enumerate(blocks)]
+        self.blocks = [(text, block.linked) for text, block, _ in texts if text]
+        self.places = [place for text, _, place in texts if text]
+        self.paths = [">".join(block.path) for text, block, _ in texts if text]
+        self.stream = "\n".join(folded)
+        self.branch = branch_of(self.paths)
+
+    def slots(self) -> list[tuple[int, str, int, int, int]]:
+        """(place, path, letters, linked letters, hash of the texts) of each slot."""
+        held: dict[tuple[int, str], list] = {}
+        for place, path, (text, linked) in zip(self.places, self.paths, self.blocks, strict=True):
+            slot = held.setdefault((place, path), [0, 0, xxhash.xxh3_64()])
+            slot[0] += len(text)
+            slot[1] += min(linked, len(text))
+            slot[2].update(text)
+        return [(*key, letters, linked, hashed.intdigest() >> 1) for key, (letters, linked, hashed) in held.items()]
 
 
 def host_of(url: Column) -> Column:
@@ -328,54 +446,105 @@ def host_of(url: Column) -> Column:
     return found
 
 
-SLOT = "path string, letters long, linked long, text long"
+#: ``slot`` is a place in the page's folded stream first, then one in the wrapper
+SLOT = pa.struct([("slot", pa.int32()), ("path", pa.string()), ("letters", pa.int64()), ("linked", pa.int64()), ("text", pa.int64())])
+SLOTS = "slots array<struct<slot:int,path:string,letters:long,linked:long,text:long>>"
 
 
 def page_streams(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """(host, stream, slots) of every page."""
+    """(host, branch, stream, slots) of every page with a stream."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("path", pa.string()), ("letters", pa.int64()), ("linked", pa.int64()), ("text", pa.int64())]))
+        names = [field.name for field in SLOT]
         for batch in batches:
-            streams, slots = [], []
-            for page in batch["html"].to_pylist():
-                stream, blocks = parse(page or "")
-                streams.append("\n".join(fold(stream)))
-                slots.append([dict(zip(("path", "letters", "linked", "text"), slot, strict=True)) for slot in page_slots(blocks)])
-            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(streams, pa.string()), pa.array(slots, kind)], ["host", "stream", "slots"])
+            read = [Page(html) for html in batch["html"].to_pylist()]
+            slots = [[dict(zip(names, slot, strict=True)) for slot in page.slots()] for page in read]
+            arrays = [
+                batch["host"],
+                pa.array([page.branch for page in read], pa.int32()),
+                pa.array([page.stream for page in read], pa.string()),
+                pa.array(slots, pa.list_(SLOT)),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["host", "branch", "stream", "slots"])
 
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    return rows.mapInArrow(work, f"host string, stream string, slots array<struct<{SLOT.replace(' ', ':').replace(',:', ',')}>>")
+    streams = rows.mapInArrow(work, f"host string, branch int, stream string, {SLOTS}")
+    return streams.where("stream != ''")
+
+
+def _wrapper(text: str) -> Wrapper:
+    """A wrapper from its lines of ``token`` or ``?token``."""
+    return [(line.removeprefix("?"), line.startswith("?")) for line in text.split("\n") if line]
 
 
-def _aligned(table: pa.Table) -> str:
+def _aligned(texts: list[str]) -> str:
     """The wrapper of some streams or wrappers, as lines of ``token`` or ``?token``; in a fixed order."""
+    read = [_wrapper(text) for text in sorted(texts, key=lambda text: (len(text), text))]
+    groups = sorted({token for tokens in read for token, _ in tokens if token.endswith(")+") and "(" not in token[1:]})
     wrapper: Wrapper | None = None
-    for text in sorted(table["stream"].to_pylist(), key=lambda text: (len(text), text)):
-        lines = [line for line in text.split("\n") if line]
-        tokens = [(line.removeprefix("?"), line.startswith("?")) for line in lines]
+    for tokens in read:
+        tokens = _grouped(tokens, groups)  # while they are still whole, all can be
         wrapper = tokens if wrapper is None else align(wrapper, tokens)
     return "\n".join("?" * optional + token for token, optional in wrapper or [])
 
 
-def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, pages, wrapper, main): the regular expression and the main slots of each host."""
-    folder = shared_folder(pages.sparkSession)
-    streams = written(page_streams(pages, url, html), folder, "streams")
+@lru_cache(maxsize=256)
+def _read_wrapper(text: str) -> Wrapper:
+    return _wrapper(text)
+
+
+@lru_cache(maxsize=8_192)
+def _matched(wrapper: str, stream: str) -> list[int]:
+    found = match_slots(_read_wrapper(wrapper), stream.split("\n"))
+    if found is None:
+        raise ValueError("a page's stream is none of its wrapper")
+    return found
 
-    def part_wrapper(table: pa.Table) -> pa.Table:
-        return pa.table({"host": [table["host"][0].as_py()], "stream": [_aligned(table)]})
 
-    def host_wrapper(table: pa.Table) -> pa.Table:
-        lines = _aligned(table).split("\n")
-        tokens = [(line.removeprefix("?"), line.startswith("?")) for line in lines]
-        return pa.table({"host": [table["host"][0].as_py()], "wrapper": [to_regex(tokens)]})
+def _few(frame: DataFrame) -> DataFrame:
+    """A table with few rows per host, broadcast where there are few in all."""
+    return F.broadcast(frame) if frame.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS else frame
 
-    different = streams.select("host", "stream").distinct().withColumn("part", F.pmod(F.xxhash64("stream"), F.lit(PARTS)))
-    parts = different.groupBy("host", "part").applyInArrow(part_wrapper, "host string, stream string")
-    wrappers = parts.groupBy("host").applyInArrow(host_wrapper, "host string, wrapper string")
 
-    slots = streams.select("host", F.inline("slots")).groupBy("host", "path").agg(
+def _wrappers(streams: DataFrame, folder: str) -> DataFrame:
+    """(host, branch, wrapper): the streams of each branch, aligned in a tree."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        kept = {name: table[name].slice(0, 1) for name in ("host", "branch", "part", "parts")}
+        return pa.table({**kept, "stream": [_aligned(table["stream"].to_pylist())]})
+
+    different = written(streams.select("host", "branch", "stream").distinct(), folder, "different")
+    counts = different.groupBy("host", "branch").agg(F.ceil(F.count("*") / FAN).cast("long").alias("parts"))
+    counts = written(counts, folder, "parts")
+    parts = counts.agg(F.max("parts")).first()[0] or 1
+    held = different.join(_few(counts), ["host", "branch"]).withColumn("part", F.pmod(F.xxhash64("stream"), F.col("parts")))
+    while True:
+        merged = held.groupBy("host", "branch", "part").applyInArrow(merge, "host string, branch int, part long, parts long, stream string")
+        held = written(merged, folder, f"aligned_{parts}")
+        if parts == 1:
+            return held.select("host", "branch", F.col("stream").alias("wrapper"))
+        parts = -(-parts // FAN)
+        held = held.withColumn("part", F.floor(F.col("part") / FAN))
+
+
+def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, branch, pages, wrapper, main): the wrapper and the main slots of each branch of a host; main is JSON."""
+    folder = shared_folder(pages.sparkSession)
+    streams = written(page_streams(pages, url, html), folder, "streams")
+    wrappers = _wrappers(streams, folder)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            columns = (batch[name].to_pylist() for name in ("wrapper", "stream", "slots"))
+            for wrapper, stream, slots in zip(*columns, strict=True):
+                numbers = _matched(wrapper, stream)
+                out.append([{**slot, "slot": numbers[slot["slot"]]} for slot in slots])
+            yield pa.RecordBatch.from_arrays([batch["host"], batch["branch"], pa.array(out, pa.list_(SLOT))], ["host", "branch", "slots"])
+
+    placed = streams.join(_few(wrappers), ["host", "branch"]).select("host", "branch", "wrapper", "stream", "slots")
+    placed = placed.mapInArrow(place, f"host string, branch int, {SLOTS}")
+    slots = placed.select("host", "branch", F.inline("slots")).groupBy("host", "branch", "slot", "path").agg(
         F.count("*").alias("pages"),
         F.sum("letters").alias("letters"),
         F.sum("linked").alias("linked"),
@@ -384,33 +553,47 @@ def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> Da
 
     def choose(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        return pa.table({"host": [rows[0]["host"]], "pages": [max(row["pages"] for row in rows)], "main": [main_slots(rows)]})
+        main = json.dumps(main_slots(rows[0]["branch"], rows))
+        return pa.table({"host": [rows[0]["host"]], "branch": pa.array([rows[0]["branch"]], pa.int32()), "pages": [max(row["pages"] for row in rows)], "main": [main]})
 
-    chosen = slots.groupBy("host").applyInArrow(choose, "host string, pages long, main array<string>")
-    return written(wrappers.join(chosen, "host"), folder, "wrappers")
+    chosen = slots.groupBy("host", "branch").applyInArrow(choose, "host string, branch int, pages long, main string")
+    return written(wrappers.join(chosen, ["host", "branch"]), folder, "wrappers")
 
 
-def extract_text(html: str | None, main: set[str]) -> str:
-    """The blocks of the main slots in page order, joined by an empty line."""
-    _, blocks = parse(html or "")
-    return "\n\n".join(block.text for block in blocks if ">".join(block.path) in main)
+def extract_text(html: str | None, branches: dict[int, tuple[str, list[set[str]]]]) -> str:
+    """The blocks of the main slots in page order, joined by an empty line; ``branches`` are the wrappers and main slots of the host."""
+    page = Page(html)
+    if page.branch not in branches or not page.blocks:
+        return ""
+    wrapper, mains = branches[page.branch]
+    numbers = _matched(wrapper, page.stream)
+    names = [slot_name(numbers[place], path) for place, path in zip(page.places, page.paths, strict=True)]
+    main = next((main for main in mains if not main.isdisjoint(names)), set())
+    return "\n\n".join(text for name, (text, _) in zip(names, page.blocks, strict=True) if name in main)
+
+
+@lru_cache(maxsize=64)
+def _branches(lines: str) -> dict[int, tuple[str, list[set[str]]]]:
+    read = (json.loads(line) for line in lines.split("\n"))
+    return {one["branch"]: (one["wrapper"], [set(main) for main in json.loads(one["main"])]) for one in read}
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", result: str = "text") -> DataFrame:
     """The pages with their main text."""
-    host, main = unused(pages, "host", "main")
-    wrappers = infer_wrappers(pages, url, html).select(F.col("host").alias(host), F.col("main").alias(main))
-    if wrappers.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
-        wrappers = F.broadcast(wrappers)
-    joined = pages.join(wrappers, host_of(F.col(url)) == F.col(host), "left")
+    host, branches = unused(pages, "host", "branches")
+    lines = F.to_json(F.struct("branch", "wrapper", "main"))
+    wrappers = infer_wrappers(pages, url, html).groupBy(F.col("host").alias(host)).agg(
+        F.array_join(F.collect_list(lines), "\n").alias(branches)
+    )
+    joined = pages.join(_few(wrappers), host_of(F.col(url)) == F.col(host), "left")
 
     @F.pandas_udf("string")
     def work(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for htmls, mains in batches:
-            texts = [extract_text(page, set() if main is None else set(main)) for page, main in zip(htmls, mains, strict=True)]
+        for htmls, held in batches:
+            texts = [extract_text(page, _branches(lines) if lines else {}) for page, lines in zip(htmls, held, strict=True)]
             yield pd.Series(texts, dtype=object)
 
-    return joined.withColumn(result, work(F.col(html), F.col(main))).drop(host, main)
+    return joined.withColumn(result, work(F.col(html), F.col(branches))).drop(host, branches)
 
 
 def page_texts(spark, sf_dir: str) -> DataFrame:

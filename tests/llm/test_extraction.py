@@ -94,3 +94,50 @@ def test_fold():
     assert extraction.fold("a b a b a b c".split()) == ["(a b)+", "c"]
     assert extraction.fold("u l t /l l t /l /u p p p".split()) == ["u", "(l t /l)+", "/u", "(p)+"]
     assert extraction.fold([]) == []
+
+
+def test_slots_of_one_path_are_told_apart_by_the_wrapper(spark):
+    rng = random.Random(4)
+    rows, wanted = [], {}
+    for n in range(20):
+        parts = [words(rng, 30), words(rng, 30)]
+        optional = "<blockquote>quoted</blockquote>" if n % 2 else ""
+        rows.append((n, "http://g.example/x", f"<body><div>Always the same slogan</div><h3>Top</h3>{optional}<div>{parts[0]}</div><hr><h2>Call us</h2><div>{parts[1]}</div></body>"))
+        wanted[n] = "\n\n".join(parts)
+    assert texts(spark, rows) == wanted
+
+
+def test_streams_aligned_in_several_rounds(spark, monkeypatch):
+    monkeypatch.setattr(extraction, "FAN", 2)
+    rng = random.Random(5)
+    rows, wanted = [], {}
+    for n in range(40):
+        kinds = rng.choices(["p", "h2", "blockquote", "pre"], k=rng.randint(1, 9))
+        parts = [words(rng, 12) for _ in kinds]
+        rows.append((n, "http://h.example/x", "<body><article>" + "".join(f"<{k}>{p}</{k}>" for k, p in zip(kinds, parts)) + "</article></body>"))
+        wanted[n] = "\n\n".join(parts)
+    assert texts(spark, rows) == wanted
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_every_stream_matches_a_merged_wrapper(seed):
+    rng = random.Random(seed)
+
+    def page():
+        kinds = rng.choices(["<p>x</p>", "<h2>x</h2>", "<ul><li>x<li>x</ul>", "<ul><li>x</ul>", "<div><p>x</p></div>", "x"], k=rng.randint(0, 9))
+        return extraction.Page("<body>" + "".join(kinds) + "</body>").stream
+
+    streams = [page() for _ in range(24)]
+    parts = [extraction._aligned(streams[at : at + 6]) for at in range(0, 24, 6)]
+    wrapper = extraction._wrapper(extraction._aligned(parts))
+    for stream in streams:
+        tokens = stream.split("\n")
+        numbers = extraction.match_slots(wrapper, tokens)
+        assert extraction.accepts(wrapper, tokens) and numbers == sorted(set(numbers))
+        assert len(numbers) == sum(extraction._slot_count(token) for token in tokens)
+    assert extraction.match_slots([("<p>", False)], ["<div>"]) is None
+
+
+def test_folded_slots_keep_their_blocks():
+    page = extraction.Page("<ul><li>a<li>b<li>c</ul><p>d</p><ul><li>e</ul>")
+    assert [text for text, _ in page.blocks] == list("abcde") and page.places == [0, 0, 0, 1, 2]
