@@ -13,7 +13,7 @@ its number of pages, its letters, the share of them inside links, and whether it
 different. The main slots are those of the branch's mark; boilerplate by name is left out (menus, footers, forms, adverts,
 notices, comments and the like). Without a mark, slots that are
 mostly links or say the same on all pages are left out, and so is everything outside the stretch with most of the
-changing text.
+changing text; a page with nothing in that stretch keeps its changing slots, then those on fewer than ``JUDGED`` pages.
 
 Streams are made distinct per branch before they meet, then aligned in a tree: ``FAN`` streams or wrappers
 at a time, in as many rounds as the branch with the most streams needs. Slot statistics are sums, so a host with a third of
@@ -44,6 +44,7 @@ from evenkeel.llm.common import read_table, shared_folder, unused, written
 
 #: streams or wrappers that one task aligns one after the other
 FAN = 32
+#: a slot on fewer pages may be main text though its text is never different
 JUDGED = 3
 BROADCAST_HOSTS = 50_000
 #: longest stretch of tokens that is tried as a repeated group
@@ -403,7 +404,8 @@ def main_slots(branch: int, slots: list[dict]) -> list[list[str]]:
     total = weight.get((), 0)
     inner = max((steps for steps, letters in weight.items() if letters >= 0.6 * total), key=len, default=())
     stretch = [slot for slot in changing if tuple(slot["path"].split(">")[: len(inner)]) == inner]
-    return [_named(stretch)]
+    rare = [slot for slot in unlinked if slot["changes"] or slot["pages"] < JUDGED]
+    return [_named(stretch), _named(changing), _named(rare)]
 
 
 def slot_name(number: int, path: str) -> str:

@@ -96,6 +96,17 @@ def test_fold():
     assert extraction.fold([]) == []
 
 
+def test_templates_of_a_host_are_judged_apart(spark):
+    rng = random.Random(3)
+    rows, wanted = [], {}
+    frames = ["<article><p>{}</p></article>", "<main><p>{}</p></main>", "<div class='post'><p>{}</p></div>", "<div class='c'><p>{}</p></div>", "<table><tr><td>{}</table>"]
+    for n in range(60):
+        body = words(rng, 200 if n % 5 == 3 else 20)
+        rows.append((n, None if n < 30 else "http://f.example/x", f"<body><nav>menu {n}</nav>{frames[n % 5].format(body)}<div class=z>Always the same</div></body>"))
+        wanted[n] = body
+    assert texts(spark, rows) == wanted
+
+
 def test_slots_of_one_path_are_told_apart_by_the_wrapper(spark):
     rng = random.Random(4)
     rows, wanted = [], {}
