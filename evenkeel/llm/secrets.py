@@ -2,7 +2,7 @@
 
 Candidates are found per text with regular expressions. Their hashes are then counted over
 the whole corpus by distinct owner and repository: a value that many owners share is a
-copied example, one that stays with an owner or two and looks random is ``live``, the
+copied example (where values are masked, also one in very many repositories), one that stays with an owner or two and looks random is ``live``, the
 rest is ``weak``. DataFrame functions only.
 
 Positions are code points, ends exclusive. They come from the lengths of the pieces between
@@ -56,6 +56,8 @@ ADDED_KINDS = (
 KINDS = BASE_KINDS + ADDED_KINDS
 #: from so many owners on, a value is a copied example
 SHARED_OWNERS = 3
+#: what is masked is also no example: from so many repositories on, a value is one, whoever owns them
+SHARED_REPOSITORIES = 1_000
 #: a live value has at least so many different characters
 RANDOM_CHARACTERS = 8
 MASK = "[secret]"
@@ -105,11 +107,12 @@ def secret_hash(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
-def ownership(found: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, shared_owners: int = SHARED_OWNERS, shared_repositories: int | None = None) -> DataFrame:
     """(hash, owners, repositories, standing) of (hash, owner, repository, value_is_random) rows.
 
     Duplicates go before the counts, and each count has a partial step on the map side, so a
-    value in a third of all rows shrinks to one row per owner before its rows meet.
+    value in a third of all rows shrinks to one row per owner before its rows meet. Without
+    ``shared_repositories`` owners alone make a value shared, as in the SQL counterpart of the scan.
     """
     places = found.groupBy("hash", "owner", "repository").agg(F.max("value_is_random").alias("value_is_random"))
     owners = places.groupBy("hash", "owner").agg(
@@ -120,7 +123,10 @@ def ownership(found: DataFrame, shared_owners: int = SHARED_OWNERS) -> DataFrame
         F.sum("repositories").alias("repositories"),
         F.max("value_is_random").alias("value_is_random"),
     )
-    standing = F.when(F.col("owners") >= shared_owners, "shared").when(F.col("value_is_random"), "live").otherwise("weak")
+    shared = F.col("owners") >= shared_owners
+    if shared_repositories is not None:
+        shared |= F.col("repositories") >= shared_repositories
+    standing = F.when(shared, "shared").when(F.col("value_is_random"), "live").otherwise("weak")
     return totals.select("hash", "owners", "repositories", standing.alias("standing"))
 
 
@@ -173,7 +179,12 @@ def scan_secrets(
 
 
 def mask_live(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", n_chars: str = "n_chars"
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    owner: str = "source",
+    n_chars: str = "n_chars",
+    shared_repositories: int = SHARED_REPOSITORIES,
 ) -> DataFrame:
     """The documents, all of them, with live values replaced by a mask and ``n_chars`` counted anew.
 
@@ -187,7 +198,7 @@ def mask_live(
         F.col(doc_id).alias("repository"), F.col(owner).alias("owner"), F.col(spans).alias("spans")
     )
     found = written(_candidates(rows, "repository", "owner"), shared_folder(documents.sparkSession), "secret_values")
-    verdicts = ownership(found).where("standing = 'live'").select("hash")
+    verdicts = ownership(found, shared_repositories=shared_repositories).where("standing = 'live'").select("hash")
     per_document = (
         found.select("repository", "hash").distinct().join(verdicts, "hash")
         .groupBy(F.col("repository").alias(key)).agg(F.collect_set("hash").alias(live))

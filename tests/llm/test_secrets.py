@@ -85,3 +85,9 @@ def test_mask_keeps_every_row_and_only_hides_live_values(spark):
     text = "é token=[secret] and again [secret]"
     wanted.append((10, text, "one", len(text), "x"))
     assert out == sorted(wanted, key=repr) and secrets.mask_live(docs).columns == docs.columns
+
+
+def test_mask_leaves_a_value_of_very_many_repositories(spark):
+    rows = [(n, "token=0123456789abcdef", "one", 22) for n in range(5)] + [(10 + n, "token=fedcba9876543210", "one", 22) for n in range(4)]
+    out = secrets.mask_live(spark.createDataFrame(rows, SCHEMA), shared_repositories=5).collect()
+    assert {row.doc_id for row in out if secrets.MASK in row.text} == {10, 11, 12, 13}
