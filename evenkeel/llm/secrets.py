@@ -16,6 +16,7 @@ one repository. Spans of several kinds may overlap; equal starts are ordered by
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -54,6 +55,15 @@ ADDED_KINDS = (
     Kind("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 KINDS = BASE_KINDS + ADDED_KINDS
+#: what is masked of a private key is its body, up to the END line or, in a cut text, as far as lines of base64 go
+KEY_BODY = Kind(
+    "pem",
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"([^-]*+(?:-(?!----)[^-]*+)*+(?=-----END [A-Z ]{0,40}PRIVATE KEY-----)|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{40,}+){0,400}+)",
+    group=1,
+    least=32,
+)
+MASKED_KINDS = tuple(KEY_BODY if kind.name == "pem" else kind for kind in KINDS)
 #: from so many owners on, a value is a copied example
 SHARED_OWNERS = 3
 #: what is masked is also no example: from so many repositories on, a value is one, whoever owns them
@@ -107,6 +117,11 @@ def secret_hash(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
+def masked_hash(value: Column) -> Column:
+    """The hash of a value however its lines are broken; only the body of a key has several."""
+    return secret_hash(F.regexp_replace(value, r"\s|\\[nr]", ""))
+
+
 def ownership(found: DataFrame, shared_owners: int = SHARED_OWNERS, shared_repositories: int | None = None) -> DataFrame:
     """(hash, owners, repositories, standing) of (hash, owner, repository, value_is_random) rows.
 
@@ -130,13 +145,13 @@ def ownership(found: DataFrame, shared_owners: int = SHARED_OWNERS, shared_repos
     return totals.select("hash", "owners", "repositories", standing.alias("standing"))
 
 
-def _candidates(rows: DataFrame, *columns: str) -> DataFrame:
+def _candidates(rows: DataFrame, *columns: str, hashed: Callable[[Column], Column] = secret_hash) -> DataFrame:
     """One row per different value of a text: the given columns, hash and value_is_random."""
     values = F.array_distinct(
         F.transform(
             "spans",
             lambda x: F.struct(
-                secret_hash(x["value"]).alias("hash"),
+                hashed(x["value"]).alias("hash"),
                 (F.size(F.array_distinct(F.split(x["value"], ""))) >= RANDOM_CHARACTERS).alias("value_is_random"),
             ),
         )
@@ -192,19 +207,22 @@ def mask_live(
     the same id share their verdicts.
     """
     key, spans, live = unused(documents, "secret_key", "spans", "live_hashes")
-    plain = documents.where(~has_candidate(F.col(text)))
-    marked = documents.where(has_candidate(F.col(text))).withColumn(spans, find_spans(F.col(text)))
+    marks = has_candidate(F.col(text), MASKED_KINDS)
+    plain = documents.where(~marks)
+    marked = documents.where(marks).withColumn(spans, find_spans(F.col(text), MASKED_KINDS))
     rows = marked.select(
         F.col(doc_id).alias("repository"), F.col(owner).alias("owner"), F.col(spans).alias("spans")
     )
-    found = written(_candidates(rows, "repository", "owner"), shared_folder(documents.sparkSession), "secret_values")
+    found = written(_candidates(rows, "repository", "owner", hashed=masked_hash), shared_folder(documents.sparkSession), "secret_values")
     verdicts = ownership(found, shared_repositories=shared_repositories).where("standing = 'live'").select("hash")
     per_document = (
         found.select("repository", "hash").distinct().join(verdicts, "hash")
         .groupBy(F.col("repository").alias(key)).agg(F.collect_set("hash").alias(live))
     )
-    hit = F.filter(spans, lambda x: F.array_contains(F.col(live), secret_hash(x["value"])))
-    clean = F.aggregate(hit, F.col(text), lambda held, x: F.replace(held, x["value"], F.lit(MASK)))
+    hit = F.filter(spans, lambda x: F.array_contains(F.col(live), masked_hash(x["value"])))
+    # longer values first, as one may lie within another
+    ordered = F.array_sort(F.transform(hit, lambda x: F.struct((-F.length(x["value"])).alias("size"), x["value"].alias("value"))))
+    clean = F.aggregate(ordered, F.col(text), lambda held, x: F.replace(held, x["value"], F.lit(MASK)))
     changed = F.col(live).isNotNull()
     masked = marked.join(per_document, F.col(doc_id).eqNullSafe(F.col(key)), "left").withColumns(
         {
