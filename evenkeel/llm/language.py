@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import batches, read_table, remainder, ship_package, unused
+from evenkeel.llm.common import batches, read_table, remainder, ship_package
 
 UNDETERMINED = "und"
 BLANK = 32
@@ -153,13 +153,15 @@ def predictions(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents whose language can be told stay; all others go.
+    """Pipeline stage: documents with a letter stay; all others, which have no language, go.
 
-    The profiles are learned from the stage's own input. Only documents without any letter
-    are rejected: a low cosine may be a short or mixed text that is worth keeping.
+    A letter test only, whatever the labels: no profile is learned, as a low cosine may be a short or
+    mixed text that is worth keeping, so no prediction or score would decide anything.
     """
     ship_package(spark)
-    names, table = train(docs, F.col("text"), F.col("lang"))
-    (found,) = unused(docs, "found")
-    marked = identify(docs, F.col("text"), names, table, found)
-    return marked.where(F.col(found)["lang_pred"] != UNDETERMINED).drop(found)
+
+    @F.pandas_udf("boolean")
+    def has_letters(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(letter_codes(text)) > 0 for text in texts], dtype=bool)
+
+    return docs.where(has_letters(F.col("text")))

@@ -77,3 +77,9 @@ def test_stage_rejects_only_texts_without_letters(spark):
     kept = language.keep_identified(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted(row.doc_id for row in kept.collect()) == list(range(30))
+
+
+def test_stage_keeps_texts_with_letters_where_nothing_is_labelled(spark):
+    data = [(1, "kalo mitu", None), (2, "12 !!", None), (3, None, None), (4, "é", None)]
+    kept = language.keep_identified(spark, spark.createDataFrame(data, SCHEMA), "")
+    assert sorted(row.doc_id for row in kept.collect()) == [1, 4]
