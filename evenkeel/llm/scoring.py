@@ -41,6 +41,8 @@ from evenkeel.llm.common import hash_words, mixed, read_table, remainder, shared
 from evenkeel.llm.trie import TrieLevel
 
 ORDER = 2
+#: the order of the registered query
+QUERY_ORDER = 3
 DISCOUNT = 0.75
 CHUNK_TOKENS = 1_000_000
 #: characters of text for each shard
@@ -387,7 +389,7 @@ def language_model_scores(spark, sf_dir: str) -> DataFrame:
     """``op5``: scores of all documents by a model of those that are not held out."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 5) == 1
-    scored = score_documents(documents, ~held_out)
+    scored = score_documents(documents, ~held_out, order=QUERY_ORDER)
     return scored.select(
         "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -134,3 +135,10 @@ def test_level_is_searched_in_a_mapped_file(tmp_path):
     logs = level.low + (level.values[found].astype(float) - 1) * level.step
     assert np.abs(logs - np.log10((counts - 0.75) / totals[place])).max() <= level.step / 2 + 1e-9
     assert (level.find(number[place], pairs[:, 1] + np.uint64(1)) == -1).all()
+
+
+def test_registered_scores_depend_on_two_words_before(spark, tmp_path):
+    rows = [(n, text, zlib.crc32(str(n).encode()) % 5 == 1) for n, text, _ in sample()]
+    spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = sorted((tuple(row) for row in scoring.language_model_scores(spark, str(tmp_path)).collect()), key=repr)
+    same(out, brute(rows, 3))
