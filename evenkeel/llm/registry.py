@@ -112,9 +112,9 @@ def sql_vector_codes() -> str:
                                from p join b{n} b using (part)) d using (vec_id, part) group by all))""")
         if n < quantize.ROUNDS:
             rounds.append(f"""
-         m{n} as (select part, entry, list(mean order by at) as v from (
-                  select part, entry, at, cast(floor(sum(x) / count(*)) as bigint) as mean
-                  from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as at from a{n}) group by all) group by all),
+         m{n} as (select part, entry, list(mean order by spot) as v from (
+                  select part, entry, spot, cast(floor(sum(x) / count(*)) as bigint) as mean
+                  from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as spot from a{n}) group by all) group by all),
          b{n + 1} as (select part, entry, coalesce(m.v, b.v) as v from b{n} b left join m{n} m using (part, entry))""")
     return f"""
     with k as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(cast(x as double) * {quantize.SCALE}) as bigint)) as v
