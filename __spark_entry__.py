@@ -283,6 +283,7 @@ PAIRS = {
 
 BIG = "bigint"
 DAY = "2024-01-15"
+EARLIER = "2024-01-14"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -533,6 +534,17 @@ def readback_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def readback_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of one set; the first was stored without a column that the second has."""
+    out = output_folder(spark)
+    source, target = sides(spark, sf_dir, ORDERS)
+    narrow = opened(compare(source.drop("o_orderpriority"), target.drop("o_orderpriority"), ORDERS.keys))
+    save_differences(narrow, out, "orders", EARLIER)
+    save_differences(comparison(spark, sf_dir, ORDERS), out, "orders", DAY)
+    rows = read_differences(spark, out, "orders", "source_only")
+    return rows.select("o_orderkey", "o_totalprice", "o_orderpriority", F.col("dt").cast("string").alias("dt"))
+
+
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = report_rows(comparison(spark, sf_dir, ORDERS), "orders", "orders_copy", DAY)
     return read_report(spark, write_report(rows, output_folder(spark), "orders", DAY))
@@ -659,6 +671,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_metrics_safe_arrays": pair_metrics(EMBEDDINGS, digest="safe"),
         "readback_one_sided": readback_one_sided,
         "readback_changed": readback_changed,
+        "readback_days": readback_days,
         "report_rows": report,
         "run_one_day": run_one_day,
         "multi_pair_outcomes": multi_pair_outcomes,
@@ -989,6 +1002,9 @@ def table_sql() -> dict[str, str]:
         "readback_changed": f"""
             {joined(ORDERS)} select s_o_orderkey as o_orderkey, s_o_totalprice as source_totalprice,
                    t_o_totalprice as target_totalprice from j where sh <> th""",
+        "readback_days": f"""
+            select o_orderkey, o_totalprice, null as o_orderpriority, '{EARLIER}' as dt from ({sql_one_sided('source', ORDERS)})
+            union all select o_orderkey, o_totalprice, o_orderpriority, '{DAY}' from ({sql_one_sided('source', ORDERS)})""",
         "report_rows": sql_report(),
         "run_one_day": f"""
             select 'events' as name, '{DAY}' as day, is_match, source_rows, target_rows, source_only, target_only,

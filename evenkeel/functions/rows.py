@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,8 +55,11 @@ def typed_key(names: Sequence[str]) -> Column:
     return F.struct(*[quote(name) for name in names])
 
 
-def text_digest(names: Sequence[str]) -> Column:
-    """SHA-256 (hex) of all values as text; NULL reads as the empty string."""
+def text_digest(names: Sequence[str], given: Mapping[str, Column] | None = None) -> Column:
+    """SHA-256 (hex) of all values as text; NULL reads as the empty string. ``given`` holds texts made otherwise."""
+    if given:
+        texts = [given.get(name, F.expr(f"coalesce(CAST({quote(name)} AS STRING), '')")) for name in names]
+        return F.sha2(F.concat_ws(SEPARATOR, *texts), 256)
     texts = "".join(f", coalesce(CAST({quote(name)} AS STRING), '')" for name in names)
     return F.expr(f"sha2(concat_ws('{SEPARATOR}'{texts}), 256)")
 

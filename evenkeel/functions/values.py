@@ -101,6 +101,15 @@ def _ordered(value: Column, data_type: T.DataType) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields))
 
 
+def holds_map(data_type: T.DataType) -> bool:
+    return _holds(data_type, (T.MapType,))
+
+
+def ordered_text(value: Column, data_type: T.DataType) -> Column:
+    """A value with maps as text that doesn't follow the order of a map's entries; NULL is empty."""
+    return F.coalesce(_ordered(value, data_type).cast("string"), F.lit(""))
+
+
 def _plain_zero(value: Column, data_type: T.DataType) -> Column:
     """-0.0 written as 0.0, at any depth, as both count as equal."""
     if not _holds(data_type, (T.FloatType, T.DoubleType)):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import rows
 from evenkeel.functions.rows import DIGEST, KEY
-from evenkeel.functions.values import safe_text
+from evenkeel.functions.values import holds_map, ordered_text, safe_text
 
 KEY_MODES = ("concat", "typed")
 DIGESTS = ("text", "safe")
@@ -89,7 +89,9 @@ def with_digest(
     left_out = {name.lower() for name in name_list(keys)} | {KEY}
     names = sorted(n for n in df.columns if n.lower() not in left_out and (only is None or n in only))
     if digest == "text":
-        return df.withColumn(DIGEST, rows.text_digest(names))
+        types = {name: df.schema[name].dataType for name in names}
+        maps = {name: ordered_text(quoted(name), kind) for name, kind in types.items() if holds_map(kind)}
+        return df.withColumn(DIGEST, rows.text_digest(names, maps))
     texts = [(name, safe_text(quoted(name), df.schema[name].dataType)) for name in names]
     return df.withColumn(DIGEST, rows.safe_digest(texts))
 

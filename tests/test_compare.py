@@ -391,6 +391,7 @@ def test_safe_digest_tells_nested_values_apart(spark):
         assert numbers(compare(source, source, "id", Options(digest="safe")))["changed"] == 0
     maps = [spark.sql(f"select 1 as id, map({text}) as v") for text in ("'a', 1, 'b', 2", "'b', 2, 'a', 1")]
     assert numbers(compare(*maps, "id", Options(digest="safe")))["changed"] == 0
+    assert numbers(compare(*maps, "id"))["changed"] == 0
     nulls = [spark.sql(f"select 1 as id, cast({text} as array<string>) as v") for text in ("null", "array()")]
     assert numbers(compare(*nulls, "id", Options(digest="safe")))["changed"] == 1
 

@@ -19,6 +19,7 @@ from evenkeel import (
     summarize,
 )
 from evenkeel.plans.run import Outcome, outcome_rows
+from evenkeel.sinks.differences import save_set
 from evenkeel.sinks.reports import read_report, summary_rows, write_report
 from evenkeel.workspace import shared_folder
 
@@ -55,6 +56,39 @@ def test_difference_sets(spark, tmp_path):
     assert tuple(row) == (2, 17, 19)
 
 
+def test_days_of_different_columns(spark, tmp_path):
+    out = str(tmp_path)
+    for day, values in (("2024-01-01", "1 as id, 'a' as v"), ("2024-01-02", "2 as id, 'b' as v, 7 as w")):
+        source = spark.sql(f"select {values}")
+        save_differences(compare(source, source.withColumn("v", F.lit("z")), "id"), out, "t", day)
+        save_differences(compare(source, source.limit(0), "id"), out, "one", day)
+    rows = read_differences(spark, out, "one", "source_only")
+    assert sorted((r.id, r.v, r.w, str(r.dt)) for r in rows.collect()) == [(1, "a", None, "2024-01-01"), (2, "b", 7, "2024-01-02")]
+    assert "w" not in read_differences(spark, out, "one", "source_only", "2024-01-01").columns
+    assert [r.w for r in read_differences(spark, out, "one", "source_only", "2024-01-02").collect()] == [7]
+    assert read_differences(spark, out, "one", "source_only", "2024-01-03").collect() == []
+    pairs = read_differences(spark, out, "t", "column_differences")
+    assert sorted((r.source.id, r.source.w) for r in pairs.collect()) == [(1, None), (2, 7)]
+    source = spark.sql("select 3 as id, array(1) as v")
+    save_differences(compare(source, source.limit(0), "id"), out, "one", "2024-01-03")
+    with pytest.raises(ValueError, match="don't go together"):
+        read_differences(spark, out, "one", "source_only")
+    assert read_differences(spark, out, "one", "source_only", "2024-01-03").count() == 1
+
+
+def test_failed_rerun_keeps_the_stored_day(spark, tmp_path):
+    folder = str(tmp_path / "t" / "source_only")
+    save_set(spark.range(5), 5, folder, "2024-01-15")
+    save_set(spark.range(3), 3, folder, "2024-01-14")
+    failing = spark.range(9).withColumn("id", F.when(F.col("id") > 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        save_set(failing, 9, folder, "2024-01-15")
+    counts = {str(r.dt): r["count"] for r in spark.read.parquet(folder).groupBy("dt").count().collect()}
+    assert counts == {"2024-01-14": 3, "2024-01-15": 5}
+    save_set(spark.range(4).withColumn("DT", F.lit("x")), 4, folder, "2024-01-15")
+    assert read_differences(spark, str(tmp_path), "t", "source_only", "2024-01-15").count() == 4
+
+
 def test_rerun_without_differences_leaves_nothing_stale(spark, tmp_path):
     source, target = frames(spark)
     out = str(tmp_path)
