@@ -3,8 +3,9 @@
 A notice that occurs with at most k edits (letters inserted, deleted or replaced) keeps at
 least one of any k + 1 pieces it is cut into unharmed. So one pass of an Aho-Corasick automaton
 over the whole text finds every piece, each piece names a stretch of text that may hold its
-notice, and only there the ``regex`` module looks for the notice within k edits. Nothing
-within k edits is missed, and texts without a piece cost one pass.
+notice, and only there the ``regex`` module looks for the notice within k edits. A
+stretch without a notice found in it has none within k edits; of notices close together, one with more edits that
+stands before a better one can be missed. Texts without a piece cost one pass.
 
 Notices are sought in the text's words joined by single blanks, so line breaks and punctuation
 between words don't count as edits. Spans are word positions, ends exclusive.
