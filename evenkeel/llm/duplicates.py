@@ -9,12 +9,12 @@
    sets at similarity 0.8 share none with a probability of 5e-8.
 3. Each bucket is a star: its members are tested against its smallest node only. A test is exact,
    on the full sets. Confirmed links give components (alternating large-star and small-star).
-4. A star can miss links between two members that aren't linked to the centre. So buckets whose
-   members still lie in different components get more centres, ``MORE_CENTRES`` times as many in each round, until a
-   bucket has no pair left that could join two components. Every pair that shares a bucket is thus either
-   tested or already connected; nothing is capped. Large groups of copies are connected after the
-   first star and cost no more pairs. Of the pairs of a bucket only those get out of the join whose sizes and
-   signatures (one bit of each bin) allow for a link, each in the first bucket it shares.
+4. A star can miss links between two members that aren't linked to the centre. Sets in buckets whose
+   members still lie in different components are therefore searched by their rarest shingles: shingles are ordered by the
+   number of such sets that hold them, and two sets at similarity 0.8 share one among the first ninth of
+   the smaller and the first fifth of the larger (prefix filter; exact). Pairs that share one are tested. Unlike texts
+   of one large bucket have only common shingles in common, so they aren't paired at all. Nothing is capped.
+5. Components are kept as (node, root). New links are contracted to roots before the next search for components.
 
 Cases: NULL and empty texts, and those without words, have no shingle and stand alone. A text of
 fewer words than a shingle has is one shingle. Repeated rows are copies of each other. Rows with one
@@ -25,13 +25,11 @@ a component of NULL ids alone has component_id NULL, and of it one row per diffe
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-from operator import add, or_
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import hash_words, mixed, read_table, shared_folder, ship_package, unused, written
@@ -43,8 +41,6 @@ BANDS = 32
 #: standard deviation of 10, so in more than this with a probability of about 1e-5
 MOST_BITS = 145
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-FIRST_CENTRES = 64
-MORE_CENTRES = 32
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -110,6 +106,15 @@ def bits(values: np.ndarray) -> np.ndarray:
     return np.packbits(one).view(np.int64)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """For each of ``BINS`` residues whether a set has an odd number of hashes there, as 64-bit words.
+
+    Each hash in only one of two sets flips one bit, so two sets differ in at least as many hashes as bits.
+    """
+    odd = np.bincount((hashes % np.uint64(BINS)).astype(np.int64), minlength=BINS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """(doc_id, text_hash, n_shingles, node, bands, bits): node names the set, NULL where it is empty."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
@@ -154,10 +159,11 @@ def full_sets(documents: DataFrame, wanted: DataFrame, doc_id: str, text: str, w
             columns = [
                 pa.array([set_name(one) for one in sets], pa.string()),
                 pa.array([one.view(np.int64) for one in sets], pa.list_(pa.int64())),
+                pa.array([parity(one) for one in sets], pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "parity"])
 
-    return texts.mapInArrow(work, "node string, shingles array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(work, "node string, shingles array<long>, parity array<long>").dropDuplicates(["node"])
 
 
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
@@ -193,97 +199,109 @@ def confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return edges.join(one, "a").join(other, "b").where(common * 100 >= united * percent).select("a", "b")
 
 
-def possible(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) edges that may be links by half of each hash, which halves what such a test has to move.
-
-    Hashes that differ may have equal halves, so up to two common ones may be missing here.
-    """
-    halves = sets.select("node", F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("half"))
-    one = halves.select(F.col("node").alias("a"), F.col("half").alias("set_a"))
-    other = halves.select(F.col("node").alias("b"), F.col("half").alias("set_b"))
-    common = F.size(F.array_intersect("set_a", "set_b")) + 2
-    united = F.size("set_a") + F.size("set_b") - common
-    return edges.join(one, "a").join(other, "b").where(common * 100 >= united * percent).select("a", "b")
-
-
 def _fits(a: str, b: str, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough at all."""
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _alike(a: str, b: str) -> Column:
-    """Whether two signatures differ in few enough bits."""
-    words = BINS // 64
-    return reduce(add, (F.bit_count(F.get(a, n).bitwiseXOR(F.get(b, n))) for n in range(words))) <= MOST_BITS
+def _unlike(a: str, b: str) -> Column:
+    """The number of bits in which two arrays of words differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda held, x: held + x)
+
+
+def alike(edges: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The (a, b) edges whose signatures differ in few enough bits."""
+    one = sketched.select(F.col("node").alias("a"), F.col("bits").alias("bits_a"))
+    other = sketched.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"))
+    return edges.join(one, "a").join(other, "b").where(_unlike("bits_a", "bits_b") <= MOST_BITS).select("a", "b")
+
+
+def merged(roots: DataFrame, links: DataFrame, folder: str, name: str) -> DataFrame:
+    """(node, root) after new (a, b) links between nodes of ``roots``: only links between different roots count."""
+    held = written(_apart(links, roots), folder, f"{name}_new")
+    if held.isEmpty():
+        return roots
+    top = components(held.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), folder, name)
+    top = top.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    joined = roots.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return written(joined, folder, f"{name}_roots")
+
+
+def _apart(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The (a, b) edges whose ends aren't connected yet, with both roots."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return edges.join(a, "a").join(b, "b").where("root_a <> root_b")
+
+
+def _first(size: Column, share: str) -> Column:
+    """How many shingles of a set can't all be missing in a set that has ``share`` of them, a fraction "x/y"."""
+    over, under = share.split("/")
+    return size - F.ceil(size * F.lit(int(over)) / F.lit(int(under)) - 1e-9) + 1
+
+
+def by_rare_shingles(open_nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) pairs of (node, root) rows with different roots, among them every link.
+
+    A set's shingles are ordered by the number of sets that hold them, ties by hash. A link's sets have
+    2 * percent / (100 + percent) of the smaller set in common and ``percent`` of the larger, so the first shingle in
+    common stands among the first of both. Shingles of one set alone meet nothing and don't travel on. A pair gets out
+    of the join only where the bits of ``parity`` that differ leave enough to be in common, which loses no link either.
+    """
+    held = open_nodes.join(sets, "node").select("node", F.explode("shingles").alias("shingle"))
+    common = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    nodes = open_nodes.join(sets, "node").select("node", "root", F.size("shingles").alias("size"), "parity")
+    by_node = Window.partitionBy("node")
+    # shingles of one set alone come first in its order: only their number matters
+    ranked = held.join(common, "shingle").select(
+        "node", "shingle", F.row_number().over(by_node.orderBy("holders", "shingle")).alias("rank"), F.count("*").over(by_node).alias("held")
+    )
+    ranked = ranked.join(nodes, "node").withColumn("place", F.col("size") - F.col("held") + F.col("rank"))
+    ranked = ranked.where(F.col("place") <= _first(F.col("size"), f"{percent}/100")).drop("rank", "held")
+    smaller = ranked.where(F.col("place") <= _first(F.col("size"), f"{2 * percent}/{100 + percent}"))
+    other = ranked.select("shingle", *(F.col(name).alias(f"{name}_b") for name in ("node", "root", "size", "place", "parity")))
+    # what can still be common from these places on, and by the hashes that are known to differ
+    both = F.col("size") + F.col("size_b")
+    rest = 1 + F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
+    pairs = smaller.join(other, "shingle").where(
+        (F.struct("size", "node") < F.struct(F.col("size_b").alias("size"), F.col("node_b").alias("node")))
+        & (F.col("root") != F.col("root_b"))
+        & _fits("size", "size_b", percent)
+        & (rest * (100 + percent) >= both * percent)
+        & ((both - _unlike("parity", "parity_b")) * (100 + percent) >= both * 2 * percent)
+    )
+    return pairs.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
 
 
 def linked(nodes: DataFrame, documents: DataFrame, doc_id: str, text: str, width: int, percent: int, folder: str) -> DataFrame:
-    """(node, root) of all nodes that are linked with another one."""
-    spread = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
+    """(node, root) of all nodes that share a bucket with another one."""
+    spread = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     stars = spread.groupBy("bucket").agg(
         F.min("node").alias("centre"), F.min_by("size", "node").alias("centre_size"), F.count("*").alias("members")
     )
     shared = written(spread.join(stars.where("members > 1"), "bucket"), folder, "members")
     wanted = shared.select("node").distinct().join(nodes, "node")
-    sketched = written(wanted.select("node", "doc_id", "text_hash", "bands", "bits"), folder, "shared_nodes")
+    sketched = written(wanted.select("node", "doc_id", "text_hash", "bits"), folder, "shared_nodes")
     sets = written(full_sets(documents, sketched.select("doc_id", "text_hash"), doc_id, text, width), folder, "sets")
+    roots = sketched.select("node", F.col("node").alias("root"))
 
     edges = shared.where("node <> centre").where(_fits("size", "centre_size", percent))
     counted = edges.groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("buckets"))
     # first each node with the centre it shares most buckets with, then the other centres it isn't connected with yet
     counted = written(counted, folder, "edges")
     best = counted.groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
-    links = written(confirm(best, sets, percent), folder, "links_best")
-    roots = components(links, folder, "roots_best")
-    rest = _apart(counted.join(best, ["a", "b"], "left_anti"), roots)
-    links = _more(links, confirm(possible(rest, sets, percent), sets, percent), folder, "star")
-    roots = components(links, folder, "roots_star")
-
-    centres, open_buckets = FIRST_CENTRES, shared.select("bucket", "band", "node", "size", "members")
-    names = sketched.select("node", "bits", F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short"))
-    while True:
-        labelled = open_buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        labelled = written(labelled.join(split.select("bucket"), "bucket"), folder, f"open_{centres}")
-        most = labelled.agg(F.max("members")).first()[0]
-        if most is None:
-            return roots
-        # a node is a centre by its hash, on average ``centres`` in a bucket; at last all members are
-        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        full = labelled.join(names, "node").withColumn("is_centre", chance * F.col("members") < centres)
-        hubs = full.where("is_centre").select(
-            "bucket", *(F.col(name).alias(f"{name}_b") for name in ("node", "root", "size", "bits", "short"))
-        )
-        # a pair is taken in its first bucket, by the low bits of the buckets before
-        earlier = reduce(
-            or_, ((F.col("band") > n) & (F.get("short", n) == F.get("short_b", n)) for n in range(BANDS - 1))
-        )
-        pairs = full.join(hubs, "bucket").where(
-            (F.col("root") != F.col("root_b"))
-            & (~F.col("is_centre") | (F.col("node") > F.col("node_b")))
-            & _fits("size", "size_b", percent)
-            & _alike("bits", "bits_b")
-            & ~earlier
-        )
-        tests = pairs.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b"))
-        links = _more(links, confirm(possible(tests, sets, percent), sets, percent), folder, f"more_{centres}")
-        roots = components(links, folder, f"roots_{centres}")
-        if most <= centres:
-            return roots
-        open_buckets = labelled.where(F.col("members") > centres).drop("root")
-        centres *= MORE_CENTRES
-
-
-def _apart(edges: DataFrame, roots: DataFrame) -> DataFrame:
-    """The (a, b) edges whose ends aren't connected yet."""
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    joined = edges.join(a, "a", "left").join(b, "b", "left")
-    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
-def _more(links: DataFrame, new: DataFrame, folder: str, name: str) -> DataFrame:
-    return links.unionAll(written(new, folder, f"links_{name}"))
+    roots = merged(roots, confirm(best, sets, percent), folder, "best")
+    rest = _apart(counted.join(best, ["a", "b"], "left_anti"), roots).select("a", "b")
+    roots = merged(roots, confirm(alike(rest, sketched), sets, percent), folder, "star")
+
+    labelled = shared.select("bucket", "node").join(roots, "node")
+    split = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    left = labelled.join(split.select("bucket"), "bucket").select("node", "root").distinct()
+    left = written(left, folder, "open_nodes")
+    if left.isEmpty():
+        return roots
+    pairs = written(by_rare_shingles(left, sets, percent), folder, "rare_pairs")
+    return merged(roots, confirm(alike(pairs, sketched), sets, percent), folder, "rare")
 
 
 def near_duplicates(

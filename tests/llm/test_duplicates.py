@@ -74,7 +74,7 @@ def test_a_chain_without_a_common_centre(spark):
     assert {row[2] for row in found(spark, rows)} == {0}
 
 
-def test_buckets_full_of_unlike_texts_are_searched_to_the_end(spark, monkeypatch):
+def test_buckets_full_of_unlike_texts_are_searched_to_the_end(spark):
     rng = random.Random(5)
     words = [f"w{n}" for n in range(3000)]
     shared = [rng.choice(words) for _ in range(100)]
@@ -82,11 +82,37 @@ def test_buckets_full_of_unlike_texts_are_searched_to_the_end(spark, monkeypatch
     for pair in range(25):  # all share a long passage at about 0.6; pairs are linked
         own = [rng.choice(words) for _ in range(38)]
         rows += [(100 + 2 * pair, " ".join(shared + own)), (101 + 2 * pair, " ".join(shared + own[:-3]))]
-    monkeypatch.setattr(duplicates, "FIRST_CENTRES", 2)
     assert found(spark, rows) == brute(rows, 4)
     assert len({row[2] for row in found(spark, rows)}) == 25
 
 
+def test_a_large_group_around_the_threshold(spark):
+    rng = random.Random(7)
+    words = [f"w{n}" for n in range(5000)]
+    base = [rng.choice(words) for _ in range(120)]
+    texts = [edited(rng, " ".join(base), words, rng.randint(3, 11)) for _ in range(700)]  # most at 0.5 to 0.8
+    texts += [edited(rng, rng.choice(texts), words, 1) for _ in range(100)]
+    rows = list(enumerate(texts))
+    assert found(spark, rows) == brute(rows, 4)
+
+
+def test_rare_shingles_find_every_link_and_few_other_pairs(spark):
+    rng = random.Random(8)
+    words = [f"w{n}" for n in range(5000)]
+    base = " ".join(rng.choice(words) for _ in range(150))
+    texts = [edited(rng, base, words, 9) for _ in range(150)]  # around 0.6
+    texts += [edited(rng, text, words, 2) for text in texts[:40]]
+    sets = {f"{n:03}": {x.item() for x in duplicates.shingle_set(text, 4).view("int64")} for n, text in enumerate(texts)}
+    links = {(a, b) for a in sets for b in sets if a > b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    flags = {name: duplicates.parity(duplicates.shingle_set(text, 4)).tolist() for name, text in zip(sets, texts, strict=True)}
+    rows = [(name, sorted(held), flags[name]) for name, held in sets.items()]
+    frame = spark.createDataFrame(rows, "node string, shingles array<long>, parity array<long>")
+    nodes = frame.selectExpr("node", "node AS root")
+    pairs = {tuple(row) for row in duplicates.by_rare_shingles(nodes, frame, 80).collect()}
+    assert len(links) >= 40 and links <= pairs
+    assert len(pairs) < len(sets) * (len(sets) - 1) / 20
+
+
 def test_edge_cases(spark):
     long = "a b c d e f g h " * 20_000
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE\ttwo "), (None, "one two"), (None, None), (7, long),
