@@ -21,6 +21,9 @@ class SideSpec:
     Exactly one of ``table`` (catalog name; with ``jdbc`` the database's table name),
     ``path`` (Parquet) and ``frame`` is given. ``namespace`` qualifies ``table``.
     ``where`` is an extra SQL predicate; it is evaluated by the database for JDBC.
+    A JDBC read is cut by ``predicates`` (SQL conditions of which every row meets exactly one), by a text
+    ``partition_column`` at ``partition_cuts``, or by a number or time column into ``num_partitions`` ranges.
+    With ``check_predicates`` the database first counts the rows that don't meet exactly one predicate.
     """
 
     table: str | None = None
@@ -35,6 +38,9 @@ class SideSpec:
     where: str | None = None
     partition_column: str | None = None
     partition_bounds: tuple | None = None
+    partition_cuts: Sequence[str] = ()
+    predicates: Sequence[str] = ()
+    check_predicates: bool = True
     num_partitions: int = 10
     fetch_size: int = 10_000
     label: str | None = field(default=None, compare=False)
@@ -45,6 +51,14 @@ class SideSpec:
             raise ValueError(f"give exactly one of table, path and frame, not {given}")
         if self.jdbc is not None and self.table is None:
             raise ValueError("a JDBC side needs a table name")
+        if (self.predicates or self.partition_cuts) and self.jdbc is None:
+            raise ValueError("predicates and partition_cuts cut JDBC reads only")
+        if isinstance(self.predicates, str) or isinstance(self.partition_cuts, str):
+            raise ValueError("predicates and partition_cuts are lists")
+        if self.predicates and (self.partition_column or self.partition_cuts):
+            raise ValueError("give predicates or a partition_column, not both")
+        if self.partition_cuts and not self.partition_column:
+            raise ValueError("partition_cuts need a partition_column")
         check_format(self.date_format)
 
     @property

@@ -182,3 +182,49 @@ def test_jdbc_read_in_one_task_must_be_asked_for(spark):
     with pytest.raises(ValueError, match="num_partitions=1"):
         scan(session, SideSpec(table="t", jdbc=JDBC), None, ["note"])
     assert scan(session, SideSpec(table="t", jdbc=JDBC, num_partitions=1)).count() == 1
+
+
+def test_text_ranges_hold_every_row_once(spark):
+    spark.createDataFrame([(v,) for v in ["", "A", "D", "Da", "M", "O'N", "O'Z", "zz", None, "é"]], "CODE string").createOrReplaceTempView("codes")
+    side = SideSpec(table="codes", jdbc=JDBC, partition_column="CODE", partition_cuts=["D", "M", "O'N"])
+    predicates = jdbc.read_predicates(side)
+    assert predicates[0] == "CODE < 'D' OR CODE IS NULL" and predicates[-1] == "CODE >= 'O''N'" and len(predicates) == 4
+    met = spark.table("codes").select("CODE", *(F.expr(f"int(coalesce({one}, false))").alias(f"p{n}") for n, one in enumerate(predicates)))
+    assert {sum(row[1:]) for row in met.collect()} == {1}
+    assert spark.sql(f"SELECT * FROM {jdbc.misplaced_rows(side, predicates)}").first()[0] == 0
+    # ranges out of order, a gap, an overlap, NULLs in none
+    for bad in (jdbc.text_ranges("CODE", ["M", "D"]), ["CODE < 'D'", "CODE > 'D' OR CODE IS NULL"],
+                ["CODE <= 'D' OR CODE IS NULL", "CODE >= 'D'"], ["CODE < 'D'", "CODE >= 'D'"]):
+        assert spark.sql(f"SELECT * FROM {jdbc.misplaced_rows(side, bad)}").first()[0] > 0
+    narrowed = SideSpec(table="codes", jdbc=JDBC, where="CODE > 'A' OR CODE = ''", predicates=["CODE < 'D'", "CODE >= 'D'"])
+    assert spark.sql(f"SELECT * FROM {jdbc.misplaced_rows(narrowed, narrowed.predicates)}").first()[0] == 0
+
+
+def test_jdbc_read_by_predicates(spark):
+    session, loaded = database(spark.sql("select 0 as misplaced"))
+    rows = spark.sql("select string(id) as CODE, if(id % 2 = 0, '20240115', '20240116') as DAY from range(10)")
+    session.read.jdbc.return_value = rows
+    side = SideSpec(table="t", namespace="s", jdbc=JDBC, date_column="day", date_format="yyyymmdd",
+                    predicates=["MOD(ID, 2) = 0", "MOD(ID, 2) <> 0 OR ID IS NULL"])
+    assert scan(session, side, "2024-01-15", ["code"]).count() == 5
+    args, options = session.read.jdbc.call_args
+    assert args == (JDBC["url"], "s.t") and options["predicates"] == ["(MOD(ID, 2) = 0)", "(MOD(ID, 2) <> 0 OR ID IS NULL)"]
+    assert options["properties"] == {"user": "u", "password": "p", "driver": "example.Driver", "fetchsize": "10000"}
+    assert "COUNT(*)" in loaded.call_args_list[0].kwargs["dbtable"]
+    session, loaded = database(spark.sql("select 3 as misplaced"))
+    with pytest.raises(ValueError, match="3 rows of s.t"):
+        scan(session, side, "2024-01-15")
+    session.read.jdbc.assert_not_called()
+    trusted = SideSpec(table="t", jdbc=JDBC, predicates=["ID < 5", "ID >= 5"], check_predicates=False)
+    session, loaded = database(None)
+    session.read.jdbc.return_value = rows
+    assert scan(session, trusted).count() == 10 and not loaded.called
+
+
+@pytest.mark.parametrize("options", [
+    {"path": "x", "predicates": ["a = 1"]}, {"table": "t", "jdbc": JDBC, "predicates": "a = 1"}, {"table": "t", "jdbc": JDBC, "partition_cuts": ["a"]},
+    {"table": "t", "jdbc": JDBC, "predicates": ["a = 1"], "partition_column": "a"},
+])
+def test_cuts_that_make_no_sense(options):
+    with pytest.raises(ValueError, match="predicates|partition_cuts"):
+        SideSpec(**options)
