@@ -22,7 +22,7 @@ several parts of its items, each with a pass over the documents.
 Cases: NULL and empty texts, and those of fewer than five words, have no shingles and match
 nothing. Words are runs of letters and digits, A-Z in lower case, so punctuation and white space
 don't matter. A document shorter than the item is one window. Verdicts belong to a row's id and text,
-so rows with equal ids and different texts, or NULL ids, are told apart, and repeated rows agree.
+so rows with equal ids and different texts, or NULL ids, are told apart, and repeated rows agree. Items with a NULL id count like others.
 """
 
 from __future__ import annotations
@@ -166,7 +166,9 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, text_hash, item, similarity): every item that a document holds, with its best window."""
     folder = shared_folder(documents.sparkSession)
-    items = written(prepare_items(benchmark, item_id, item_text), folder, "items")
+    # items go by a number of their own, as ids may be NULL or repeated
+    numbered = prepare_items(benchmark, item_id, item_text).withColumnRenamed("item", "item_id")
+    items = written(numbered.withColumn("item", F.monotonically_increasing_id()), folder, "items")
     size = items.agg(F.sum("size").alias("all"), F.max("size").alias("largest")).first()
     parts = -(-(size["all"] or 0) // broadcast_shingles) or 1
     shingled = documents.select(
@@ -176,10 +178,12 @@ def contaminated(
     for part in range(parts):
         some = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part) if parts > 1 else items
         windows = written(windows_of(shingled, some, size["largest"] or 1), folder, f"windows_{part}")
-        pairs = near_items(windows, some.drop("bag"))
-        bags = some.select("item", F.col("bag").alias("item_bag"))
+        pairs = near_items(windows, some.drop("bag", "item_id"))
+        bags = some.select("item", "item_id", F.col("bag").alias("item_bag"))
         checked = pairs.join(bags, "item").withColumn("similarity", bag_similarity(F.col("bag"), F.col("item_bag")))
-        hits = checked.where(F.col("similarity") >= LEAST_SIMILARITY).select("doc_id", "text_hash", "item", "similarity")
+        hits = checked.where(F.col("similarity") >= LEAST_SIMILARITY).select(
+            "doc_id", "text_hash", F.col("item_id").alias("item"), "similarity"
+        )
         found = hits if found is None else found.unionAll(hits)
     return found.groupBy("doc_id", "text_hash", "item").agg(F.max("similarity").alias("similarity"))
 
@@ -189,10 +193,13 @@ def text_key(text: Column) -> Column:
 
 
 def judge(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, contaminated, n_items, items (ids in order), similarity (of the best window)."""
+    """One row per document: doc_id, contaminated, n_items, items (ids in order), similarity (of the best window).
+
+    Items without an id count as one in ``n_items`` and aren't listed in ``items``.
+    """
     hits = contaminated(documents, benchmark, doc_id, text)
     per_document = hits.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).agg(
-        F.sort_array(F.collect_set("item")).alias("items"), F.max("similarity").alias("similarity")
+        F.sort_array(F.collect_set("item")).alias("items"), F.count("*").alias("n_items"), F.max("similarity").alias("similarity")
     )
     rows = documents.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("text_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
@@ -200,7 +207,7 @@ def judge(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     return joined.select(
         "doc_id",
         F.col("items").isNotNull().alias("contaminated"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast(per_document.schema["items"].dataType)).alias("items"),
         F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
     )

@@ -123,6 +123,13 @@ def test_edge_cases(spark):
     assert [row.contaminated for row in judged(spark, docs[:1], [])[0].collect()] == [False]
 
 
+def test_items_without_an_id_count(spark):
+    one, other = "one two three four five six seven eight nine ten", "red orange yellow green blue indigo violet black white"
+    docs = [(1, one), (2, f"before it {other} and after"), (3, f"{one} {other}"), (4, "clean words only here and now")]
+    out = judged(spark, docs, [(None, one), (None, other), (7, other)])[0].orderBy("doc_id").collect()
+    assert [(r.contaminated, r.n_items, r["items"]) for r in out] == [(True, 1, []), (True, 2, [7]), (True, 2, [7]), (False, 0, [])]
+
+
 def test_stage_drops_contaminated_rows_only(spark, tmp_path):
     docs, items = sample()
     spark.createDataFrame(items, ITEMS).write.parquet(str(tmp_path / "benchmark.parquet"))
