@@ -122,6 +122,7 @@ def _read(html: str) -> tuple[list[str], list[Block]]:
     path: list[str] = []
     tags: list[str] = []
     held: Block | None = None
+    inside: list[str] = []
     hidden = links = at = 0
 
     def close(depth: int) -> None:
@@ -162,6 +163,13 @@ def _read(html: str) -> tuple[list[str], list[Block]]:
         closing, tag = match[1], (match[2] or "").lower()
         if not tag:
             continue
+        if hidden and tag in BLOCKS:
+            if not closing:
+                inside.append(tag)
+            elif tag in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(tag) :]
+            elif tag in tags:  # the end of a block around it ends a hidden element that isn't closed
+                hidden, inside = 0, []
         if tag in RAW and not closing:
             if match[3].endswith("/"):
                 continue
@@ -169,6 +177,7 @@ def _read(html: str) -> tuple[list[str], list[Block]]:
             at = end.end() if end else len(html)
         elif tag in HIDDEN:
             hidden = max(0, hidden + (-1 if closing else 1))
+            inside = inside if hidden else []
         elif tag == "a":
             links = max(0, links - 1) if closing else 1
         elif tag == "br":

@@ -4,8 +4,8 @@ A notice that occurs with at most k edits (letters inserted, deleted or replaced
 least one of any k + 1 pieces it is cut into unharmed. So one pass of an Aho-Corasick automaton
 over the whole text finds every piece, each piece names a stretch of text that may hold its
 notice, and only there the ``regex`` module looks for the notice within k edits. A
-stretch without a notice found in it has none within k edits; of notices close together, one with more edits that
-stands before a better one can be missed. Texts without a piece cost one pass.
+stretch is searched for its best match, then before and behind that, until nothing within k edits is left. Texts
+without a piece cost one pass.
 
 Notices are sought in the text's words joined by single blanks, so line breaks and punctuation
 between words don't count as edits. Spans are word positions, ends exclusive.
@@ -117,7 +117,7 @@ class NoticeSearch:
             notice, label, _ = self.notices[number]
             for begin, end in held:
                 blank = text.find(" ", end)  # a stretch doesn't end inside a word
-                for match in self.patterns[number].finditer(text, begin, len(text) if blank < 0 else blank):
+                for match in _matches(self.patterns[number], text, begin, len(text) if blank < 0 else blank):
                     starts = starts or [0, *accumulate(len(word) + 1 for word in words)]
                     edits = sum(match.fuzzy_counts)
                     first, last = bisect_right(starts, match.start()) - 1, bisect_right(starts, match.end() - 1) - 1
@@ -131,6 +131,17 @@ class NoticeSearch:
         return kept
 
 
+def _matches(pattern: regex.Pattern, text: str, begin: int, end: int) -> Iterator[regex.Match]:
+    """All matches in a stretch: the best one, then those before and behind it."""
+    parts = [(begin, end)]
+    while parts:
+        low, high = parts.pop()
+        match = pattern.search(text, low, high) if low < high else None
+        if match and match.end() > match.start():
+            yield match
+            parts += [(match.end(), high), (low, match.start())]
+
+
 def _merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for begin, end in sorted(stretches):

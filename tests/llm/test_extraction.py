@@ -152,3 +152,13 @@ def test_every_stream_matches_a_merged_wrapper(seed):
 def test_folded_slots_keep_their_blocks():
     page = extraction.Page("<ul><li>a<li>b<li>c</ul><p>d</p><ul><li>e</ul>")
     assert [text for text, _ in page.blocks] == list("abcde") and page.places == [0, 0, 0, 1, 2]
+
+
+@pytest.mark.parametrize(("html", "texts"), [
+    ("<article><p>first</p><div><button>Go<p>inside</p></div><p>second</p></article><p>third</p>", ["first", "second", "third"]),
+    ("<article><p>one <select><option>a</p><p>two</p></article>", ["one ", "two"]),
+    ("<div><button>Go<div><p>inside</div> still inside</button><p>after</div>", ["after"]),
+    ("<div><video><p>no<object><p>no</div><p>after", ["after"]),
+])
+def test_hidden_elements_end_with_the_block_around_them(html, texts):
+    assert ["".join(block.pieces) for block in extraction._read(html)[1]] == texts

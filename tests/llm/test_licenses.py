@@ -76,6 +76,16 @@ def test_too_many_edits_and_likest_notice(spark):
     assert rows[3].base_labels == "" and [(s.start, s.end, s.edits) for s in rows[3].spans] == [(0, 8, 2)]
 
 
+def test_notices_close_together(spark):
+    good, bad = "released under the mit license", "released undr the mit license"
+    for text in (f"{bad} {good}", f"{good} {bad}", f"{bad} {good} {bad}", f"{bad} and {bad} {good} {good} x {bad}"):
+        search = licenses.NoticeSearch({good: "mit"})
+        spans = search.find(text.split())
+        words = text.split()
+        wanted = [n for n in range(len(words) - 4) if " ".join(words[n : n + 5]) in (good, bad)]
+        assert [(span.start, span.end, span.edits) for span in spans] == [(n, n + 5, int(words[n + 1] == "undr")) for n in wanted]
+
+
 def test_empty_table_and_clashing_names(spark):
     frame = spark.createDataFrame([], "doc_id long, text string, labels string, score string")
     out = licenses.scan_licenses(frame, F.col("text"), "found")
