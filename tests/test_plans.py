@@ -103,3 +103,11 @@ def test_kept_rows_serve_all_sets(spark):
     shuffled = compare(*pair(spark), "o_orderkey", Options(broadcast_bytes=0))
     shuffled.keep_differing_rows()
     assert "orders.parquet" in plan_of(shuffled.source_only())
+
+
+def test_pairs_of_few_rows_are_made_by_several_tasks(spark):
+    rows = spark.range(2500).selectExpr("CAST(id < 5000 AS INT) AS nation", "id AS number", "'a' AS name").coalesce(1)
+    pairs = compare(rows, rows, "nation").matched()
+    per_task = pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(row["count"] for row in per_task) == 6_250_000
+    assert len(per_task) > 1
