@@ -1,10 +1,11 @@
 """Row counts per business key: the base of every count and every difference set.
 
-No rows are paired up here, and pair counts are products of row counts. Both sides are
-stacked and summed up per key in one shuffle: rows per side, and the smallest and
-largest digest per side, which settles every key with one digest on each side. Only keys with
-several digests are counted again, per (key, digest) and then per key. All sums have a map-side
-part, so a key that holds a third of all rows shrinks to one record per task before it travels.
+No rows are paired up here, and pair counts are products of row counts. Where keys are nearly
+unique, both sides are stacked and summed up per key in one shuffle: rows per side, and the smallest
+and largest digest per side, which settles every key with one digest on each side; the few keys with
+several digests are counted again. Where many keys have several rows, both sides are counted once per
+(key, digest) and the counts summed up per key. All sums have a map-side part, so a key that
+holds a third of all rows shrinks to one record per task before it travels.
 """
 
 from __future__ import annotations
@@ -35,36 +36,45 @@ def stacked(source: DataFrame, target: DataFrame, *extra: str) -> DataFrame:
     return marked(source, 1, 0).unionByName(marked(target, 0, 1))
 
 
+SIDES = ("source", "target")
+HALVES = ("high", "low")
+# Digests meet as two 64-bit hashes of their halves, fixed-width words that keep aggregates on hash maps;
+# SHA-256 digests that differ share both with a probability of 2^-128.
+WORDS = {half: f"xxhash64(substr({DIGEST}, {at}, 32))" for half, at in zip(HALVES, (1, 33))}
+
+
 def key_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row per key: rows on each side, pairs, and pairs with equal digests."""
-    per_digest = stacked(source, target).groupBy(KEY, "digest").agg(
-        F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows")
-    )
-    per_key = per_digest.groupBy(KEY).agg(
-        F.sum("source_rows").alias("source_rows"),
-        F.sum("target_rows").alias("target_rows"),
-        F.sum(product("source_rows", "target_rows")).cast(PAIRS).alias("same_pairs"),
-    )
-    return per_key.withColumn("pairs", product("source_rows", "target_rows"))
 
+    def marked(df: DataFrame, own: str) -> DataFrame:
+        words = [f"{word} AS {half}" for half, word in WORDS.items()]
+        return df.selectExpr(KEY, *words, *[f"{int(side == own)}L AS {side}_rows" for side in SIDES])
+
+    sums = [F.sum(f"{side}_rows").alias(f"{side}_rows") for side in SIDES]
+    per_digest = marked(source, "source").unionByName(marked(target, "target")).groupBy(KEY, *HALVES).agg(*sums)
+    same = F.sum(product("source_rows", "target_rows")).cast(PAIRS).alias("same_pairs")
+    return per_digest.groupBy(KEY).agg(*sums, same).withColumn("pairs", product("source_rows", "target_rows"))
 
-SIDES = ("source", "target")
-HALVES = ("high", "low")
 
+# Share of rows that may have a key of an earlier row where keys count as nearly unique.
+# approx_count_distinct is off by 5 % as a rule, which can change the plan but no count.
+REPEATED = 0.15
 
-def key_sums(source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row per key, in one shuffle: rows on each side, whether each side has one digest, and whether those are equal.
 
-    Digests meet as two 64-bit hashes of their halves, fixed-width words that keep this a
-    hash aggregate; SHA-256 digests that differ share both with a probability of 2^-128.
-    """
+def nearly_unique(keys: DataFrame) -> bool:
+    """Whether few rows share their key: one number per task, nothing else is shuffled."""
+    found = keys.agg(F.count("*").alias("all"), F.approx_count_distinct(KEY).alias("distinct")).first()
+    return found["distinct"] >= (1 - REPEATED) * found["all"]
+
+
+def key_sums(source: DataFrame, target: DataFrame) -> DataFrame:
+    """One row per key, in one shuffle: rows on each side, whether each side has one digest, and whether those are equal."""
 
     def marked(df: DataFrame, own: str) -> DataFrame:
-        words = {half: f"xxhash64(substr({DIGEST}, {at}, 32))" for half, at in zip(HALVES, (1, 33))}
         return df.selectExpr(
             KEY,
             *[f"{int(side == own)}L AS {side}_rows" for side in SIDES],
-            *[f"{words[half] if side == own else 'CAST(NULL AS BIGINT)'} AS {side}_{half}" for side in SIDES for half in HALVES],
+            *[f"{WORDS[half] if side == own else 'CAST(NULL AS BIGINT)'} AS {side}_{half}" for side in SIDES for half in HALVES],
         )
 
     words = [f"{side}_{half}" for side in SIDES for half in HALVES]
@@ -80,6 +90,7 @@ def key_sums(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 IS_PLAIN = "single AND same AND source_rows = 1 AND target_rows = 1"
+IS_PLAIN_COUNT = "source_rows = 1 AND target_rows = 1 AND same_pairs = 1"
 
 
 def settled(sums: DataFrame) -> DataFrame:

@@ -109,6 +109,8 @@ class Comparison:
     @cached_property
     def records(self) -> DataFrame:
         """The ledger: a record per key that needs attention and one for all others, written to the shared folder."""
+        if not ledger.nearly_unique(self.source.select(KEY)):
+            return self._counted_records()
         plain = Observation()
         sums = ledger.key_sums(self._digested(self.source), self._digested(self.target))
         sums = sums.observe(plain, F.count_if(F.expr(ledger.IS_PLAIN)).alias("keys"))
@@ -125,6 +127,13 @@ class Comparison:
         counted = self.store(ledger.counted(ledger.key_counts(*sides)), "digest_counts")
         return records.unionByName(counted)
 
+    def _counted_records(self) -> DataFrame:
+        """The ledger where many keys have several rows: every row is read, digested and shuffled once."""
+        plain = Observation()
+        counts = self.key_counts().observe(plain, F.count_if(F.expr(ledger.IS_PLAIN_COUNT)).alias("keys"))
+        kept = self.store(ledger.counted(counts.where(f"NOT ({ledger.IS_PLAIN_COUNT})")), "key_counts")
+        return ledger.plain_record(kept, plain.get["keys"]).unionByName(kept)
+
     @cached_property
     def totals(self) -> ledger.Totals:
         return ledger.totals(self.records, self.options.pair_rows)

@@ -111,3 +111,16 @@ def test_pairs_of_few_rows_are_made_by_several_tasks(spark):
     per_task = pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(row["count"] for row in per_task) == 6_250_000
     assert len(per_task) > 1
+
+
+def test_rows_of_repeated_keys_are_digested_and_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "key_sums", None)  # for nearly unique keys only
+    rows = spark.range(200).selectExpr("id % 50 AS shelf", "id AS box")
+    comparison = compare(rows, rows.where("box < 190"), "shelf", Options(broadcast_bytes=0))
+    stored = []
+    monkeypatch.setattr(comparison, "store", lambda df, name, store=comparison.store: (stored.append(name), store(df, name))[1])
+    counts = comparison.counts().first()
+    assert (counts.source_rows, counts.target_rows, int(counts.matched), int(counts.changed)) == (200, 190, 760, 570)
+    assert stored == ["key_counts"]
+    plan = plan_of(comparison.key_counts())
+    assert "Sort" not in plan and "Join" not in plan and len(re.findall(r"Exchange hashpartitioning", plan)) == 2
