@@ -223,6 +223,11 @@ class Comparison:
     def _crowded(self) -> Column:
         return ledger.is_crowded(self.options.pair_rows)
 
+    @property
+    def _same_digest_columns(self) -> bool:
+        """Whether the digests of both sides cover the common columns and no other."""
+        return self.options.digest_columns == "common" or set(self.source.columns) == set(self.target.columns)
+
     @property
     def _mostly_changed(self) -> bool:
         """Whether a filter by changed keys would keep most rows of both sides."""
@@ -330,7 +335,8 @@ class Comparison:
         if self.totals.crowded_changed:
             wanted = self._crowded & ledger.is_changed()
             rows = [self._filtered(side, wanted, self.totals.crowded_bytes) for side in ledger.SIDES]
-            parts.append(differences.counted_by_value(*rows, names, self.totals.crowded_pairs, self.store))
+            told_apart = self._same_digest_columns and differences.digests_tell_apart(*rows, names)
+            parts.append(differences.counted_by_value(*rows, names, self.totals.crowded_pairs, told_apart, self.store))
         return differences.summed(*parts)
 
     @cached_property

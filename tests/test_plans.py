@@ -124,3 +124,18 @@ def test_rows_of_repeated_keys_are_digested_and_shuffled_once(spark, monkeypatch
     assert stored == ["key_counts"]
     plan = plan_of(comparison.key_counts())
     assert "Sort" not in plan and "Join" not in plan and len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+
+
+def test_values_are_counted_without_storing_rows(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("id % 2 = 0 AS even", "id AS box", "IF(id < 5, 'a|', 'b') AS note", "id % 7 AS day")
+    target = rows.withColumn("day", F.when(F.col("box") < 30, F.col("day") + 1).otherwise(F.col("day")))
+    for source, other, looked_into in ((rows, target, True), (rows.drop("note"), target.drop("note"), False)):
+        comparison = compare(source, other, "even")
+        stored = []
+        monkeypatch.setattr(comparison, "store", lambda df, name, store=comparison.store: (stored.append(name), store(df, name))[1])
+        found = {r.column_name: int(r.differences) for r in comparison.column_differences().collect()}
+        pairs = source.alias("s").join(other.alias("t"), "even").where("NOT (s.box <=> t.box AND s.day <=> t.day)")
+        names = [name for name in source.columns if name != "even"]
+        plain = pairs.agg(*[F.count_if(F.expr(f"NOT (s.{name} <=> t.{name})")).alias(name) for name in names]).first().asDict()
+        assert found == plain
+        assert "distinct_rows" not in stored and ("ambiguous_digests" in stored) is looked_into
