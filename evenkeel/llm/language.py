@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import batches, read_table, remainder, ship_package
+from evenkeel.llm.common import batches, read_table, remainder, ship_package, unused
 
 UNDETERMINED = "und"
 BLANK = 32
@@ -153,15 +153,21 @@ def predictions(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents with a letter stay; all others, which have no language, go.
+    """Pipeline stage: identify every document's language, from profiles of all labelled ones.
 
-    A letter test only, whatever the labels: no profile is learned, as a low cosine may be a short or
-    mixed text that is worth keeping, so no prediction or score would decide anything.
+    Documents without a language (``und``: NULL texts and texts without letters) go, and a missing label
+    becomes the language found. A low cosine may be a short or mixed text that is worth keeping, so
+    no score rejects a text. Where nothing is labelled no language is known, and a letter is enough.
     """
     ship_package(spark)
+    names, table = train(docs, F.col("text"), F.col("lang"))
+    if not names:
 
-    @F.pandas_udf("boolean")
-    def has_letters(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(letter_codes(text)) > 0 for text in texts], dtype=bool)
+        @F.pandas_udf("boolean")
+        def has_letters(texts: pd.Series) -> pd.Series:
+            return pd.Series([len(letter_codes(text)) > 0 for text in texts], dtype=bool)
 
-    return docs.where(has_letters(F.col("text")))
+        return docs.where(has_letters(F.col("text")))
+    (found,) = unused(docs, "found")
+    identified = identify(docs, F.col("text"), names, table, found).where(F.col(f"{found}.lang_pred") != UNDETERMINED)
+    return identified.withColumn("lang", F.coalesce("lang", f"{found}.lang_pred")).select(docs.columns)

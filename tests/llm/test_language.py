@@ -83,3 +83,11 @@ def test_stage_keeps_texts_with_letters_where_nothing_is_labelled(spark):
     data = [(1, "kalo mitu", None), (2, "12 !!", None), (3, None, None), (4, "é", None)]
     kept = language.keep_identified(spark, spark.createDataFrame(data, SCHEMA), "")
     assert sorted(row.doc_id for row in kept.collect()) == [1, 4]
+
+
+def test_stage_identifies_texts_that_have_no_label(spark):
+    data = [(n, "kalo mitu sane lomi kalo", "aa") for n in range(4)] + [(n, "wexy quzz vybe wexy", "bb") for n in range(4, 8)]
+    data += [(8, "kalo sane mitu", None), (9, "quzz wexy", None), (10, "12 !!", None), (11, None, "aa")]
+    kept = language.keep_identified(spark, spark.createDataFrame(data, SCHEMA), "")
+    assert kept.columns == ["doc_id", "text", "lang"]
+    assert {row.doc_id: row.lang for row in kept.collect()} == {n: "aa" if n < 4 or n == 8 else "bb" for n in range(10)}
