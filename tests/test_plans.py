@@ -139,3 +139,11 @@ def test_values_are_counted_without_storing_rows(spark, monkeypatch):
         plain = pairs.agg(*[F.count_if(F.expr(f"NOT (s.{name} <=> t.{name})")).alias(name) for name in names]).first().asDict()
         assert found == plain
         assert "distinct_rows" not in stored and ("ambiguous_digests" in stored) is looked_into
+
+
+def test_listed_rows_are_joined_by_numbers_first(spark):
+    rows = spark.range(40).selectExpr("id % 2 AS shelf", "id AS digest", "id * 2 AS high")
+    listed = compare(rows, rows.where("digest > 3"), "shelf").matched("rows")
+    assert {(r.source.digest, r.source.high) for r in listed.where("side = 'source'").collect()} == {(n, 2 * n) for n in range(40)}
+    for keys in re.findall(r"HashAggregate\(keys=\[([^\]]*)\], functions=\[sum\(source_rows", plan_of(listed)):
+        assert keys.startswith("high")
