@@ -16,6 +16,7 @@ repeated task draws the same. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,8 +32,8 @@ SEED = 20_240_101
 ROUNDS = 30
 #: largest deviation of a share from its target that ends the fitting
 TOLERANCE = 1e-5
-#: rounds between two writes; each writes a table of cells and ends the lineage
-ROUNDS_PER_WRITE = 2
+#: rounds between two looks at the deviation
+ROUNDS_PER_CHECK = 2
 BROADCAST_CELLS = 200_000
 
 #: the first topic one of whose words occurs in the text
@@ -89,20 +90,19 @@ def target_shares(cells: DataFrame, dimension: str, targets: dict[str, float] |
     return raw.select(dimension, (F.col("raw") / F.lit(_total(raw, "raw"))).alias("target"))
 
 
-def _scaled(cells: DataFrame, dimension: str, targets: DataFrame) -> DataFrame:
+def _scaled(cells: DataFrame, dimension: str) -> DataFrame:
     """Scale the cells so that this dimension's categories have their targets."""
-    sums = cells.groupBy(dimension).agg(F.sum("weight").alias("held")).join(targets, dimension)
-    factor = sums.select(dimension, F.when(F.col("held") > 0, F.col("target") / F.col("held")).alias("factor"))
-    joined = cells.join(factor, dimension, "left")
-    return joined.withColumn("weight", F.coalesce(F.col("weight") * F.col("factor"), F.lit(0.0))).drop("factor")
+    joined = cells.join(cells.groupBy(dimension).agg(F.sum("weight").alias("held")), dimension)
+    factor = F.when(F.col("held") > 0, F.col(f"target_{dimension}") / F.col("held"))
+    return joined.withColumn("weight", F.coalesce(F.col("weight") * factor, F.lit(0.0))).drop("held")
 
 
-def _largest_deviation(cells: DataFrame, targets: dict[str, DataFrame]) -> float:
+def _largest_deviation(cells: DataFrame, dimensions: Iterable[str]) -> float:
+    """Of a category's share from its target, over those that have one."""
     worst = 0.0
-    for dimension, wanted in targets.items():
-        sums = cells.groupBy(dimension).agg(F.sum("weight").alias("held")).join(wanted, dimension, "right")
-        off = sums.agg(F.max(F.abs(F.coalesce("held", F.lit(0.0)) - F.col("target")))).first()[0]
-        worst = max(worst, off or 0.0)
+    for dimension in dimensions:
+        sums = cells.groupBy(dimension).agg(F.sum("weight").alias("held"), F.max(f"target_{dimension}").alias("target"))
+        worst = max(worst, sums.agg(F.max(F.abs(F.col("held") - F.col("target")))).first()[0] or 0.0)
     return worst
 
 
@@ -112,21 +112,20 @@ def rake(
     """Adds ``weight`` to (source, language, topic, tokens) cells: shares of the whole that meet all targets.
 
     The cells are a table whatever their number: sums, joins and a write to the shared
-    folder every ``ROUNDS_PER_WRITE`` rounds.
+    folder each time they are scaled. They carry their targets. Without the write every scaling
+    would hold the plan before it twice, as the cells and in their sums.
     """
     folder = shared_folder(cells.sparkSession)
-    wanted = {
-        name: written(target_shares(cells, name, target), folder, f"target_{name}") for name, target in targets.items()
-    }
     held = cells.withColumn("weight", F.col("tokens") / F.lit(_total(cells, "tokens")))
-    for done in range(ROUNDS_PER_WRITE, rounds + ROUNDS_PER_WRITE, ROUNDS_PER_WRITE):
-        for _ in range(ROUNDS_PER_WRITE):
-            for dimension, shares in wanted.items():
-                held = _scaled(held, dimension, shares)
-        held = written(held, folder, f"cells_{done}")
-        if _largest_deviation(held, wanted) <= tolerance:
+    for name, target in targets.items():
+        held = held.join(target_shares(cells, name, target).withColumnRenamed("target", f"target_{name}"), name, "left")
+    held = written(held, folder, "cells_0")
+    for done in range(1, rounds + 1):
+        for dimension in targets:
+            held = written(_scaled(held, dimension), folder, f"cells_{done}_{dimension}")
+        if done % ROUNDS_PER_CHECK == 0 and _largest_deviation(held, targets) <= tolerance:
             break
-    return held
+    return held.select(*cells.columns, "weight")
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:

@@ -105,3 +105,15 @@ def test_edge_cases(spark):
     assert mixed(spark, [])[0] == []
     kept = mixing.mix_stage(spark, frame(spark, rows), "")
     assert kept.columns[:6] == ["doc_id", "text", "source", "lang", "weight", "topic"] and len(kept.columns) == 8
+
+
+def test_plans_of_raking_stay_small(spark, monkeypatch):
+    plans, write = [], mixing.written
+
+    def noted(df, folder, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("Join ")))
+        return write(df, folder, name)
+
+    monkeypatch.setattr(mixing, "written", noted)
+    mixing.mix(frame(spark, sample(300)))
+    assert plans and max(joins for _, joins in plans) <= len(mixing.DIMENSIONS), plans
