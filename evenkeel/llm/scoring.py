@@ -32,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -46,7 +47,7 @@ QUERY_ORDER = 3
 DISCOUNT = 0.75
 CHUNK_TOKENS = 1_000_000
 #: characters of text for each shard
-SHARD_CHARS = 16_000_000
+SHARD_CHARS = 10_000_000
 HOT_COUNT = 200_000
 MOST_HOT = 1_000_000
 #: hashes that stand for the end and the beginning of a text
@@ -85,6 +86,41 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def ordered(values: np.ndarray) -> np.ndarray:
+    """What sorts numbers from 0 in ascending order, equal ones as they come.
+
+    Where a number and its place fit into 64 bits together, these are sorted, which is much faster.
+    """
+    bits = len(values).bit_length()
+    if not len(values) or int(values.max()).bit_length() + bits > 64:
+        return np.argsort(values, kind="stable")
+    return _places(values.astype(np.uint64) << np.uint64(bits), bits)
+
+
+def grouped(hashes: np.ndarray) -> np.ndarray:
+    """What brings different hashes into about ascending order: by all bits but those that their places take."""
+    bits = len(hashes).bit_length()
+    return _places(hashes >> np.uint64(bits) << np.uint64(bits), bits)
+
+
+def _places(values: np.ndarray, bits: int) -> np.ndarray:
+    """The order of values whose last bits are free for their places; in place."""
+    values |= np.arange(len(values), dtype=np.uint64)
+    values.sort()
+    values &= np.uint64((1 << bits) - 1)
+    return values.astype(np.int32 if bits < 32 else np.int64)
+
+
+def starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = columns[0][1:] != columns[0][:-1]
+    for column in columns[1:]:
+        out[1:] |= column[1:] != column[:-1]
+    return out
+
+
 class Chunk:
     """Some documents as word numbers: for each, the beginning, its words and its end."""
 
@@ -93,71 +129,97 @@ class Chunk:
         self.document = np.repeat(np.arange(len(lengths)), lengths)
 
     @classmethod
-    def of(cls, texts: list[str | None], training: list[bool]) -> Chunk:
-        numbers = {b"": 0, b" ": 1}  # no word is empty or a blank: the end and the beginning
-        tokens, lengths = [], []
-        for text in texts:
-            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-            tokens.append(1)
-            tokens.extend([numbers.setdefault(word, len(numbers)) for word in words])
-            tokens.append(0)
-            lengths.append(len(words) + 2)
-        hashes = hash_words(list(numbers))
-        hashes[0], hashes[1] = END, BEGIN
-        return cls(np.array(tokens, np.int64), np.array(lengths, np.int64), hashes, np.array(training, bool))
-
-    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """(contexts, words): the n-gram that ends at each token; before the text there are only beginnings."""
-        words = self.hashes[self.tokens]
-        context = np.zeros(len(words), np.uint64)
-        start = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        with np.errstate(over="ignore"):
-            for back in range(order - 1, 0, -1):
-                place = np.maximum(np.arange(len(words)) - back, start)
-                context = mixed(context * MULTIPLIER + words[place])
-        return context, words
-
-    def distinct(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(contexts, words, training counts) of the different n-grams in ascending order, and each token's place among them.
-
-        The beginning of a text counts as a word of order 1, so that frequent contexts are
-        known, and ends no longer n-gram.
+    def of(cls, texts: pa.Array, training: np.ndarray) -> Chunk:
+        """Words are numbered in the order in which they first come, after the end and the beginning."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        found = lists.flatten().dictionary_encode()
+        numbers = found.indices.to_numpy().astype(np.int64)
+        words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        document = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        if b"" in words:  # what a text with white space at an end is split into there
+            blank = words.index(b"")
+            numbers, document = numbers[numbers != blank], document[numbers != blank]
+            numbers -= numbers > blank
+            del words[blank]
+        lengths = np.bincount(document, minlength=len(lists)) + 2
+        tokens = np.zeros(lengths.sum(), np.int64)
+        tokens[np.cumsum(lengths) - lengths] = 1
+        tokens[np.arange(len(numbers)) + 2 * document + 1] = numbers + 2
+        return cls(tokens, lengths, np.concatenate([[END, BEGIN], hash_words(words)]), training)
+
+    def levels(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each order up to ``most``: (contexts, words, training counts) of the different n-grams, and each token's place among them.
+
+        n-grams of a context stand together. The beginning of a text counts as a word of order 1, so that
+        frequent contexts are known, and ends no longer n-gram; before the text there are only beginnings.
+        The context of a token is the shorter n-gram that ends at the one before, so n-grams are told apart as
+        pairs of its number and the token's.
         """
-        context, words = self.grams(order)
-        document = self.document
-        if order > 1:
-            inside = self.tokens != 1
-            context, words, document = context[inside], words[inside], document[inside]
-        by = np.lexsort((words, context)) if order > 1 else np.argsort(words, kind="stable")
-        fresh = np.concatenate([[True], (context[by][1:] != context[by][:-1]) | (words[by][1:] != words[by][:-1])])
-        place = np.empty(len(words), np.int64)
-        place[by] = np.cumsum(fresh) - 1
-        first = by[fresh]
-        counts = np.bincount(place, self.training[document], len(first)).astype(np.int64)
-        return context[first], words[first], counts, place
+        training = self.training[self.document]
+        different = len(self.hashes)
+        contexts, words = np.zeros(different, np.uint64), np.arange(different)
+        yield contexts, self.hashes, np.bincount(self.tokens, training, different).astype(np.int64), self.tokens
+        ends = np.flatnonzero(self.tokens != 1)
+        tokens, training = self.tokens[ends], training[ends].astype(np.int64)
+        shorter, beginnings = self.tokens, np.zeros(1, np.uint64)
+        for _ in range(1, most):
+            with np.errstate(over="ignore"):
+                hashes = mixed(contexts * MULTIPLIER + self.hashes[words])
+                beginnings = mixed(beginnings * MULTIPLIER + BEGIN)
+            by = grouped(hashes)
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            pairs = rank[shorter[ends - 1]]
+            pairs *= different
+            pairs += tokens
+            order = ordered(pairs)
+            pairs = pairs[order]
+            fresh = starts(pairs)
+            place = np.empty(len(pairs), order.dtype)
+            place[order] = np.cumsum(fresh, dtype=order.dtype) - 1
+            counts = np.add.reduceat(training[order], np.flatnonzero(fresh))
+            rank, words = np.divmod(pairs[fresh], different)
+            contexts = hashes[by[rank]]
+            del hashes, by, rank, pairs, order, fresh  # a chunk's arrays are its task's memory
+            yield contexts, self.hashes[words], counts, place
+            shorter = np.full(len(self.tokens), len(words), place.dtype)  # at the beginning of a text: beginnings alone
+            shorter[ends] = place
+            contexts, words = np.append(contexts, beginnings), np.append(words, 1)
 
 
 def dealt(contexts: np.ndarray, words: np.ndarray, order: int, hot: np.ndarray, shards: int) -> np.ndarray:
     """The shard of each n-gram: by its context, for hot ones by its word."""
-    by_word = np.isin(contexts, hot) if order > 1 else np.ones(len(words), bool)
-    return (np.where(by_word, mixed(contexts ^ mixed(words)), contexts) % np.uint64(shards)).astype(np.int64)
+    if order == 1:
+        dealt_by = mixed(contexts ^ mixed(words))
+    else:
+        by_word = np.isin(contexts, hot) if len(hot) else np.zeros(len(words), bool)
+        dealt_by = contexts.copy()
+        dealt_by[by_word] = mixed(contexts[by_word] ^ mixed(words[by_word]))
+    return (dealt_by % np.uint64(shards)).astype(np.int64)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, list, Chunk]]:
     """(name, doc_ids, chunk) of a partition's documents, whole, about ``most`` tokens each."""
-    ids, texts, training, held, number = [], [], [], 0, 0
-    part = TaskContext.get().partitionId()
+    part, held, size, number = TaskContext.get().partitionId(), [], 0, 0
     for batch in batches:
-        for doc_id, text, is_training in zip(*(batch[name].to_pylist() for name in ("doc_id", "text", "training")), strict=True):
-            ids.append(doc_id)
-            texts.append(text)
-            training.append(is_training)
-            held += len(text or "") // 6 + 2
-            if held >= most:
-                yield f"{part}-{number}", ids, Chunk.of(texts, training)
-                ids, texts, training, held, number = [], [], [], 0, number + 1
-    if ids:
-        yield f"{part}-{number}", ids, Chunk.of(texts, training)
+        begin, sizes = 0, pc.binary_length(batch["text"]).fill_null(0).to_pylist()
+        for at, length in enumerate(sizes, 1):
+            size += length // 6 + 2
+            if size >= most:
+                yield f"{part}-{number}", *_cut([*held, batch.slice(begin, at - begin)])
+                begin, held, size, number = at, [], 0, number + 1
+        if begin < len(sizes):
+            held.append(batch.slice(begin))
+    if held:
+        yield f"{part}-{number}", *_cut(held)
+
+
+def _cut(batches: list[pa.RecordBatch]) -> tuple[list, Chunk]:
+    # concatenated, as kernels have got slices wrong that don't begin at 0
+    ids, texts, training = (pa.concat_arrays([batch[name] for batch in batches]) for name in ("doc_id", "text", "training"))
+    chunk = Chunk.of(texts, training.to_numpy(zero_copy_only=False).astype(bool))
+    pa.default_memory_pool().release_unused()  # the words are numbers now
+    return ids.to_pylist(), chunk
 
 
 def _message(kind: str, chunk: str, shard: int, payload: bytes = b"", total: int = 0, different: int = 0) -> tuple:
@@ -173,9 +235,10 @@ def questions(order: int, hot: np.ndarray, shards: int, most: int) -> Callable:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, chunk in chunks(batches, most):
-            contexts, words, counts, _ = chunk.distinct(order)
+            for contexts, words, counts, _ in chunk.levels(order):
+                pass
             target = dealt(contexts, words, order, hot, shards)
-            by = np.argsort(target, kind="stable")
+            by = ordered(target)
             bounds = np.searchsorted(target[by], np.arange(shards + 1))
             rows = []
             for shard in np.flatnonzero(np.diff(bounds)):
@@ -187,9 +250,9 @@ def questions(order: int, hot: np.ndarray, shards: int, most: int) -> Callable:
 
 
 def _asked(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> bytes:
-    different, run = np.unique(contexts, return_counts=True)
+    first = np.flatnonzero(starts(contexts))
     vocabulary, number = np.unique(words, return_inverse=True)
-    return pack(different, run, vocabulary, number, counts)
+    return pack(contexts[first], np.diff(first, append=len(contexts)), vocabulary, number, counts)
 
 
 def answers(order: int, discount: float, hot: np.ndarray, keep: bool) -> Callable:
@@ -198,29 +261,32 @@ def answers(order: int, discount: float, hot: np.ndarray, keep: bool) -> Callabl
     def work(table: pa.Table) -> pa.Table:
         names, shard = table["chunk"].to_pylist(), table["shard"][0].as_py()
         asked = [unpack(payload) for payload in table["payload"].to_pylist()]
-        contexts = np.concatenate([np.repeat(context, run) for context, run, *_ in asked])
-        words = np.concatenate([vocabulary[number] for _, _, vocabulary, number, _ in asked])
         counts = np.concatenate([count for *_, count in asked]).astype(np.int64)
+        asked_contexts, rank = _ranks([context for context, *_ in asked])
+        vocabulary, word = _ranks([vocabulary for _, _, vocabulary, *_ in asked])
+        pairs = np.concatenate(
+            [np.repeat(r, run) * len(vocabulary) + w[number] for r, w, (_, run, _, number, _) in zip(rank, word, asked, strict=True)]
+        )
         sizes = [len(count) for *_, count in asked]
-        by = np.lexsort((words, contexts))
-        contexts, words, counts = contexts[by], words[by], counts[by]
-        fresh = np.concatenate([[True], (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])])
-        group = np.cumsum(fresh) - 1
-        contexts, words = contexts[fresh], words[fresh]
-        sums = np.bincount(group, counts).astype(np.int64)
+        del asked, word
+        by = ordered(pairs)
+        pairs = pairs[by]
+        fresh = starts(pairs)
+        sums = np.add.reduceat(counts[by], np.flatnonzero(fresh))
+        back = np.empty(len(by), by.dtype)
+        back[by] = np.cumsum(fresh, dtype=by.dtype) - 1
+        place, spelt = np.divmod(pairs[fresh], len(vocabulary))
+        del by, pairs, fresh, counts
+        contexts, words = asked_contexts[place], vocabulary[spelt]
         seen = sums > 0
         data = TrieLevel.build(contexts[seen], words[seen], sums[seen], discount, exact=order == 1)
         level = TrieLevel(data)
 
-        asked_contexts, place = np.unique(contexts, return_inverse=True)
         number, totals, kinds = level.find_contexts(asked_contexts)
-        found = level.find(number[place], words)
+        found = level.find_among(number[place], vocabulary, spelt)
         value = np.where(found >= 0, level.values[found] if level.followers.n else 0, 0)
-        back = np.empty(len(by), np.int64)
-        back[by] = group
         out, at = [], 0
-        for name, size, (context, *_) in zip(names, sizes, asked, strict=True):
-            mine = np.searchsorted(asked_contexts, context)
+        for name, mine, size in zip(names, rank, sizes, strict=True):
             payload = pack(value[back[at : at + size]], totals[mine], kinds[mine], np.array([level.low, level.step]))
             out.append(_message("answer", name, shard, payload))
             at += size
@@ -238,6 +304,13 @@ def answers(order: int, discount: float, hot: np.ndarray, keep: bool) -> Callabl
     return work
 
 
+def _ranks(sequences: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different values of all sequences in ascending order, and each sequence as places among them."""
+    values = np.sort(np.concatenate(sequences))
+    different = values[starts(values)]
+    return different, [np.searchsorted(different, sequence) for sequence in sequences]
+
+
 def next_context(context: np.uint64, word: np.uint64) -> int:
     """The context that an n-gram is for the next order."""
     with np.errstate(over="ignore"):
@@ -329,8 +402,7 @@ def _scores(order: int, discount: float, shards: int, hot: dict, hot_totals: dic
         }
         inside = chunk.tokens != 1
         document, count = chunk.document[inside], len(chunk.lengths)
-        for level in range(1, order + 1):
-            contexts, words, _, place = chunk.distinct(level)
+        for level, (contexts, words, _, place) in enumerate(chunk.levels(order), 1):
             value, part, total, different = _read(replies, level, contexts, words, hot[level], shards)
             if level == 1:
                 known = value[place][inside]
@@ -368,14 +440,14 @@ def _read(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each n-gram its value (a count for order 1, else a share of the part's total), and its context's part and totals."""
     target = dealt(contexts, words, order, hot, shards)
-    by = np.argsort(target, kind="stable")
+    by = ordered(target)
     bounds = np.searchsorted(target[by], np.arange(shards + 1))
     value, part, different = np.zeros(len(words)), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     for shard in np.flatnonzero(np.diff(bounds)):
         mine = by[bounds[shard] : bounds[shard + 1]]
         codes, totals, kinds, scale = unpack(replies[order, int(shard)])
-        _, place = np.unique(contexts[mine], return_inverse=True)
-        if len(codes) != len(mine) or len(totals) != place.max() + 1:
+        place = np.cumsum(starts(contexts[mine])) - 1
+        if len(codes) != len(mine) or len(totals) != place[-1] + 1:
             raise ValueError("answers that don't fit the n-grams of their chunk")
         if order == 1:
             value[mine] = codes

@@ -176,9 +176,12 @@ class TrieLevel:
 
     def find(self, numbers: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Index of each (context number, word) pair, ascending in both, or -1."""
-        distinct, place = np.unique(words, return_inverse=True)
+        return self.find_among(numbers, *np.unique(words, return_inverse=True))
+
+    def find_among(self, numbers: np.ndarray, distinct: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """``find`` for words that are given as places in an ascending list."""
         rank = self.vocabulary.find(distinct)[place]
-        out = np.full(len(words), -1, np.int64)
+        out = np.full(len(place), -1, np.int64)
         known = (rank >= 0) & (numbers >= 0)
         wanted = numbers[known].astype(np.uint64) * np.uint64(self.vocabulary.n) + rank[known].astype(np.uint64)
         out[known] = self.followers.find(wanted)

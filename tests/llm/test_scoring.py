@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,30 @@ def test_registered_scores_depend_on_two_words_before(spark, tmp_path):
     spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     out = sorted((tuple(row) for row in scoring.language_model_scores(spark, str(tmp_path)).collect()), key=repr)
     same(out, brute(rows, 3))
+
+
+def test_n_grams_of_a_chunk_cut_from_slices_without_sorts_by_two_keys(monkeypatch):
+    rows = [(n, None if n == 7 else f" {text}\t" if n % 9 == 0 else text, not held) for n, text, held in sample(60)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [n for n, *_ in rows], "text": [x for _, x, _ in rows], "training": [t for *_, t in rows]})
+
+    def slow(*_):
+        raise AssertionError("sorted by two keys")
+
+    monkeypatch.setattr(np, "lexsort", slow)
+    ids, chunk = scoring._cut([batch.slice(3, 2), batch.slice(11, 40)])
+    rows = rows[3:5] + rows[11:51]
+    assert ids == [n for n, *_ in rows]
+    for order, (contexts, words, counts, place) in enumerate(chunk.levels(3), 1):
+        wanted, held = Counter(), []
+        for _, text, training in rows:
+            spelt = [b" "] * order + tokens_of(text)
+            first = order - 1 if order == 1 else order  # only order 1 counts the beginning
+            for at in range(first, len(spelt)):
+                held.append(tuple(spelt[at - order + 1 : at + 1]))
+                wanted[held[-1]] += training
+        assert len(words) == len(wanted) and len(set(zip(contexts.tolist(), words.tolist(), strict=True))) == len(words)
+        assert counts[place].tolist() == [wanted[gram] for gram in held]
+        assert scoring.starts(contexts).sum() == len({gram[:-1] for gram in wanted})
+    asks = scoring._messages([scoring._message("ask", "0-0", 0, scoring._asked(contexts, words, counts))])
+    (answer, total) = scoring.answers(3, 0.75, np.empty(0, np.uint64), False)(asks).to_pylist()
+    assert len(scoring.unpack(answer["payload"])[0]) == len(words) and total["total"] == sum(wanted.values())
