@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ BANDS = 32
 #: standard deviation of 10, so in more than this with a probability of about 1e-5
 MOST_BITS = 145
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: bytes of text whose sets a task holds at once (or one text)
+PART_BYTES = 1_000_000
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -115,21 +118,38 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def text_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``PART_BYTES`` of their column ``text``, a row at least."""
+    for batch in batches:
+        read = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        ends = [*(np.flatnonzero(np.diff(read // PART_BYTES)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip([0, *ends[:-1]], ends, strict=True):
+            if end > begin:
+                yield batch.slice(begin, end - begin)
+
+
+def sketch(hashes: np.ndarray) -> tuple[int, str | None, np.ndarray | None, np.ndarray | None]:
+    """Size, name, buckets and bits of a set; its signature, 16 times as long as these, isn't kept."""
+    if not len(hashes):
+        return 0, None, None, None
+    values = signature(hashes)
+    return len(hashes), set_name(hashes), buckets(values), bits(values)
+
+
 def sketches(documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """(doc_id, text_hash, n_shingles, node, bands, bits): node names the set, NULL where it is empty."""
     rows = documents.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(one, width) for one in batch["text"].to_pylist()]
-            values = [signature(one) if len(one) else None for one in sets]
+        for batch in text_parts(batches):
+            sizes, names, bands, signs = zip(*(sketch(shingle_set(one, width)) for one in batch["text"].to_pylist()), strict=True)
             columns = [
                 batch["doc_id"],
                 batch["text_hash"],
-                pa.array([len(one) for one in sets], pa.int64()),
-                pa.array([set_name(one) for one in sets], pa.string()),
-                pa.array([None if one is None else buckets(one) for one in values], pa.list_(pa.int64())),
-                pa.array([None if one is None else bits(one) for one in values], pa.list_(pa.int64())),
+                pa.array(sizes, pa.int64()),
+                pa.array(names, pa.string()),
+                pa.array(bands, pa.list_(pa.int64())),
+                pa.array(signs, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands", "bits"])
 
@@ -154,7 +174,7 @@ def full_sets(documents: DataFrame, wanted: DataFrame, doc_id: str, text: str, w
     texts = rows.join(wanted, same, "left_semi").select("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_parts(batches):
             sets = [shingle_set(one, width) for one in batch["text"].to_pylist()]
             columns = [
                 pa.array([set_name(one) for one in sets], pa.string()),

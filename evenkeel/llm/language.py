@@ -27,6 +27,8 @@ BLANK = 32
 #: characters that are encoded together; bounds the memory of a task
 CHUNK_CHARS = 400_000
 CHUNK_TEXTS = 96
+#: distinct trigrams whose vectors are in memory at once; a chunk in a script of many letters has a multiple
+CHUNK_TRIGRAMS = 2_048
 
 
 @cache
@@ -76,8 +78,15 @@ def bundle(texts: list[str | None], groups: np.ndarray, count: int, dims: int) -
     if not len(owner):
         return np.zeros((count, dims), np.float32)
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.bincount(owner * len(distinct) + place, minlength=count * len(distinct))
-    return counts.reshape(count, -1).astype(np.float32) @ trigram_vectors(distinct, dims)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((count, dims), np.float32)
+    for begin in range(0, len(distinct), CHUNK_TRIGRAMS):
+        part = distinct[begin : begin + CHUNK_TRIGRAMS]
+        held = slice(*np.searchsorted(place, (begin, begin + len(part))))
+        counts = np.bincount(owner[held] * len(part) + place[held] - begin, minlength=count * len(part))
+        total += counts.reshape(count, -1).astype(np.float32) @ trigram_vectors(part, dims)
+    return total
 
 
 def train(
