@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import hash_words, mixed, read_table, remainder, shared_folder, written
-from evenkeel.llm.trie import TrieLevel
+from evenkeel.llm.trie import CODES, TrieLevel, ranked
 
 ORDER = 2
 #: the order of the registered query
@@ -86,15 +86,19 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def ordered(values: np.ndarray) -> np.ndarray:
-    """What sorts numbers from 0 in ascending order, equal ones as they come.
+def ordered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 in ascending order, and what sorts them so, equal ones as they come.
 
-    Where a number and its place fit into 64 bits together, these are sorted, which is much faster.
+    Where a number and its place fit into 64 bits together, these are sorted, which is much faster, and hold both.
     """
     bits = len(values).bit_length()
     if not len(values) or int(values.max()).bit_length() + bits > 64:
-        return np.argsort(values, kind="stable")
-    return _places(values.astype(np.uint64) << np.uint64(bits), bits)
+        order = np.argsort(values, kind="stable")
+        return values[order], order
+    both = values.astype(np.uint64) << np.uint64(bits)
+    order = _places(both, bits)
+    both >>= np.uint64(bits)
+    return both.astype(values.dtype, copy=False), order
 
 
 def grouped(hashes: np.ndarray) -> np.ndarray:
@@ -107,8 +111,7 @@ def _places(values: np.ndarray, bits: int) -> np.ndarray:
     """The order of values whose last bits are free for their places; in place."""
     values |= np.arange(len(values), dtype=np.uint64)
     values.sort()
-    values &= np.uint64((1 << bits) - 1)
-    return values.astype(np.int32 if bits < 32 else np.int64)
+    return (values & np.uint64((1 << bits) - 1)).astype(np.int32 if bits < 32 else np.int64)
 
 
 def starts(*columns: np.ndarray) -> np.ndarray:
@@ -147,22 +150,25 @@ class Chunk:
         tokens[np.arange(len(numbers)) + 2 * document + 1] = numbers + 2
         return cls(tokens, lengths, np.concatenate([[END, BEGIN], hash_words(words)]), training)
 
-    def levels(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def levels(self, most: int, counted: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]]:
         """For each order up to ``most``: (contexts, words, training counts) of the different n-grams, and each token's place among them.
 
+        Orders below ``counted`` come without counts.
+
         n-grams of a context stand together. The beginning of a text counts as a word of order 1, so that
         frequent contexts are known, and ends no longer n-gram; before the text there are only beginnings.
         The context of a token is the shorter n-gram that ends at the one before, so n-grams are told apart as
         pairs of its number and the token's.
         """
-        training = self.training[self.document]
+        training = self.training[self.document]  # one byte each, which the counts' gathers stay in the cache with
         different = len(self.hashes)
         contexts, words = np.zeros(different, np.uint64), np.arange(different)
-        yield contexts, self.hashes, np.bincount(self.tokens, training, different).astype(np.int64), self.tokens
+        counts = np.bincount(self.tokens[training], minlength=different) if counted <= 1 else None
+        yield contexts, self.hashes, counts, self.tokens
         ends = np.flatnonzero(self.tokens != 1)
-        tokens, training = self.tokens[ends], training[ends].astype(np.int64)
+        tokens, training = self.tokens[ends], training[ends]
         shorter, beginnings = self.tokens, np.zeros(1, np.uint64)
-        for _ in range(1, most):
+        for level in range(2, most + 1):
             with np.errstate(over="ignore"):
                 hashes = mixed(contexts * MULTIPLIER + self.hashes[words])
                 beginnings = mixed(beginnings * MULTIPLIER + BEGIN)
@@ -172,12 +178,11 @@ class Chunk:
             pairs = rank[shorter[ends - 1]]
             pairs *= different
             pairs += tokens
-            order = ordered(pairs)
-            pairs = pairs[order]
+            pairs, order = ordered(pairs)
             fresh = starts(pairs)
             place = np.empty(len(pairs), order.dtype)
             place[order] = np.cumsum(fresh, dtype=order.dtype) - 1
-            counts = np.add.reduceat(training[order], np.flatnonzero(fresh))
+            counts = _sums(training[order], fresh) if counted <= level else None
             rank, words = np.divmod(pairs[fresh], different)
             contexts = hashes[by[rank]]
             del hashes, by, rank, pairs, order, fresh  # a chunk's arrays are its task's memory
@@ -187,6 +192,19 @@ class Chunk:
             contexts, words = np.append(contexts, beginnings), np.append(words, 1)
 
 
+def _sums(values: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """The sum of each stretch of whole numbers that begins where ``fresh`` is set."""
+    upto = np.cumsum(values, dtype=np.int64)[np.append(np.flatnonzero(fresh)[1:], len(values)) - 1] if len(values) else np.empty(0, np.int64)
+    return np.diff(upto, prepend=0)
+
+
+def by_shard(shard: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """What brings n-grams into the order of their shards, and where each shard begins and the last ends."""
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+    # numbers of two bytes at most are sorted by counting
+    return np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable"), bounds
+
+
 def dealt(contexts: np.ndarray, words: np.ndarray, order: int, hot: np.ndarray, shards: int) -> np.ndarray:
     """The shard of each n-gram: by its context, for hot ones by its word."""
     if order == 1:
@@ -235,11 +253,9 @@ def questions(order: int, hot: np.ndarray, shards: int, most: int) -> Callable:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, chunk in chunks(batches, most):
-            for contexts, words, counts, _ in chunk.levels(order):
+            for contexts, words, counts, _ in chunk.levels(order, counted=order):
                 pass
-            target = dealt(contexts, words, order, hot, shards)
-            by = ordered(target)
-            bounds = np.searchsorted(target[by], np.arange(shards + 1))
+            by, bounds = by_shard(dealt(contexts, words, order, hot, shards), shards)
             rows = []
             for shard in np.flatnonzero(np.diff(bounds)):
                 mine = by[bounds[shard] : bounds[shard + 1]]
@@ -251,7 +267,7 @@ def questions(order: int, hot: np.ndarray, shards: int, most: int) -> Callable:
 
 def _asked(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> bytes:
     first = np.flatnonzero(starts(contexts))
-    vocabulary, number = np.unique(words, return_inverse=True)
+    vocabulary, number = ranked(words)
     return pack(contexts[first], np.diff(first, append=len(contexts)), vocabulary, number, counts)
 
 
@@ -269,10 +285,9 @@ def answers(order: int, discount: float, hot: np.ndarray, keep: bool) -> Callabl
         )
         sizes = [len(count) for *_, count in asked]
         del asked, word
-        by = ordered(pairs)
-        pairs = pairs[by]
+        pairs, by = ordered(pairs)
         fresh = starts(pairs)
-        sums = np.add.reduceat(counts[by], np.flatnonzero(fresh))
+        sums = _sums(counts[by], fresh)
         back = np.empty(len(by), by.dtype)
         back[by] = np.cumsum(fresh, dtype=by.dtype) - 1
         place, spelt = np.divmod(pairs[fresh], len(vocabulary))
@@ -306,9 +321,8 @@ def answers(order: int, discount: float, hot: np.ndarray, keep: bool) -> Callabl
 
 def _ranks(sequences: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """The different values of all sequences in ascending order, and each sequence as places among them."""
-    values = np.sort(np.concatenate(sequences))
-    different = values[starts(values)]
-    return different, [np.searchsorted(different, sequence) for sequence in sequences]
+    different, place = ranked(np.concatenate(sequences))
+    return different, np.split(place, np.cumsum([len(sequence) for sequence in sequences])[:-1])
 
 
 def next_context(context: np.uint64, word: np.uint64) -> int:
@@ -402,7 +416,7 @@ def _scores(order: int, discount: float, shards: int, hot: dict, hot_totals: dic
         }
         inside = chunk.tokens != 1
         document, count = chunk.document[inside], len(chunk.lengths)
-        for level, (contexts, words, _, place) in enumerate(chunk.levels(order), 1):
+        for level, (contexts, words, _, place) in enumerate(chunk.levels(order, counted=order + 1), 1):
             value, part, total, different = _read(replies, level, contexts, words, hot[level], shards)
             if level == 1:
                 known = value[place][inside]
@@ -439,9 +453,7 @@ def _read(
     replies: dict, order: int, contexts: np.ndarray, words: np.ndarray, hot: np.ndarray, shards: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each n-gram its value (a count for order 1, else a share of the part's total), and its context's part and totals."""
-    target = dealt(contexts, words, order, hot, shards)
-    by = ordered(target)
-    bounds = np.searchsorted(target[by], np.arange(shards + 1))
+    by, bounds = by_shard(dealt(contexts, words, order, hot, shards), shards)
     value, part, different = np.zeros(len(words)), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     for shard in np.flatnonzero(np.diff(bounds)):
         mine = by[bounds[shard] : bounds[shard + 1]]
@@ -452,7 +464,9 @@ def _read(
         if order == 1:
             value[mine] = codes
         else:
-            value[mine] = np.where(codes > 0, 10 ** (scale[0] + (codes.astype(float) - 1) * scale[1]), 0)
+            meant = 10 ** (scale[0] + (np.arange(CODES) - 1.0) * scale[1])  # of each code; 0 is an n-gram not found
+            meant[0] = 0
+            value[mine] = meant[codes]
         part[mine], different[mine] = totals[place], kinds[place]
     return value, part, part, different
 

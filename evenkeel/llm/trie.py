@@ -84,13 +84,14 @@ class EliasFano:
 
 def _packed(values: np.ndarray, bits: int) -> np.ndarray:
     out = np.zeros((len(values) * bits + 63) // 64 + 1, np.uint64)
-    if bits:
+    if bits and len(values):
         low = values & np.uint64((1 << bits) - 1)
         at = np.arange(len(values)) * bits
         word, offset = at >> 6, (at & 63).astype(np.uint64)
-        np.bitwise_or.at(out, word, low << offset)
-        over = offset + np.uint64(bits) > 64
-        np.bitwise_or.at(out, word[over] + 1, low[over] >> (np.uint64(64) - offset[over]))
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        out[word[first]] = np.bitwise_or.reduceat(low << offset, first)
+        over = offset + np.uint64(bits) > 64  # at most one value reaches into a word from the one before
+        out[word[over] + 1] |= low[over] >> (np.uint64(64) - offset[over])
     return out
 
 
@@ -104,6 +105,27 @@ def _unpacked(words: np.ndarray, index: np.ndarray, bits: int) -> np.ndarray:
     return (low | rest) & np.uint64((1 << bits) - 1)
 
 
+def ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in ascending order, and each value's place among them.
+
+    Sorts single numbers, the values' first bits with their places behind. Values that these bits don't tell apart
+    (a few among millions of hashes) are sorted in full.
+    """
+    values = hashes.astype(np.uint64, copy=False)
+    bits = np.uint64(len(values).bit_length())
+    by = values >> bits << bits | np.arange(len(values), dtype=np.uint64)
+    by.sort()
+    by = (by & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    held = values[by]
+    if (held[1:] < held[:-1]).any():
+        return np.unique(hashes, return_inverse=True)
+    fresh = np.ones(len(held), bool)
+    fresh[1:] = held[1:] != held[:-1]
+    place = np.empty(len(held), np.int64)
+    place[by] = np.cumsum(fresh) - 1
+    return held[fresh], place
+
+
 def quantised(logs: np.ndarray) -> tuple[np.ndarray, float, float]:
     """Codes 1 to 255 for logarithms, evenly spaced between the smallest and the largest."""
     low, high = (float(logs.min()), float(logs.max())) if len(logs) else (0.0, 0.0)
@@ -149,7 +171,7 @@ class TrieLevel:
         is_first = np.concatenate([[True], contexts[1:] != contexts[:-1]])[: len(contexts)]
         starts = np.flatnonzero(is_first)
         number = np.cumsum(is_first) - 1
-        vocabulary, rank = np.unique(words, return_inverse=True)
+        vocabulary, rank = ranked(words)
         followers = number.astype(np.uint64) * np.uint64(len(vocabulary)) + rank.astype(np.uint64)
         totals = np.add.reduceat(counts, starts) if len(starts) else np.empty(0, np.int64)
         if exact:

@@ -8,8 +8,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm import scoring
-from evenkeel.llm.trie import EliasFano, TrieLevel
+from evenkeel.llm import scoring, trie
+from evenkeel.llm.trie import EliasFano, TrieLevel, ranked
 
 SCHEMA = "doc_id long, text string, held boolean, score string"
 
@@ -170,3 +170,40 @@ def test_n_grams_of_a_chunk_cut_from_slices_without_sorts_by_two_keys(monkeypatc
     asks = scoring._messages([scoring._message("ask", "0-0", 0, scoring._asked(contexts, words, counts))])
     (answer, total) = scoring.answers(3, 0.75, np.empty(0, np.uint64), False)(asks).to_pylist()
     assert len(scoring.unpack(answer["payload"])[0]) == len(words) and total["total"] == sum(wanted.values())
+
+
+@pytest.mark.parametrize("bits", [64, 40, 12, 1])
+def test_sorts_of_single_numbers(bits):
+    """Hashes, hashes whose first bits are alike, and small numbers are ranked, summed and dealt as NumPy's full sorts do."""
+    random_numbers = np.random.default_rng(bits)
+    for count in (0, 1, 2, 700, 5_000):
+        values = random_numbers.integers(0, 2**64, count, np.uint64) >> np.uint64(64 - bits)
+        values = np.concatenate([values, values[: count // 3]])
+        distinct, place = ranked(values)
+        wanted, wanted_place = np.unique(values, return_inverse=True)
+        assert (distinct == wanted).all() and (place == wanted_place).all() and distinct.dtype == np.uint64
+        small = (values % np.uint64(300)).astype(np.int64)
+        held, order = scoring.ordered(small)
+        assert (order == np.argsort(small, kind="stable")).all() and (held == small[order]).all() and held.dtype == small.dtype
+        weights = values % np.uint64(7)
+        sums = scoring._sums(weights[order], scoring.starts(held))
+        assert sums.tolist() == [int(weights[small == one].sum()) for one in np.unique(small)]
+        by, bounds = scoring.by_shard(small, 300)
+        assert (by == order).all() and (bounds == np.searchsorted(held, np.arange(301))).all()
+
+
+def test_counts_only_where_they_are_sent():
+    """A question needs the counts of its own order, a score none; the n-grams are the same."""
+    chunk = scoring.Chunk.of(pa.array(["a b a b c", "", "b a b"]), np.array([True, True, False]))
+    full = list(chunk.levels(3))
+    for counted in (1, 2, 3, 4):
+        for order, (held, wanted) in enumerate(zip(chunk.levels(3, counted), full, strict=True), 1):
+            assert all((x == y).all() for x, y in ((held[0], wanted[0]), (held[1], wanted[1]), (held[3], wanted[3])))
+            assert held[2] is None if order < counted else (held[2] == wanted[2]).all()
+
+
+def test_packed_values_of_every_width():
+    for bits in range(1, 65):
+        values = np.sort(np.random.default_rng(bits).integers(0, 2**64, 300, np.uint64) >> np.uint64(64 - bits))
+        packed = trie._packed(values, bits)
+        assert (trie._unpacked(packed, np.arange(300), bits) == values).all()
