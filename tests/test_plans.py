@@ -113,6 +113,29 @@ def test_pairs_of_few_rows_are_made_by_several_tasks(spark):
     assert len(per_task) > 1
 
 
+def test_pairs_of_crowded_keys_are_dealt_with_few_copies_of_their_rows(spark, monkeypatch):
+    rows = spark.range(1600).selectExpr("id % 4 AS nation", "id AS number")
+    target = rows.where("number >= 1").unionAll(spark.range(8).selectExpr("id + 4 AS nation", "id AS number"))
+    source = rows.unionAll(spark.range(8).selectExpr("id + 4 AS nation", "id + 1 AS number"))
+    dealt = []
+    for name in ("repartition", "repartitionById"):
+        deal = getattr(type(rows), name)
+        monkeypatch.setattr(type(rows), name, lambda self, *by, deal=deal: (dealt.append(self), deal(self, *by))[1])
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        comparison = compare(source, target, "nation", Options(hot_pairs=1000))
+        pairs = comparison.changed()
+        # 16 cells for each of four keys, 4 x 4: four copies of each row
+        assert sum(df.count() for df in dealt) <= 5 * (1608 + 1607)
+        per_task = [row["count"] for row in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(per_task) == comparison.totals.changed == 1600 * 400 - 400 - 1599 + 8
+        assert len(per_task) == 64 and max(per_task) <= 2 * min(per_task)
+        found = pairs.where("source.nation < 4").selectExpr("source.number AS s", "target.number AS t")
+        assert found.distinct().count() == 1600 * 400 - 400 - 1599
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+
+
 def test_rows_of_repeated_keys_are_digested_and_shuffled_once(spark, monkeypatch):
     monkeypatch.setattr(ledger, "key_sums", None)  # for nearly unique keys only
     rows = spark.range(200).selectExpr("id % 50 AS shelf", "id AS box")
