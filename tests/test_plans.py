@@ -123,7 +123,7 @@ def test_pairs_of_crowded_keys_are_dealt_with_few_copies_of_their_rows(spark, mo
         monkeypatch.setattr(type(rows), name, lambda self, *by, deal=deal: (dealt.append(self), deal(self, *by))[1])
     spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
-        comparison = compare(source, target, "nation", Options(hot_pairs=1000))
+        comparison = compare(source, target, "nation", Options(hot_pairs=10_000))
         pairs = comparison.changed()
         # 16 cells for each of four keys, 4 x 4: four copies of each row
         assert sum(df.count() for df in dealt) <= 5 * (1608 + 1607)
@@ -136,6 +136,13 @@ def test_pairs_of_crowded_keys_are_dealt_with_few_copies_of_their_rows(spark, mo
         spark.conf.unset("spark.sql.shuffle.partitions")
 
 
+def test_many_pairs_are_made_by_many_tasks_whatever_the_partitions(spark):
+    rows = spark.range(1600).selectExpr("id % 4 AS nation", "id AS number")  # the session has 4 partitions
+    pairs = compare(rows, rows, "nation", Options(hot_pairs=40_000)).matched()
+    per_task = [row["count"] for row in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(per_task) == 640_000 and len(per_task) == 16
+
+
 def test_rows_of_repeated_keys_are_digested_and_shuffled_once(spark, monkeypatch):
     monkeypatch.setattr(ledger, "key_sums", None)  # for nearly unique keys only
     rows = spark.range(200).selectExpr("id % 50 AS shelf", "id AS box")
